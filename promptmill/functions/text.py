@@ -111,9 +111,12 @@ def shingles(normalized: Column, size: int = 5) -> Column:
 
 def jaccard(left: Column, right: Column) -> Column:
     """Overlap of two distinct arrays; two empty arrays are equal."""
-    common = F.size(F.array_intersect(left, right))
-    union = F.size(left) + F.size(right) - common
-    return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
+
+    def share(common: Column) -> Column:
+        union = F.size(left) + F.size(right) - common
+        return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
+
+    return _bind(F.size(F.array_intersect(left, right)), share)
 
 
 def id_prefix(identifier: Column, length: int = 8) -> Column:

@@ -90,10 +90,13 @@ def _matches(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = pairs.join(texts.withColumnRenamed("norm", "_mine"), "ord")
     right = texts.select(F.col("ord").alias("lead"), F.col("norm").alias("_other"))
     both = attach(left, right, ["lead"], spread=F.col("ord"))
-    overlap = jaccard(
-        shingles(F.col("_mine"), SHINGLE_SIZE), shingles(F.col("_other"), SHINGLE_SIZE)
+    grams = both.select(
+        "ord",
+        "lead",
+        shingles(F.col("_mine"), SHINGLE_SIZE).alias("_mine"),
+        shingles(F.col("_other"), SHINGLE_SIZE).alias("_other"),
     )
-    return both.withColumn("jaccard", overlap).drop("_mine", "_other")
+    return grams.select("ord", "lead", jaccard(F.col("_mine"), F.col("_other")).alias("jaccard"))
 
 
 def dropped_rows(
