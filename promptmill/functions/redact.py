@@ -20,7 +20,7 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
 
 def _luhn(hit: Column) -> Column:
-    return F.luhn_check(F.regexp_replace(hit, "[ -]", ""))
+    return F.call_function("luhn_check", F.regexp_replace(hit, "[ -]", ""))
 
 
 def _mod97(hit: Column) -> Column:
