@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from promptmill.functions.binding import bind
+
 _OPEN = r"(?<![\p{L}\p{N}_])"
 _CLOSE = r"(?![\p{L}\p{N}_])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
@@ -40,7 +42,10 @@ def _mod97(hit: Column) -> Column:
 
 @dataclass(frozen=True)
 class Entity:
+    """``hint`` is a cheap necessary condition; most texts stop there."""
+
     name: str
+    hint: str
     pattern: str
     valid: Callable[[Column], Column] | None = None
 
@@ -48,34 +53,40 @@ class Entity:
 ENTITIES = (
     Entity(
         "EMAIL_ADDRESS",
+        "@",
         r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     ),
-    Entity("URL", rf"{_OPEN}(?:https?://|www\.)[^\s<>\"']+"),
+    Entity("URL", r"://|www\.", rf"(?=[hw]){_OPEN}(?:https?://|www\.)[^\s<>\"']+"),
     Entity(
         "CREDIT_CARD",
-        rf"{_OPEN}(?:[0-9]{{4}}[- ]?[0-9]{{4}}[- ]?[0-9]{{4}}[- ]?[0-9]{{1,7}}"
+        "[0-9]{4}",
+        rf"(?=[0-9]){_OPEN}(?:[0-9]{{4}}[- ]?[0-9]{{4}}[- ]?[0-9]{{4}}[- ]?[0-9]{{1,7}}"
         rf"|3[0-9]{{3}}[- ]?[0-9]{{6}}[- ]?[0-9]{{4,5}}){_CLOSE}",
         _luhn,
     ),
     Entity(
         "IBAN_CODE",
-        rf"{_OPEN}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_CLOSE}",
+        "[A-Z]{2}[0-9]{2}",
+        rf"(?=[A-Z]){_OPEN}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?{_CLOSE}",
         _mod97,
     ),
     Entity(
         "IP_ADDRESS",
-        rf"{_OPEN}(?<![0-9]\.)(?:{_OCTET}\.){{3}}{_OCTET}(?!\.[0-9]){_CLOSE}"
-        rf"|{_OPEN}(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}{_CLOSE}",
+        r"[0-9]\.[0-9]|:[0-9A-Fa-f]{1,4}:",
+        rf"(?=[0-9]){_OPEN}(?<![0-9]\.)(?:{_OCTET}\.){{3}}{_OCTET}(?!\.[0-9]){_CLOSE}"
+        rf"|(?=[0-9A-Fa-f]){_OPEN}(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}{_CLOSE}",
     ),
     Entity(
         "US_SSN",
-        rf"{_OPEN}(?!000|666)[0-9]{{3}}-(?!00)[0-9]{{2}}-(?!0000)[0-9]{{4}}{_CLOSE}",
+        "[0-9]-[0-9]{2}-[0-9]",
+        rf"(?=[0-9]){_OPEN}(?!000|666)[0-9]{{3}}-(?!00)[0-9]{{2}}-(?!0000)[0-9]{{4}}{_CLOSE}",
     ),
     Entity(
         "PHONE_NUMBER",
-        rf"(?<![\p{{L}}\p{{N}}_+])(?:\+?1[ .-]?)?(?:\([0-9]{{3}}\) ?|[0-9]{{3}}[ .-]?)"
+        "[0-9]{2}",
+        rf"(?=[0-9+(])(?<![\p{{L}}\p{{N}}_+])(?:\+?1[ .-]?)?(?:\([0-9]{{3}}\) ?|[0-9]{{3}}[ .-]?)"
         rf"[0-9]{{3}}[ .-]?[0-9]{{4}}{_CLOSE}"
-        rf"|(?<![\p{{L}}\p{{N}}_])\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{2,4}}\)?){{2,4}}{_CLOSE}",
+        rf"|(?=\+){_OPEN}\+[0-9]{{1,3}}(?:[ .-]?\(?[0-9]{{2,4}}\)?){{2,4}}{_CLOSE}",
     ),
 )
 
@@ -91,21 +102,24 @@ def _replace_valid(text: Column, entity: Entity) -> Column:
         tail,
         lambda hit, after: F.concat(F.when(entity.valid(hit), tag).otherwise(hit), after),
     )
-    replaced = F.concat(between[0], F.array_join(pieces, ""))
-    return F.when(text.rlike(entity.pattern), replaced).otherwise(text)
+    return F.concat(between[0], F.array_join(pieces, ""))
 
 
 def _replacer(entity: Entity) -> Callable[[Column], Column]:
-    return lambda text: _replace_valid(text, entity)
+    def replace(text: Column) -> Column:
+        if entity.valid is None:
+            replaced = F.regexp_replace(text, entity.pattern, f"[{entity.name}]")
+        else:
+            replaced = _replace_valid(text, entity)
+        return F.when(text.rlike(entity.hint), replaced).otherwise(text)
+
+    return replace
 
 
 def redact_pii(text: Column, entities: Iterable[Entity] = ENTITIES) -> Column:
     """Null and empty text stay as they are."""
     for entity in entities:
-        if entity.valid is None:
-            text = F.regexp_replace(text, entity.pattern, f"[{entity.name}]")
-        else:
-            text = F.transform(F.array(text), _replacer(entity))[0]
+        text = bind(text, _replacer(entity))
     return text
 
 

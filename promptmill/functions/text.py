@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from promptmill.functions.binding import bind
 from promptmill.functions.numbers import round_exact
 
 # The default blocklist, whole words, case ignored.
 BLOCKLIST = ("kill", "murder", "rape", "terrorist", "bomb", "suicide")
 
+# Fixed value: estimated model tokens per word.
+TOKENS_PER_WORD = 1.3
+
 # Unicode White_Space plus the four ASCII separators that Python's str.split() also splits on.
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
 _WORD_CHARS = r"\p{L}\p{N}_"
@@ -32,7 +36,7 @@ def word_count(text: Column) -> Column:
 
 
 def approx_tokens(text: Column) -> Column:
-    return word_count(text) * F.lit(1.3)
+    return word_count(text) * F.lit(TOKENS_PER_WORD)
 
 
 def _share(count: Column, text: Column) -> Column:
@@ -51,39 +55,37 @@ def punct_score(text: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - distance))
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``, which may use it many times."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _distinct_pair_share(tokens: Column) -> Column:
     pairs = F.size(tokens) - 1
-    bigrams = F.zip_with(
-        F.slice(tokens, F.lit(1), pairs),
-        F.slice(tokens, F.lit(2), pairs),
-        lambda left, right: F.concat_ws(" ", left, right),
+    # Words hold no blank, so each word that another follows starts one pair.
+    bigrams = F.regexp_extract_all(
+        F.array_join(tokens, " "), F.lit("(?=([^ ]++ [^ ]++))[^ ]++"), F.lit(1)
     )
     return F.when(pairs > 0, F.size(F.array_distinct(bigrams)) / pairs).otherwise(F.lit(1.0))
 
 
 def bigram_unique_ratio(text: Column) -> Column:
     """Distinct word pairs over all word pairs; 1 when there is no pair."""
-    return _bind(words(text), _distinct_pair_share)
+    return bind(words(text), _distinct_pair_share)
 
 
-def quality_score(text: Column) -> Column:
-    """Weighted letter share, punctuation and repetition in [0, 1]; 0 for blank text."""
+def quality_score(text: Column, tokens: Column | None = None) -> Column:
+    """Weighted letter share, punctuation and repetition in [0, 1]; 0 for blank text.
+
+    ``tokens`` are the words of ``text`` where the caller has them already.
+    """
 
-    def weigh(tokens: Column) -> Column:
+    def weigh(given: Column) -> Column:
         score = (
-            alpha_ratio(text) * F.lit(0.5)
-            + punct_score(text) * F.lit(0.2)
-            + _distinct_pair_share(tokens) * F.lit(0.3)
+            alpha_ratio(given["text"]) * F.lit(0.5)
+            + punct_score(given["text"]) * F.lit(0.2)
+            + _distinct_pair_share(given["tokens"]) * F.lit(0.3)
         )
-        rounded = _bind(score, lambda value: round_exact(value, 4))
-        return F.when(F.size(tokens) > 0, rounded).otherwise(F.lit(0.0))
+        rounded = bind(score, lambda value: round_exact(value, 4))
+        return F.when(F.size(given["tokens"]) > 0, rounded).otherwise(F.lit(0.0))
 
-    return _bind(words(text), weigh)
+    tokens = words(text) if tokens is None else tokens
+    return bind(F.struct(text.alias("text"), tokens.alias("tokens")), weigh)
 
 
 def is_toxic(text: Column, blocklist: Sequence[str] = BLOCKLIST) -> Column:
@@ -116,7 +118,7 @@ def jaccard(left: Column, right: Column) -> Column:
         union = F.size(left) + F.size(right) - common
         return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
 
-    return _bind(F.size(F.array_intersect(left, right)), share)
+    return bind(F.size(F.array_intersect(left, right)), share)
 
 
 def id_prefix(identifier: Column, length: int = 8) -> Column:

@@ -162,14 +162,36 @@ def near_dedup(
     verify: bool = False,
 ) -> DataFrame:
     """The rows of ``df`` that survive, unchanged."""
+    kept = surviving_keys(
+        df, text=text, order_by=order_by, threshold=threshold, num_perm=num_perm, verify=verify
+    )
+    return rows_with_keys(df, kept, order_by)
+
+
+def surviving_keys(
+    df: DataFrame,
+    *,
+    text: Column,
+    order_by: Sequence[str],
+    threshold: float = 0.85,
+    num_perm: int = NUM_PERM,
+    verify: bool = False,
+) -> DataFrame:
+    """The order keys ``ord`` of the rows that survive.
+
+    Signatures are computed once and only they are kept between rounds, some 200 bytes a row.
+    """
     shape = shape_for(threshold, verify, num_perm)
     firsts = materialise(
         _first_of_each(fingerprints(df, text, order_by, shape, num_perm))
     )
-    kept = kept_rows(firsts, df, text, order_by, threshold, verify)
+    return kept_rows(firsts, df, text, order_by, threshold, verify)
+
+
+def rows_with_keys(df: DataFrame, keys: DataFrame, order_by: Sequence[str]) -> DataFrame:
     return (
         df.withColumn("_ord", order_key(order_by))
-        .join(kept.withColumnRenamed("ord", "_ord"), "_ord", "left_semi")
+        .join(keys.withColumnRenamed("ord", "_ord"), "_ord", "left_semi")
         .drop("_ord")
     )
 

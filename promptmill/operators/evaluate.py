@@ -24,7 +24,10 @@ def _percentile_rank(share: float) -> tuple[float, Column]:
 
 
 def latency_stats(responses: DataFrame, keys: Sequence[str], latency: str = "latency_ms") -> DataFrame:
-    """p50, p95, p99 and mean per group, rounded to 2. Exact at any group size."""
+    """p50, p95, p99 and mean per group, rounded to 2. Exact at any group size.
+
+    ``keys`` names at least one column.
+    """
     ranked = values_at_ranks(
         responses,
         keys,
@@ -36,8 +39,7 @@ def latency_stats(responses: DataFrame, keys: Sequence[str], latency: str = "lat
         },
     )
     means = responses.groupBy(*keys).agg(F.avg(latency).alias("mean"))
-    joined = ranked.join(means, list(keys)) if keys else ranked.join(means)
-    return joined.select(
+    return ranked.join(means, list(keys)).select(
         *keys,
         *(round_exact(F.col(p), 2).alias(f"{p}_ms") for p in ("p50", "p95", "p99", "mean")),
     )

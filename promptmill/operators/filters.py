@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.config import CurationConfig
+from promptmill.functions.binding import bind
 from promptmill.functions.redact import redact_pii
 from promptmill.functions.text import (
-    approx_tokens,
+    TOKENS_PER_WORD,
     is_toxic,
     quality_score,
     sample_text,
-    word_count,
+    words,
 )
 
 # The reasons in the order of their checks.
@@ -25,17 +26,29 @@ def drop_reason(
     response: Column | None = None,
 ) -> Column:
     """The first failing check, cheapest first; null keeps the row."""
-    prompt = F.col("prompt") if prompt is None else prompt
-    response = F.col("response") if response is None else response
-    text = sample_text(prompt, response)
-    return (
-        F.when(
-            word_count(F.coalesce(response, F.lit(""))) < cfg.min_response_length, "too_short"
+    prompt = F.coalesce(F.col("prompt") if prompt is None else prompt, F.lit(""))
+    response = F.coalesce(F.col("response") if response is None else response, F.lit(""))
+
+    def check_sample(sample: Column) -> Column:
+        text, tokens = sample["text"], sample["tokens"]
+        tokens_estimate = F.size(tokens) * F.lit(TOKENS_PER_WORD)
+        return (
+            F.when(tokens_estimate > F.lit(float(cfg.max_token_length)), "too_long")
+            .when(quality_score(text, tokens) < F.lit(float(cfg.min_quality_score)), "low_quality")
+            .when(is_toxic(text, cfg.blocklist), "toxic")
+        )
+
+    def check(answer: Column) -> Column:
+        # A blank joins the two sides, so the words of the sample are the words of both.
+        sample = F.struct(
+            sample_text(prompt, response).alias("text"),
+            F.concat(words(prompt), answer).alias("tokens"),
+        )
+        return F.when(F.size(answer) < cfg.min_response_length, "too_short").otherwise(
+            bind(sample, check_sample)
         )
-        .when(approx_tokens(text) > F.lit(float(cfg.max_token_length)), "too_long")
-        .when(quality_score(text) < F.lit(float(cfg.min_quality_score)), "low_quality")
-        .when(is_toxic(text, cfg.blocklist), "toxic")
-    )
+
+    return bind(words(response), check)
 
 
 def tag_logs(logs: DataFrame, cfg: CurationConfig = CurationConfig()) -> DataFrame:
@@ -45,11 +58,13 @@ def tag_logs(logs: DataFrame, cfg: CurationConfig = CurationConfig()) -> DataFra
 def filter_logs(logs: DataFrame, cfg: CurationConfig = CurationConfig()) -> DataFrame:
     """The kept rows, personal data replaced. Redaction comes after all checks and drops nothing."""
     kept = tag_logs(logs, cfg).filter(F.col("drop_reason").isNull()).drop("drop_reason")
+    return redact_logs(kept, cfg)
+
+
+def redact_logs(logs: DataFrame, cfg: CurationConfig = CurationConfig()) -> DataFrame:
     if not cfg.remove_pii:
-        return kept
-    return kept.withColumns(
-        {name: redact_pii(F.col(name)) for name in ("prompt", "response")}
-    )
+        return logs
+    return logs.withColumns({name: redact_pii(F.col(name)) for name in ("prompt", "response")})
 
 
 def drop_counts(tagged: DataFrame) -> DataFrame:

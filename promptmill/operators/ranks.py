@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from promptmill.operators.skew import attach
 from promptmill.session import materialise
 
-# Sketch size of the first pass. A group up to this many rows is ranked whole; a larger one only
-# in brackets of 4/_SKETCH of its rows around each wanted rank.
+# Groups up to this many rows are ranked whole. It is also the sketch size for larger ones, of which
+# only 4/_SKETCH of the rows around each wanted rank are ranked.
 _SKETCH = 20_000
 
+# Up to this many rows a limit is merged in one task.
+_TOP_K = 100_000
+
 
 def values_at_ranks(
     df: DataFrame,
@@ -24,9 +27,10 @@ def values_at_ranks(
     """The exact value at chosen 0-based ranks of ``value`` within each group.
 
     ``ranks`` maps an output name to ``(fraction, rank)``: ``rank`` is a column over ``n``, the
-    number of non-null values, and ``fraction`` says roughly where it lies. A bounded quantile
-    sketch brackets each rank. A second pass counts distinct values inside the brackets and only
-    totals outside, so the final running sum per key covers a sliver of a hot group.
+    number of non-null values, and ``fraction`` says roughly where it lies. Where all groups are
+    small, each is sorted as a list. Otherwise a bounded quantile sketch brackets each rank, and a
+    second pass counts distinct values inside the brackets and only totals outside, so the final
+    running sum per key covers a sliver of a hot group.
     """
     keys = list(keys)
     constant = F.lit(0).alias("_all")
@@ -34,6 +38,12 @@ def values_at_ranks(
         *(keys or [constant]), F.col(value).cast("double").alias("_x")
     )
     on = keys or ["_all"]
+    largest = rows.groupBy(*on).agg(F.count("_x").alias("n")).agg(F.max("n")).first()[0]
+    if largest is not None and largest <= _SKETCH:
+        ranked = rows.groupBy(*on).agg(F.sort_array(F.collect_list("_x")).alias("_sorted"))
+        ranked = ranked.withColumn("n", F.size("_sorted").cast("bigint"))
+        picks = [F.col("_sorted")[rank.cast("int")].alias(k) for k, (_, rank) in ranks.items()]
+        return ranked.select(*keys, "n", *picks)
     margin = 2.0 / _SKETCH
     edges = [
         edge
@@ -60,10 +70,11 @@ def values_at_ranks(
     inside = F.exists("_brackets", lambda b: (x >= b["low"]) & (x <= b["high"]))
     passed = F.size(F.filter("_brackets", lambda b: b["high"] < x))
     cells = (
-        attach(rows, outline.drop("n"), on, spread=x)
+        attach(rows, outline, on, spread=x)
         .withColumn("_inside", inside)
         .groupBy(
             *on,
+            "n",
             "_inside",
             F.when(~F.col("_inside"), passed).alias("_gap"),
             F.when(F.col("_inside"), x).alias("_at"),
@@ -84,10 +95,20 @@ def values_at_ranks(
         for name, (_, rank) in ranks.items()
         for reached in [F.col("_upto") > rank]
     ]
-    result = counted.join(outline.select(*on, "n"), on).groupBy(*on, "n").agg(*picks)
+    result = counted.groupBy(*on, "n").agg(*picks)
     return result if keys else result.drop("_all")
 
 
+def first_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows of a total order.
+
+    A small ``n`` is a top-k, merged in one task; a large one is cut from the numbered frame.
+    """
+    if n <= _TOP_K:
+        return df.orderBy(*order_by).limit(n)
+    return numbered(df, order_by, "_n").filter(F.col("_n") <= n).drop("_n")
+
+
 def numbered(df: DataFrame, order_by: Sequence[Column | str], name: str) -> DataFrame:
     """Add a 1-based row number over a total order of the whole frame.
 

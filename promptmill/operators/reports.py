@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from promptmill.functions.numbers import round_exact
 from promptmill.operators.ranks import numbered, values_at_ranks
+from promptmill.operators.skew import attach
 from promptmill.schemas import EXPERIMENT_TYPES
+from promptmill.session import materialise
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -25,14 +27,16 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> DataFrame:
     """Equal-width bins between minimum and maximum, empty ones included, the last one closed.
 
-    Rows are binned against the range of their group and counted before they are shuffled.
+    Values are binned against the range of their group.
     A constant column gets a range of one around its value.
     """
     key = F.col(by) if by else F.lit(0)
     rows = df.filter(F.col(column).isNotNull()).select(
         key.alias("_by"), F.col(column).cast("double").alias("x")
     )
-    span = rows.groupBy("_by").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    # Values are counted first: all later steps see distinct values per group, not rows.
+    values = rows.groupBy("_by", "x").agg(F.count("*").alias("rows"))
+    span = values.groupBy("_by").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     flat = F.col("low") == F.col("high")
     span = span.select(
         "_by",
@@ -44,13 +48,17 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> D
     def edge(i: Column) -> Column:
         return F.when(i == bins, F.col("high")).otherwise(F.col("low") + i * width)
 
-    # Equal values meet first, so the join sees distinct values per group, not rows.
-    values = rows.groupBy("_by", "x").agg(F.count("*").alias("rows"))
     guess = F.least(
         F.floor((F.col("x") - F.col("low")) / (F.col("high") - F.col("low")) * bins),
         F.lit(bins - 1),
     )
-    guessed = values.join(span, "_by").withColumn("bin", guess)
+    ranged = (
+        attach(values, span, ["_by"], spread=F.col("x"))
+        if by
+        # Without groups the range is a single row.
+        else values.join(F.broadcast(span), "_by")
+    )
+    guessed = ranged.withColumn("bin", guess)
     settled = (
         F.when(F.col("x") < edge(F.col("bin")), F.col("bin") - 1)
         .when(
@@ -77,7 +85,11 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> D
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, sample deviation, extremes and linearly interpolated quartiles."""
+    """Count, mean, sample deviation, extremes and linearly interpolated quartiles.
+
+    Three passes read the column, so it is stored by itself once.
+    """
+    df = materialise(df.select(column))
     shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     position = {name: (F.col("n") - 1) * F.lit(share) for name, share in shares.items()}
     ranks = {}

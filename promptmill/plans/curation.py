@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from promptmill.config import CurationConfig
 from promptmill.functions.text import sample_text
-from promptmill.operators.dedup import near_dedup
-from promptmill.operators.filters import filter_logs
+from promptmill.operators.dedup import near_dedup, rows_with_keys, surviving_keys
+from promptmill.operators.filters import filter_logs, redact_logs
+from promptmill.operators.ranks import first_rows
 from promptmill.session import materialise
 from promptmill.sources.datasets import write_dataset
 from promptmill.sources.logs import append_ledger, read_unconsumed
@@ -24,11 +25,20 @@ def dedup_logs(kept: DataFrame, threshold: float, order_by: list[str] | None = N
 def curate(
     pulled: DataFrame, cfg: CurationConfig = CurationConfig(), order_by: list[str] | None = None
 ) -> DataFrame:
-    """The curated samples of the pulled logs; duplicates are judged on redacted text."""
+    """The curated samples of the pulled logs; duplicates are judged on redacted text.
+
+    The second reading of the texts only redacts the survivors; it does not score again.
+    """
     order_by = order_by or LOG_ORDER
-    samples = dedup_logs(filter_logs(pulled, cfg), cfg.dedup_threshold, order_by)
+    keys = surviving_keys(
+        filter_logs(pulled, cfg),
+        text=sample_text(F.col("prompt"), F.col("response")),
+        order_by=order_by,
+        threshold=cfg.dedup_threshold,
+    )
+    samples = redact_logs(rows_with_keys(pulled, keys, order_by), cfg)
     if cfg.max_samples:
-        samples = samples.orderBy(*order_by).limit(cfg.max_samples)
+        samples = first_rows(samples, order_by, cfg.max_samples)
     return samples
 
 
@@ -75,7 +85,7 @@ def run_curation(
     if pulled.isEmpty():
         return curation_summary(pulled, kept, samples).first().asDict() | {"dataset_id": None}
     if cfg.max_samples:
-        samples = samples.orderBy(*LOG_ORDER).limit(cfg.max_samples)
+        samples = first_rows(samples, LOG_ORDER, cfg.max_samples)
     stored = write_dataset(samples, dataset_id, run_id, datasets_path)
     append_ledger(pulled, run_id, ledger_path)
     return {

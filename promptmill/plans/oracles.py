@@ -247,15 +247,21 @@ SELECT id AS dropped_id, earlier AS kept_id,
 FROM pairs LEFT JOIN sets a ON a.doc_id = id LEFT JOIN sets b ON b.doc_id = earlier"""
 ORACLES["near_dups_verified"] = f"""
 WITH RECURSIVE {_GRAMS},
-v AS (SELECT gram, row_number() OVER ()::INTEGER AS gid FROM (SELECT DISTINCT gram FROM g)),
-sets AS MATERIALIZED (SELECT n.doc_id, list(gid) FILTER (gid IS NOT NULL) AS grams, count(gid) AS size
-         FROM n LEFT JOIN g USING (doc_id) LEFT JOIN v USING (gram) GROUP BY n.doc_id),
-close AS MATERIALIZED (SELECT a.doc_id AS earlier, b.doc_id AS id, a.size AS s, b.size AS t,
-                 len(list_intersect(a.grams, b.grams)) AS common
-          FROM sets a JOIN sets b ON a.doc_id < b.doc_id
-           AND least(a.size, b.size) >= 0.85 * greatest(a.size, b.size)),
-edges AS (SELECT id, earlier FROM close
-          WHERE s + t = 0 OR coalesce(common, 0) / (s + t - coalesce(common, 0))::DOUBLE > 0.85),
+v AS MATERIALIZED (SELECT gram, row_number() OVER (ORDER BY count(*), gram)::INTEGER AS gid
+     FROM g GROUP BY gram),
+ids AS MATERIALIZED (SELECT doc_id, gid, count(*) OVER (PARTITION BY doc_id) AS size,
+     row_number() OVER (PARTITION BY doc_id ORDER BY gid) AS rn FROM g JOIN v USING (gram)),
+rare AS MATERIALIZED (SELECT * FROM ids WHERE rn <= size - ceil(0.85 * size) + 1),
+sets AS MATERIALIZED (SELECT doc_id, list(gid) AS grams, count(*) AS size FROM ids GROUP BY doc_id),
+close AS MATERIALIZED (SELECT DISTINCT a.doc_id AS earlier, b.doc_id AS id
+     FROM rare a JOIN rare b ON a.gid = b.gid AND a.doc_id < b.doc_id
+      AND least(a.size, b.size) >= 0.85 * greatest(a.size, b.size)),
+blank AS (SELECT doc_id FROM n WHERE doc_id NOT IN (SELECT doc_id FROM sets)),
+common AS MATERIALIZED (SELECT id, earlier, a.size AS s, b.size AS t,
+     len(list_intersect(a.grams, b.grams)) AS same
+     FROM close JOIN sets a ON a.doc_id = id JOIN sets b ON b.doc_id = earlier),
+edges AS (SELECT id, earlier FROM common WHERE same / (s + t - same)::DOUBLE > 0.85
+          UNION ALL SELECT b.doc_id, a.doc_id FROM blank a JOIN blank b ON a.doc_id < b.doc_id),
 {_walk('unused AS (SELECT 1)')} SELECT doc_id, source FROM kept"""
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,13 +43,8 @@ def query(function):
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder below the shared one; locally a temporary one."""
-    root = shared_dir(spark)
-    if "://" in root and not root.startswith("file:"):
-        import uuid
-
-        return f"{root}/scratch-{uuid.uuid4()}"
-    return tempfile.mkdtemp(prefix="scratch-", dir=root.removeprefix("file:"))
+    """A new folder below the shared one."""
+    return f"{shared_dir(spark)}/scratch-{uuid.uuid4()}"
 
 
 def _text():
@@ -117,8 +113,6 @@ def redact(spark, sf_dir):
 
 
 def _digit_runs(text: str) -> list[tuple[int, int, str]]:
-    import re
-
     return [(m.start(), m.end(), "NUMBER") for m in re.finditer("[0-9]+", text)]
 
 

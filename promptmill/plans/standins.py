@@ -14,6 +14,7 @@ from promptmill.operators.evaluate import (
     first_verdicts,
     pricing_table,
 )
+from promptmill.session import spread
 
 # Which model, price row and experiment type an event type stands for.
 EVENT_MODELS = {
@@ -31,8 +32,13 @@ EVENT_STAGES = {
 }
 
 
+# Row ids of the tables that carry text or events.
+_ROW_IDS = {"documents": ["doc_id"], "events": ["event_id"], "conversations": ["conv_id", "turn"]}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan, *_ROW_IDS[name]) if name in _ROW_IDS else scan
 
 
 def lookup(key: Column, entries: dict, item: int) -> Column:

@@ -47,3 +47,15 @@ def materialise(df: DataFrame) -> DataFrame:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def spread(scan: DataFrame, *row_id: str) -> DataFrame:
+    """Give every core a share of a file scan that has fewer splits than there are cores.
+
+    A small file is one row group, so one task would do all the text work. A scan with enough
+    splits, as any large table has, is returned unchanged and not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *row_id)

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promptmill import schemas
+from promptmill.operators.ranks import first_rows
+from promptmill.session import spread
 from promptmill.sources.state import read_or_empty
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.INFERENCE_LOGS).parquet(path)
+    return spread(spark.read.schema(schemas.INFERENCE_LOGS).parquet(path), "log_id")
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -27,7 +29,7 @@ def read_unconsumed(logs: DataFrame, ledger: DataFrame, limit: int | None = None
     ).join(ledger.select("log_id"), "log_id", "left_anti")
     if limit is None:
         return fresh
-    return fresh.orderBy("timestamp", "log_id").limit(limit)
+    return first_rows(fresh, ["timestamp", "log_id"], limit)
 
 
 def count_unconsumed(logs: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Curation of logs as they arrive, each row processed once.
 
-The stateless filter and redaction run on the stream. Near-duplicates are removed per
-micro-batch, the same scope as one batch run. The sink replaces the folder of a batch id, so a
-repeated batch leaves no second copy.
+Each micro-batch goes through the same plan as a batch run, near-duplicates included, and the
+checkpoint of the stream remembers which files were read. The sink replaces the folder of a
+batch id, so a repeated batch leaves no second copy.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from promptmill.functions.text import normalize_text, sample_text
 from promptmill.operators.dedup import near_dedup, shape_for
 from promptmill.operators.filters import filter_logs
 from promptmill.operators.skew import attach
-from promptmill.plans.curation import LOG_ORDER
-from promptmill.session import materialise
+from promptmill.plans.curation import LOG_ORDER, curate
+from promptmill.session import materialise, spread
 from promptmill.sources.state import read_or_empty
 
 _BANDS = "batch_id BIGINT, log_id STRING, h1 BIGINT, h2 BIGINT"
@@ -53,32 +53,32 @@ def start_curation(
     text = sample_text(F.col("prompt"), F.col("response"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        samples = batch
-        if across_batches:
-            samples = materialise(samples)
-            bands = materialise(_bands(samples, text, cfg.dedup_threshold))
-            stored = (
-                read_or_empty(batch.sparkSession, f"{output}/bands", _BANDS)
-                .filter(F.col("batch_id") < batch_id)
-                .select("h1", "h2")
-                .distinct()
-            )
-            seen = attach(bands, stored, ["h1", "h2"], spread=F.col("log_id"))
-            samples = samples.join(seen.select("log_id").distinct(), "log_id", "left_anti")
-        samples = near_dedup(
-            samples, text=text, order_by=order_by, threshold=cfg.dedup_threshold
-        )
         folder = f"batch_id={batch_id}"
-        samples.write.mode("overwrite").parquet(f"{output}/samples/{folder}")
-        if across_batches:
-            kept = batch.sparkSession.read.parquet(f"{output}/samples/{folder}").select("log_id")
-            bands.join(kept, "log_id", "left_semi").write.mode("overwrite").parquet(
-                f"{output}/bands/{folder}"
-            )
+        pulled = spread(batch, "log_id")
+        if not across_batches:
+            samples = curate(pulled, cfg, order_by)
+            samples.write.mode("overwrite").parquet(f"{output}/samples/{folder}")
+            return
+        samples = materialise(filter_logs(pulled, cfg))
+        bands = materialise(_bands(samples, text, cfg.dedup_threshold))
+        stored = (
+            read_or_empty(batch.sparkSession, f"{output}/bands", _BANDS)
+            .filter(F.col("batch_id") < batch_id)
+            .select("h1", "h2")
+            .distinct()
+        )
+        seen = attach(bands, stored, ["h1", "h2"], spread=F.col("log_id"))
+        fresh = samples.join(seen.select("log_id").distinct(), "log_id", "left_anti")
+        near_dedup(
+            fresh, text=text, order_by=order_by, threshold=cfg.dedup_threshold
+        ).write.mode("overwrite").parquet(f"{output}/samples/{folder}")
+        kept = batch.sparkSession.read.parquet(f"{output}/samples/{folder}").select("log_id")
+        bands.join(kept, "log_id", "left_semi").write.mode("overwrite").parquet(
+            f"{output}/bands/{folder}"
+        )
 
     return (
-        filter_logs(stream, cfg)
-        .writeStream.foreachBatch(write_batch)
+        stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
