@@ -39,14 +39,14 @@ class Workspace:
         return f"{self.root}/{table}"
 
 
-def _event(spark: SparkSession, ws: Workspace, run_id: str, seq: int, status: str, stage: str, **payload) -> None:
+def _event(spark: SparkSession, ws: Workspace, run_id: str, seq: int, run_status: str, stage: str, **payload) -> None:
     entry = spark.range(1).select(
         F.lit(run_id).alias("run_id"),
         F.current_timestamp().alias("at"),
         F.lit(seq).cast("bigint").alias("seq"),
-        F.lit(status).alias("status"),
+        F.lit(run_status).alias("status"),
         F.lit(stage).alias("stage"),
-        F.from_json(F.lit(json.dumps(payload)), schemas.STAGE_PAYLOAD.removeprefix("STRUCT<").removesuffix(">")).alias("payload"),
+        F.from_json(F.lit(json.dumps(payload)), schemas.STAGE_PAYLOAD).alias("payload"),
         F.lit(None).cast(schemas.RUN_CONFIG).alias("config"),
         F.lit(None).cast("string").alias("triggered_by"),
         F.lit(payload.get("error")).cast("string").alias("error"),
