@@ -249,15 +249,14 @@ def test_dataset_round_trip_and_export(spark, tmp_path):
     assert len(lines) == 42 and {m["role"] for m in lines[0]["messages"]} == {"user", "assistant"}
 
 
-def reply(model, prompt):
-    return f"{model} says {prompt}", 100.0, 10, 20
-
-
-def verdict(system, prompt, attempt):
-    return "broken" if attempt == 1 else '{"score": 5, "reason": "same"}'
+def test_whole_cycle(spark, tmp_path):
+    # Local functions travel to the workers with their code, as a user's notebook functions do.
+    def reply(model, prompt):
+        return f"{model} says {prompt}", 100.0, 10, 20
 
+    def verdict(system, prompt, attempt):
+        return "broken" if attempt == 1 else '{"score": 5, "reason": "same"}'
 
-def test_whole_cycle(spark, tmp_path):
     ws = cycle.Workspace(str(tmp_path))
     make_logs(spark, 60).write.parquet(ws.path("logs"))
     assert cycle.start_if_ready(spark, ws, min_new_logs=500)["status"] == "skipped"
