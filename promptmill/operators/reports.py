@@ -34,8 +34,8 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> D
     rows = df.filter(F.col(column).isNotNull()).select(
         key.alias("_by"), F.col(column).cast("double").alias("x")
     )
-    # Values are counted first: all later steps see distinct values per group, not rows.
-    values = rows.groupBy("_by", "x").agg(F.count("*").alias("rows"))
+    # Values are counted first and kept: all later steps see distinct values per group, not rows.
+    values = materialise(rows.groupBy("_by", "x").agg(F.count("*").alias("rows")))
     span = values.groupBy("_by").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     flat = F.col("low") == F.col("high")
     span = span.select(

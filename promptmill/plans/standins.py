@@ -38,7 +38,9 @@ _ROW_IDS = {"documents": ["doc_id"], "events": ["event_id"], "conversations": ["
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(scan, *_ROW_IDS[name]) if name in _ROW_IDS else scan
+    if name not in _ROW_IDS:
+        return scan
+    return spread(scan, *_ROW_IDS[name], keep=name == "documents")
 
 
 def lookup(key: Column, entries: dict, item: int) -> Column:

@@ -49,13 +49,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(scan: DataFrame, *row_id: str) -> DataFrame:
+def spread(scan: DataFrame, *row_id: str, keep: bool = False) -> DataFrame:
     """Give every core a share of a file scan that has fewer splits than there are cores.
 
     A small file is one row group, so one task would do all the text work. A scan with enough
-    splits, as any large table has, is returned unchanged and not shuffled.
+    splits, as any large table has, is returned unchanged and not shuffled. ``keep`` stores the
+    shares, because the optimizer moves filters to the far side of a plain repartition, where a
+    costly filter would run in that one task again.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     if scan.rdd.getNumPartitions() >= cores:
         return scan
-    return scan.repartition(cores, *row_id)
+    shared = scan.repartition(cores, *row_id)
+    return materialise(shared) if keep else shared
