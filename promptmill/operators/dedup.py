@@ -113,6 +113,9 @@ def dropped_rows(
         "buckets", F.count("*").over(Window.partitionBy("ord"))
     )
     open_rows = materialise(open_rows)
+    if texts is not None:
+        # Only rows in shared buckets are ever compared; their texts are read once.
+        texts = materialise(texts.join(open_rows.select("ord").distinct(), "ord", "left_semi"))
     dropped = []
     while not open_rows.isEmpty():
         leads = (
@@ -130,6 +133,7 @@ def dropped_rows(
         hits = attach(open_rows.drop("buckets"), closing, _BUCKET, spread=F.col("ord"))
         hits = hits.select("ord", "lead").distinct()
         if texts is not None:
+            hits = materialise(hits)
             others = hits.filter(F.col("ord") != F.col("lead"))
             alike = _matches(others, texts).filter(F.col("jaccard") > threshold)
             hits = hits.filter(F.col("ord") == F.col("lead")).unionByName(alike.drop("jaccard"))
@@ -222,5 +226,8 @@ def near_dup_pairs(
         .select("ord", "lead")
         .distinct()
     )
-    scored = _matches(pairs, _normalised(df, text, order_by))
+    pairs = materialise(pairs)
+    named = pairs.select("ord").union(pairs.select("lead")).distinct()
+    texts = _normalised(df, text, order_by).join(named, "ord", "left_semi")
+    scored = _matches(pairs, materialise(texts))
     return scored.filter(F.col("jaccard") > threshold) if verify else scored

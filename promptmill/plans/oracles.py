@@ -536,6 +536,30 @@ ORACLES["registry_snapshot"] = f"""
 WITH {_RANKED} SELECT experiment_id AS model_id, 'production' AS status, NULL::VARCHAR AS promoted_at
 FROM ranked WHERE place = 1"""
 
+ORACLES["promotion_history"] = f"""
+WITH {_RANKED} SELECT experiment_id AS model_id,
+CASE place WHEN 1 THEN 'archived' ELSE 'production' END AS status,
+CASE place WHEN 1 THEN '2024-02-02' ELSE '2024-02-03' END AS promoted_at FROM ranked WHERE place <= 2"""
+ORACLES["archived_models"] = f"""
+WITH {_RANKED} SELECT experiment_id AS model_id, 'archived' AS status,
+CASE place WHEN 1 THEN '2024-02-03' ELSE '2024-02-04' END AS archived_at FROM ranked WHERE place <= 2"""
+ORACLES["recently_promoted"] = f"""
+WITH {_RANKED} SELECT experiment_id AS model_id,
+CASE place WHEN 1 THEN 'archived' WHEN 2 THEN 'production' ELSE 'candidate' END AS status,
+CASE place WHEN 1 THEN '2024-02-02' WHEN 2 THEN '2024-02-03' END AS promoted_at
+FROM ranked ORDER BY promoted_at DESC NULLS LAST, model_id LIMIT 100"""
+ORACLES["promotion_metric_log"] = f"""
+WITH {_EVALS}, {_BEST}, won AS (SELECT * FROM best WHERE NOT ({_ANY_FAIL})) """ + " UNION ALL ".join(
+    f"SELECT 'promotion-' || model_id AS run_name, run_id, '{key}' AS key, {column} AS value FROM won"
+    for key, column in (
+        ("accuracy", "accuracy"), ("latency_p95_ms", "latency_p95_ms"),
+        ("cost_per_1k_tokens", "cost_per_1k_tokens_usd"),
+    )
+)
+ORACLES["completed_experiments"] = f"""
+WITH {_EVALS} SELECT experiment_id, evals.run_id, 'completed' AS status, created_at, accuracy, latency_p95_ms
+FROM evals JOIN exps USING (experiment_id) WHERE sample_count >= 10"""
+
 # --- runs and reports ----------------------------------------------------------------------------
 
 _STAGES = f"""

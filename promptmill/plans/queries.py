@@ -527,6 +527,71 @@ def registry_register(spark, sf_dir):
     return _flat(registry.register(models, again, F.to_timestamp(F.lit("2024-02-03 00:00:00"))))
 
 
+def _after_two_promotions(spark, sf_dir):
+    models, scored = _registry(spark, sf_dir)
+    best = scored.orderBy(F.desc("accuracy"), "experiment_id").select("experiment_id").limit(2)
+    for day, row in enumerate(best.collect(), start=2):
+        models = registry.promote(models, row[0], F.to_timestamp(F.lit(f"2024-02-0{day} 00:00:00")))
+    return models
+
+
+@query
+def promotion_history(spark, sf_dir):
+    history = registry.promotion_history(_after_two_promotions(spark, sf_dir))
+    return _flat(history).select("model_id", "status", "promoted_at")
+
+
+@query
+def archived_models(spark, sf_dir):
+    """Archiving the active model by hand leaves two archived ones and no active one."""
+    models = _after_two_promotions(spark, sf_dir)
+    active = registry.active_model(models).first()["model_id"]
+    models = registry.archive(models, active, F.to_timestamp(F.lit("2024-02-04 00:00:00")))
+    return _flat(registry.list_models(models, "archived")).select(
+        "model_id", "status", "archived_at"
+    )
+
+
+@query
+def recently_promoted(spark, sf_dir):
+    """The model listing, a top-k report: promoted ones first."""
+    listed = registry.recently_promoted(_after_two_promotions(spark, sf_dir))
+    return _flat(listed).select("model_id", "status", "promoted_at")
+
+
+@query
+def promotion_metric_log(spark, sf_dir):
+    """Metrics logged for the experiments that runs would promote."""
+    scored = st.scored(spark, sf_dir)
+    chosen = gate.promotion_decisions(
+        scored.select("run_id").distinct(), scored, DATA_CRITERIA
+    ).filter("promoted").select(F.col("promoted_model_id").alias("experiment_id"))
+    log = metric_log.promotions_to_metric_log(scored.join(chosen, "experiment_id", "left_semi"))
+    return log.select("run_name", F.col("tags")["run_id"].alias("run_id"), "key", "value")
+
+
+@query
+def completed_experiments(spark, sf_dir):
+    """Partial updates folded, completed rows kept, their metrics flattened."""
+    planned = st.experiments(spark, sf_dir).select(
+        "experiment_id", "run_id", "status", "created_at",
+        F.col("created_at").alias("updated_at"), F.lit(1).alias("seq"),
+    )
+    metrics = F.struct("accuracy", "mean_score", "latency_p95_ms", "cost_per_1k_tokens_usd")
+    finished = st.evaluations(spark, sf_dir).filter("sample_count >= 10").select(
+        "experiment_id", "run_id", F.lit("completed").alias("status"), metrics.alias("metrics")
+    )
+    dates = planned.select("experiment_id", "created_at")
+    finished = (
+        finished.join(dates, "experiment_id")
+        .withColumn("updated_at", F.col("created_at"))
+        .withColumn("seq", F.lit(2))
+    )
+    folded = ex.current_experiments(planned.unionByName(finished, allowMissingColumns=True))
+    flat = reports.flatten_metrics(reports.completed(folded))
+    return flat.select("experiment_id", "run_id", "status", "created_at", "accuracy", "latency_p95_ms")
+
+
 @query
 def registry_snapshot(spark, sf_dir):
     """Write, promote, write again, archive, read the current version and its active model."""
