@@ -31,9 +31,9 @@ QUERIES = {}
 
 # Words that occur in the benchmark texts, for the blocklist query.
 DATA_BLOCKLIST = ("the", "elle", "und")
-# A gate that some of the derived experiments pass.
+# A gate that about half of the derived runs pass.
 DATA_CRITERIA = Criteria(
-    min_accuracy=0.5, max_latency_p95_ms=60, max_cost_per_1k_tokens=0.0005, min_eval_sample_size=10
+    min_accuracy=0.5, max_latency_p95_ms=200, max_cost_per_1k_tokens=0.0005, min_eval_sample_size=10
 )
 
 
