@@ -86,17 +86,28 @@ def _rows_per_bucket(prints: DataFrame) -> DataFrame:
 
 
 def _matches(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Add the exact shingle ``jaccard`` of ``ord`` and ``lead`` to each pair."""
+    """Add the exact shingle ``jaccard`` of ``ord`` and ``lead`` to each pair.
+
+    Comparing texts costs far more than moving them, so the pairs are dealt out evenly first; the
+    scores are kept, as a filter on them would otherwise repeat the comparison.
+    """
     left = pairs.join(texts.withColumnRenamed("norm", "_mine"), "ord")
     right = texts.select(F.col("ord").alias("lead"), F.col("norm").alias("_other"))
     both = attach(left, right, ["lead"], spread=F.col("ord"))
-    grams = both.select(
+    session = pairs.sparkSession
+    tasks = max(
+        int(session.conf.get("spark.sql.shuffle.partitions")),
+        session.sparkContext.defaultParallelism,
+    )
+    grams = both.repartition(tasks, "ord", "lead").select(
         "ord",
         "lead",
         shingles(F.col("_mine"), SHINGLE_SIZE).alias("_mine"),
         shingles(F.col("_other"), SHINGLE_SIZE).alias("_other"),
     )
-    return grams.select("ord", "lead", jaccard(F.col("_mine"), F.col("_other")).alias("jaccard"))
+    return materialise(
+        grams.select("ord", "lead", jaccard(F.col("_mine"), F.col("_other")).alias("jaccard"))
+    )
 
 
 def dropped_rows(
