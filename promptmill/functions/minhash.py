@@ -25,9 +25,9 @@ _MAX_HASH = np.uint64((1 << 32) - 1)
 _BITS = np.uint64(61)
 _ONE = np.uint64(1)
 
-# A task forgets its shingle cache beyond this size and reads texts in chunks of so many
-# windows. Together they bound its memory to some 200 MB whatever the length of a text.
-_CACHE_LIMIT = 200_000
+# A task forgets its shingle cache beyond so many hash values and reads texts in chunks of so many
+# windows. Together they bound its memory to a few hundred MB whatever the length of a text.
+_CACHE_VALUES = 25_000_000
 _CHUNK = 200_000
 
 
@@ -124,7 +124,7 @@ class _Signer:
         return signatures
 
     def _sign_pieces(self, pieces: list[tuple[int, str]], signatures: np.ndarray) -> None:
-        if len(self.slots) > _CACHE_LIMIT:
+        if len(self.slots) * self.num_perm > _CACHE_VALUES:
             self._forget()
         joined = "".join(piece for _, piece in pieces)
         overlap = SHINGLE_SIZE - 1

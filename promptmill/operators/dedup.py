@@ -29,6 +29,8 @@ from promptmill.operators.skew import attach
 from promptmill.session import materialise
 
 NUM_PERM = 128
+# More permutations afford longer bands at the same recall, so fewer unlike rows share a bucket.
+VERIFY_PERM = 512
 _BUCKET = ["h1", "h2"]
 
 
@@ -37,9 +39,14 @@ def order_key(order_by: Sequence[str]) -> Column:
     return F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
 
 
-def shape_for(threshold: float, verify: bool, num_perm: int = NUM_PERM) -> BandShape:
+def shape_for(threshold: float, verify: bool, num_perm: int | None = None) -> BandShape:
     """Verified matching wants recall from its bands, unverified matching wants balance."""
-    return (recall_shape if verify else balanced_shape)(threshold, num_perm)
+    choose = recall_shape if verify else balanced_shape
+    return choose(threshold, permutation_count(verify, num_perm))
+
+
+def permutation_count(verify: bool, num_perm: int | None = None) -> int:
+    return num_perm or (VERIFY_PERM if verify else NUM_PERM)
 
 
 def _normalised(df: DataFrame, text: Column, order_by: Sequence[str]) -> DataFrame:
@@ -173,7 +180,7 @@ def near_dedup(
     text: Column,
     order_by: Sequence[str],
     threshold: float = 0.85,
-    num_perm: int = NUM_PERM,
+    num_perm: int | None = None,
     verify: bool = False,
 ) -> DataFrame:
     """The rows of ``df`` that survive, unchanged."""
@@ -189,7 +196,7 @@ def surviving_keys(
     text: Column,
     order_by: Sequence[str],
     threshold: float = 0.85,
-    num_perm: int = NUM_PERM,
+    num_perm: int | None = None,
     verify: bool = False,
 ) -> DataFrame:
     """The order keys ``ord`` of the rows that survive.
@@ -197,9 +204,8 @@ def surviving_keys(
     Signatures are computed once and only they are kept between rounds, some 200 bytes a row.
     """
     shape = shape_for(threshold, verify, num_perm)
-    firsts = materialise(
-        _first_of_each(fingerprints(df, text, order_by, shape, num_perm))
-    )
+    prints = fingerprints(df, text, order_by, shape, permutation_count(verify, num_perm))
+    firsts = materialise(_first_of_each(prints))
     return kept_rows(firsts, df, text, order_by, threshold, verify)
 
 
@@ -217,7 +223,7 @@ def near_dup_pairs(
     text: Column,
     order_by: Sequence[str],
     threshold: float = 0.85,
-    num_perm: int = NUM_PERM,
+    num_perm: int | None = None,
     verify: bool = False,
 ) -> DataFrame:
     """Each dropped row ``ord`` with the earlier kept rows ``lead`` it matches, and ``jaccard``.
@@ -225,7 +231,9 @@ def near_dup_pairs(
     Unverified, a bucket holds one kept row at most, so a row has at most one pair per band.
     """
     shape = shape_for(threshold, verify, num_perm)
-    prints = materialise(fingerprints(df, text, order_by, shape, num_perm))
+    prints = materialise(
+        fingerprints(df, text, order_by, shape, permutation_count(verify, num_perm))
+    )
     firsts = _first_of_each(prints)
     kept = kept_rows(firsts, df, text, order_by, threshold, verify)
     leads = _rows_per_bucket(firsts.join(kept, "ord", "left_semi")).withColumnRenamed(
