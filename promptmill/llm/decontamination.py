@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.llm.membership import membership, passes
-from promptmill.llm.words import ragged, shingle_hashes, signed, strided, word_hashes
+from promptmill.llm.words import light, ragged, shingle_hashes, signed, strided, word_hashes
 from promptmill.session import materialise
 
 _SLICE = 1 << 14
@@ -33,7 +33,7 @@ def _windows(items: DataFrame, item: str, text: str, window: int, shingle: int)
                 own = words[bounds[i] : bounds[i + 1]]
                 for at in range(max(len(own) - window + 1, min(len(own), 1))):
                     run = own[at : at + window]
-                    parts, _ = shingle_hashes(run, np.array([0, len(run)]), shingle)
+                    parts, _ = shingle_hashes(run, np.array([0, len(run)]), min(shingle, len(run)))
                     rows["item"].append(name)
                     rows["words"].append(run.view(np.int64))
                     rows["shingles"].append(parts.view(np.int64))
@@ -84,7 +84,7 @@ def contamination(
     known = membership(windows.select(F.explode("shingles").alias("h")), "h")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in light(batches):
             words, bounds = word_hashes(batch.column("text"))
             found = [h[passes(known.value, h)] for _, h, _, _ in _runs(words, bounds, shingle, widths)]
             if found:
@@ -105,7 +105,7 @@ def contamination(
     before = window - min(widths, default=1)
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in light(batches):
             words, bounds = word_hashes(batch.column("text"))
             hits = []
             for _, hashes, place, row in _runs(words, bounds, shingle, widths):
@@ -187,5 +187,5 @@ def clean(
     dirty = found.filter((F.col("n_hit") > 0) & (F.col("n_hit") >= F.col("n_words") * share)).select(
         F.col("doc_id").alias("_dirty"), F.col("digest").alias("_digest")
     )
-    same = F.col(doc_id).eqNullSafe(F.col("_dirty")) & (F.xxhash64(doc_text) == F.col("_digest"))
+    same = docs[doc_id].eqNullSafe(dirty["_dirty"]) & (F.xxhash64(docs[doc_text]) == dirty["_digest"])
     return docs.join(dirty, same, "left_anti")

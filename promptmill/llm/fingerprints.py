@@ -7,7 +7,7 @@ degrees, so that some parts survive an edit whatever the text's length. Each par
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from promptmill.functions.binding import bind
@@ -127,7 +127,7 @@ BLOCK_ROWS, MOST_CUTS = 2048, 4096
 
 
 def neighbours(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, text`` dealt into blocks of neighbours in id order, for windows over ``FOLLOWING``.
+    """``doc_id, text`` dealt into blocks of neighbours in id order, for windows over ``following()``.
 
     The id order is cut at ids that occur, so that one shuffle brings a block of neighbours together; the row at a cut
     is also sent to the block before it, marked ``_ghost``, and the first row of all follows the last. Rows of equal ids
@@ -153,5 +153,6 @@ def neighbours(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -
     )
 
 
-#: The window of a row and those after it; ghosts come last in their block and are dropped afterwards.
-FOLLOWING = Window.partitionBy("_block").orderBy("_ghost", "_key", "_digest")
+def following() -> WindowSpec:
+    """The window of a row of ``neighbours`` and those after it; ghosts come last and are dropped afterwards."""
+    return Window.partitionBy("_block").orderBy("_ghost", "_key", "_digest")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.llm.components import components
-from promptmill.llm.words import mix, ragged, shingle_hashes, signed, strided, word_hashes
+from promptmill.llm.words import light, mix, ragged, shingle_hashes, signed, strided, word_hashes
 from promptmill.session import materialise
 
 _SLICE = 1 << 14
@@ -121,7 +121,7 @@ def _text_classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold:
     kind = docs.select(doc_id).schema[0].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in light(batches):
             words, bounds = word_hashes(batch.column("text"))
             keys = _band_keys(*_shingles(words, bounds, size), bands, rows)
             keys = ragged(signed(keys.reshape(-1)), np.arange(len(batch) + 1) * bands)
@@ -278,10 +278,7 @@ def one_of_each(
     Of repeated rows with that id and text one stays.
     """
     classes = _text_classes(docs, doc_id, text, size, threshold, recall)
-    kept = classes.filter("digest = first").select(F.col("digest").alias("_digest"), F.col("class_id").alias("_id"))
-    chosen = docs.withColumn("_digest", _digest(text)).join(
-        kept.withColumnRenamed("_digest", "_first"),
-        F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_first")),
-        "left_semi",
-    )
-    return chosen.dropDuplicates([doc_id, "_digest"]).select(*docs.columns)
+    kept = classes.filter("digest = first").select(F.col("digest").alias("_first"), F.col("class_id").alias("_least"))
+    rows = docs.select(F.col(doc_id).alias("_id"), _digest(text).alias("_digest"), F.struct(*docs.columns).alias("_row"))
+    same = F.col("_id").eqNullSafe(F.col("_least")) & (F.col("_digest") == F.col("_first"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["_id", "_digest"]).select("_row.*")

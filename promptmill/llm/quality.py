@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from promptmill.llm.words import shingle_hashes, strided, text_bytes, word_hashes
+from promptmill.llm.words import light, shingle_hashes, strided, text_bytes, word_hashes
 from promptmill.session import materialise
 
 #: Labelled rows a model is fitted on, chosen by a hash of the id: the bound of the sample.
@@ -87,7 +87,7 @@ def with_statistics(docs: DataFrame, *, text: str = "text", prefix: str = "_q_")
     schema = T.StructType([*kept.schema.fields, *(T.StructField(name, T.DoubleType()) for name in names)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in light(batches, text):
             found = _statistics(batch.column(text))
             columns = [*batch.columns, *(pa.array(found[name], pa.float64()) for name in STATISTICS)]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *names])

@@ -63,10 +63,10 @@ def op3_document_fingerprints(spark, sf_dir):
     lexicon = fp.lexicon(docs.select(F.coalesce("text", F.lit("")).alias("text")))
     kept = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - floor(length(text) / 4))"), F.substring("next", F.lit(1), kept))
-    rows = fp.neighbours(docs).withColumn("next", F.lead("text").over(fp.FOLLOWING)).withColumn("edited", edited)
+    rows = fp.neighbours(docs).withColumn("next", F.lead("text").over(fp.following())).withColumn("edited", edited)
     hashed = fp.with_hashes(rows.drop("next"), lexicon, ["text", "edited"], "hashes")
     own, changed, following = F.col("hashes")[0], F.col("hashes")[1], F.col("following")
-    hashed = hashed.withColumn("following", F.lead(own).over(fp.FOLLOWING)).filter("not _ghost")
+    hashed = hashed.withColumn("following", F.lead(own).over(fp.following())).filter("not _ghost")
     return hashed.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),

@@ -196,7 +196,8 @@ def with_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, *, doc_id: str
     """
     nothing = F.array().cast(f"array<{_SPAN}>")
     kept = [c for c in docs.columns if c != "secrets"]
-    keyed = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_own"), F.xxhash64(doc_id, text).alias("_key"))
+    row = F.struct(*kept).alias("_row")
+    keyed = docs.select(row, F.coalesce(F.col(text), F.lit("")).alias("_own"), F.xxhash64(doc_id, text).alias("_key"))
     found = candidates(postings(keyed, "_own", rules), rules)
     spans = []
     for rank, rule in enumerate(rules):
@@ -204,7 +205,7 @@ def with_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, *, doc_id: str
         if trigram_query(rule.pattern) is not True:
             own = F.when(F.coalesce(F.array_contains("_rules", rule.name), F.lit(False)), own).otherwise(nothing)
         spans.append(own)
-    return keyed.join(found, "_key", "left").select(*kept, F.sort_array(F.concat(*spans)).alias("secrets"))
+    return keyed.join(found, "_key", "left").select("_row.*", F.sort_array(F.concat(*spans)).alias("secrets"))
 
 
 def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -6,8 +6,11 @@ digits, ASCII letters and bytes from 0x80 on, so no decoding is needed. Null tex
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: The same words as a pattern, for SQL and for plain Python models.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -119,6 +122,14 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np
     return mix(total), ends
 
 
+def light(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``most`` bytes of text, or one row: hashes take several times the text."""
+    for batch in batches:
+        bounds = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())))
+        for lo, hi in strided(len(batch), bounds, most):
+            yield batch.slice(lo, hi - lo)
+
+
 def strided(rows: int, bounds: np.ndarray, most: int):
     """Ranges of texts that hold at most ``most`` items together, or one text."""
     at = 0
