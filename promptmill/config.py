@@ -44,8 +44,6 @@ class Candidate:
 
 
 MIN_NEW_LOGS = 500
-PULL_LIMIT = 10_000
-
 # The published candidate list and the teacher, which also judges.
 TEACHER_MODEL = "llama-3.3-70b-versatile"
 CANDIDATES = (

@@ -129,12 +129,17 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
+def _mean(metric: str) -> Column:
+    """Mean of a metric of at most six decimals, summed exactly, so that no order of rows changes it."""
+    return F.sum(F.col(metric).cast("decimal(24,6)")).cast("double") / F.count(metric)
+
+
 def accuracy_pivot(experiments: DataFrame) -> DataFrame:
     """Mean accuracy, one row per model and one column per experiment type."""
     return (
         experiments.groupBy("model_id")
         .pivot("experiment_type", list(EXPERIMENT_TYPES))
-        .agg(F.avg("accuracy"))
+        .agg(_mean("accuracy"))
     )
 
 
@@ -142,7 +147,7 @@ def compare_types(experiments: DataFrame) -> DataFrame:
     """Mean metrics per model and experiment type."""
     metrics = ("accuracy", "latency_p95_ms", "cost_per_1k_tokens_usd")
     means = experiments.groupBy("model_id", "experiment_type").agg(
-        *(F.avg(m).alias(m) for m in metrics)
+        *(_mean(m).alias(m) for m in metrics)
     )
     return means.select(
         "model_id", "experiment_type", *(round_exact(F.col(m), 4).alias(m) for m in metrics)

@@ -11,7 +11,7 @@ from promptmill.operators.dedup import near_dedup, rows_with_keys, surviving_key
 from promptmill.operators.filters import filter_logs, redact_logs
 from promptmill.operators.ranks import first_rows
 from promptmill.session import materialise
-from promptmill.sources.datasets import write_dataset
+from promptmill.sources.datasets import read_headers, write_dataset
 from promptmill.sources.logs import append_ledger, read_unconsumed
 
 LOG_ORDER = ["timestamp", "log_id"]
@@ -77,9 +77,23 @@ def run_curation(
     """Curate everything unconsumed into ``dataset_id`` and return the stage result.
 
     The ledger is appended after the dataset is stored, so a run that fails in between loses
-    nothing: its logs are still unconsumed.
+    nothing: its logs are still unconsumed. A run whose own ledger rows are there has stored its dataset:
+    repeating it changes nothing and counts the same logs again.
     """
-    pulled = materialise(read_unconsumed(logs, ledger, limit))
+    own = F.col("run_id") == run_id
+    spark = logs.sparkSession
+    header = read_headers(spark, datasets_path).filter(own & (F.col("dataset_id") == dataset_id)).first()
+    if header is not None and not ledger.filter(own).isEmpty():
+        consumed = logs.join(ledger.filter(own).select("log_id"), "log_id", "left_semi")
+        return {
+            "status": "completed",
+            "reason": None,
+            "logs_pulled": consumed.count(),
+            "samples_after_filter": filter_logs(consumed, cfg).count(),
+            "samples_after_dedup": header["sample_count"],
+            "dataset_id": dataset_id,
+        }
+    pulled = materialise(read_unconsumed(logs, ledger.filter(~own), limit))
     kept = materialise(filter_logs(pulled, cfg))
     samples = dedup_logs(kept, cfg.dedup_threshold)
     if pulled.isEmpty():

@@ -175,7 +175,8 @@ def _plan_stage(spark: SparkSession, ws: Workspace, run_id: str, cfg: RunConfig)
 
 
 def _evaluation_stage(spark: SparkSession, ws: Workspace, run_id: str, responder, ask, is_verdict) -> None:
-    waiting = ex.evaluable(ex_of_run(spark, ws, run_id))
+    # A repeated stage also takes the experiments an earlier attempt has completed, and asks only for what is absent.
+    waiting = ex_of_run(spark, ws, run_id).filter(F.col("status").isin("pending_eval", "completed"))
     samples = datasets.read_samples(spark, ws.path("datasets"))
     asked = ex.experiment_samples(waiting, samples).select(
         "experiment_id", F.col("log_id").alias("sample_id"), "model_name",
@@ -188,7 +189,9 @@ def _evaluation_stage(spark: SparkSession, ws: Workspace, run_id: str, responder
                 F.lit("teacher").alias("role"), "s.prompt")
     )
     folder = f"run_id={run_id}"
-    respond(asked.unionByName(taught), responder).write.mode("overwrite").parquet(
+    stored = state.read_or_empty(spark, f"{ws.path('responses')}/{folder}", schemas.RESPONSES)
+    absent = asked.unionByName(taught).join(stored, ["experiment_id", "sample_id", "role"], "left_anti")
+    respond(absent.select(asked.columns), responder).write.mode("append").parquet(
         f"{ws.path('responses')}/{folder}"
     )
     responses = spark.read.schema(schemas.RESPONSES).parquet(f"{ws.path('responses')}/{folder}")
@@ -196,7 +199,9 @@ def _evaluation_stage(spark: SparkSession, ws: Workspace, run_id: str, responder
         waiting.select("dataset_id").distinct(), "dataset_id", "left_semi"
     ).select(F.col("log_id").alias("sample_id"), "prompt")
     pairs = pair_responses(responses).join(prompts, "sample_id")
-    judge(pairs, ask, is_verdict).write.mode("overwrite").parquet(
+    judged = state.read_or_empty(spark, f"{ws.path('verdicts')}/{folder}", schemas.VERDICTS)
+    unjudged = pairs.join(judged, ["experiment_id", "sample_id"], "left_anti").select(pairs.columns)
+    judge(unjudged, ask, is_verdict).write.mode("append").parquet(
         f"{ws.path('verdicts')}/{folder}"
     )
     raw = spark.read.schema(schemas.VERDICTS).parquet(f"{ws.path('verdicts')}/{folder}")

@@ -659,9 +659,9 @@ ORACLES["accuracy_pivot"] = f"""
 WITH {_EVALS} SELECT model_id, round(avg(accuracy) FILTER (experiment_type = 'icl'), 6) AS icl,
 round(avg(accuracy) FILTER (experiment_type = 'lora_sft'), 6) AS lora_sft FROM evals GROUP BY 1"""
 ORACLES["compare_types"] = f"""
-WITH {_EVALS} SELECT model_id, experiment_type, {_round('avg(accuracy)', 4)} AS accuracy,
-{_round('avg(latency_p95_ms)', 4)} AS latency_p95_ms,
-{_round('avg(cost_per_1k_tokens_usd)', 4)} AS cost_per_1k_tokens_usd FROM evals GROUP BY 1, 2"""
+WITH {_EVALS} SELECT model_id, experiment_type, {_round('sum(accuracy::DECIMAL(24,6))::DOUBLE / count(accuracy)', 4)} AS accuracy,
+{_round('sum(latency_p95_ms::DECIMAL(24,6))::DOUBLE / count(latency_p95_ms)', 4)} AS latency_p95_ms,
+{_round('sum(cost_per_1k_tokens_usd::DECIMAL(24,6))::DOUBLE / count(cost_per_1k_tokens_usd)', 4)} AS cost_per_1k_tokens_usd FROM evals GROUP BY 1, 2"""
 _KEYS = (
     "accuracy", "mean_score", "latency_p50_ms", "latency_p95_ms", "latency_p99_ms",
     "cost_per_1k_tokens_usd", "total_cost_usd", "sample_count",

@@ -2,6 +2,8 @@
 
 import json
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,6 +288,56 @@ def test_whole_cycle(spark, tmp_path):
         cycle.run_cycle(spark, ws, "unknown", reply, verdict, is_json)
 
 
+@pytest.mark.parametrize("lost_at", [2, 4, 6, 8])
+def test_a_lost_driver_loses_no_results(spark, tmp_path, monkeypatch, lost_at):
+    """Stop after a stage's tables are written and before its event, then resume."""
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def reply(model, prompt):
+        (asked / uuid.uuid4().hex).touch()
+        return f"{model} says {prompt}", 100.0, 10, 20
+
+    def verdict(system, prompt, attempt):
+        return '{"score": 5, "reason": "same"}'
+
+    def tables(ws):
+        names = ["responses", "verdicts", "evaluations", "datasets/samples", "ledger"]
+        frames = {n: spark.read.parquet(ws.path(n)).drop("run_id", "dataset_id", "evaluated_at", "consumed_at") for n in names}
+        drop = ("experiment_id",)  # drawn anew for each run
+        return {n: sorted(map(repr, f.drop(*drop).collect())) for n, f in frames.items()}
+
+    options = {"curation": CurationConfig(min_quality_score=0.3)}
+    is_json = lambda raw: raw.startswith("{")
+    results = []
+    for broken in (False, True):
+        ws = cycle.Workspace(str(tmp_path / f"broken-{broken}"))
+        make_logs(spark, 60).write.parquet(ws.path("logs"))
+        run_id = cycle.register_run(spark, ws)
+        before = len(list(asked.iterdir()))
+        if broken:
+            event = cycle._event
+
+            def lost(spark, ws, run_id, seq, *rest, **more):
+                if seq == lost_at:
+                    raise RuntimeError("driver lost")
+                return event(spark, ws, run_id, seq, *rest, **more)
+
+            with monkeypatch.context() as patched:
+                patched.setattr(cycle, "_event", lost)
+                with pytest.raises(RuntimeError, match="driver lost"):
+                    cycle.run_cycle(spark, ws, run_id, reply, verdict, is_json, **options)
+            # Logs that arrive meanwhile belong to a later run.
+            if lost_at > 1:
+                make_logs(spark, 3, start=500).write.mode("append").parquet(ws.path("logs"))
+        decision = cycle.run_cycle(spark, ws, run_id, reply, verdict, is_json, **options)
+        answers = len(list(asked.iterdir())) - before
+        results.append((decision["promoted"], decision["reason"], answers, tables(ws)))
+        status = runs.get_run(cycle.read_runs(spark, ws), run_id).first().status
+        assert status == "completed" and registry.active_model(cycle.read_registry(spark, ws)).count() == 1
+    assert results[0] == results[1]
+
+
 @pytest.mark.parametrize("across", [False, True])
 def test_stream_processes_each_log_once(spark, tmp_path, across):
     source, out = str(tmp_path / "logs"), str(tmp_path / "out")
