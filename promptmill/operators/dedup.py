@@ -83,8 +83,8 @@ def _first_of_each(prints: DataFrame) -> DataFrame:
     """Collapse exact copies to their first row; the partial minimum absorbs hot texts."""
     return (
         prints.groupBy("digest")
-        .agg(F.min(F.struct("ord", "bands")).alias("first"))
-        .select("first.ord", "first.bands")
+        .agg(F.min(F.struct("ord", "bands")).alias("first"), F.count("*").alias("copies"))
+        .select("first.ord", "first.bands", "copies")
     )
 
 
@@ -190,7 +190,7 @@ def near_dedup(
     return rows_with_keys(df, kept, order_by)
 
 
-def surviving_keys(
+def distinct_prints(
     df: DataFrame,
     *,
     text: Column,
@@ -199,13 +199,29 @@ def surviving_keys(
     num_perm: int | None = None,
     verify: bool = False,
 ) -> DataFrame:
-    """The order keys ``ord`` of the rows that survive.
+    """``ord``, ``bands`` and the number of ``copies`` of each distinct text, stored.
 
     Signatures are computed once and only they are kept between rounds, some 200 bytes a row.
     """
     shape = shape_for(threshold, verify, num_perm)
-    prints = fingerprints(df, text, order_by, shape, permutation_count(verify, num_perm))
-    firsts = materialise(_first_of_each(prints))
+    return materialise(
+        _first_of_each(fingerprints(df, text, order_by, shape, permutation_count(verify, num_perm)))
+    )
+
+
+def surviving_keys(
+    df: DataFrame,
+    *,
+    text: Column,
+    order_by: Sequence[str],
+    threshold: float = 0.85,
+    num_perm: int | None = None,
+    verify: bool = False,
+) -> DataFrame:
+    """The order keys ``ord`` of the rows that survive."""
+    firsts = distinct_prints(
+        df, text=text, order_by=order_by, threshold=threshold, num_perm=num_perm, verify=verify
+    )
     return kept_rows(firsts, df, text, order_by, threshold, verify)
 
 

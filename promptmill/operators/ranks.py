@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,13 +12,9 @@ from pyspark.sql import functions as F
 from promptmill.operators.skew import attach
 from promptmill.session import materialise
 
-# Groups up to this many rows are ranked whole. It is also the sketch size for larger ones, of which
-# only 4/_SKETCH of the rows around each wanted rank are ranked.
+# Accuracy of the sketch that says roughly where a rank lies; no result depends on it.
 _SKETCH = 20_000
 
-# Up to this many rows a limit is merged in one task.
-_TOP_K = 100_000
-
 
 def values_at_ranks(
     df: DataFrame,
@@ -27,23 +25,16 @@ def values_at_ranks(
     """The exact value at chosen 0-based ranks of ``value`` within each group.
 
     ``ranks`` maps an output name to ``(fraction, rank)``: ``rank`` is a column over ``n``, the
-    number of non-null values, and ``fraction`` says roughly where it lies. Where all groups are
-    small, each is sorted as a list. Otherwise a bounded quantile sketch brackets each rank, and a
-    second pass counts distinct values inside the brackets and only totals outside, so the final
-    running sum per key covers a sliver of a hot group.
+    number of non-null values, and ``fraction`` says roughly where it lies. A bounded quantile sketch
+    cuts each group closely around the ranks. Equal values are counted together, the parts between the cuts
+    are counted exactly, and a running total orders only the part that a rank falls into: a sliver of a
+    large group, or a larger part should the sketch be off, with the same result.
     """
     keys = list(keys)
-    constant = F.lit(0).alias("_all")
+    on = keys or ["_all"]
     rows = df.filter(F.col(value).isNotNull()).select(
-        *(keys or [constant]), F.col(value).cast("double").alias("_x")
+        *(keys or [F.lit(0).alias("_all")]), F.col(value).cast("double").alias("_x")
     )
-    on = keys or ["_all"]
-    largest = rows.groupBy(*on).agg(F.count("_x").alias("n")).agg(F.max("n")).first()[0]
-    if largest is not None and largest <= _SKETCH:
-        ranked = rows.groupBy(*on).agg(F.sort_array(F.collect_list("_x")).alias("_sorted"))
-        ranked = ranked.withColumn("n", F.size("_sorted").cast("bigint"))
-        picks = [F.col("_sorted")[rank.cast("int")].alias(k) for k, (_, rank) in ranks.items()]
-        return ranked.select(*keys, "n", *picks)
     margin = 2.0 / _SKETCH
     edges = [
         edge
@@ -51,62 +42,45 @@ def values_at_ranks(
         for edge in (max(0.0, fraction - margin), min(1.0, fraction + margin))
     ]
     outline = rows.groupBy(*on).agg(
-        F.count("_x").alias("n"),
-        F.min("_x").alias("_min"),
-        F.max("_x").alias("_max"),
-        F.percentile_approx("_x", edges, _SKETCH).alias("_edges"),
+        F.count("_x").alias("n"), F.percentile_approx("_x", edges, _SKETCH).alias("_edges")
     )
-    small = F.col("n") <= _SKETCH
-    brackets = [
-        F.struct(
-            F.when(small, F.col("_min")).otherwise(F.col("_edges")[2 * i]).alias("low"),
-            F.when(small, F.col("_max")).otherwise(F.col("_edges")[2 * i + 1]).alias("high"),
-        )
-        for i in range(len(ranks))
-    ]
-    outline = outline.select(*on, "n", F.array(*brackets).alias("_brackets"))
-
-    x = F.col("_x")
-    inside = F.exists("_brackets", lambda b: (x >= b["low"]) & (x <= b["high"]))
-    passed = F.size(F.filter("_brackets", lambda b: b["high"] < x))
-    cells = (
-        attach(rows, outline, on, spread=x)
-        .withColumn("_inside", inside)
-        .groupBy(
-            *on,
-            "n",
-            "_inside",
-            F.when(~F.col("_inside"), passed).alias("_gap"),
-            F.when(F.col("_inside"), x).alias("_at"),
-        )
-        .agg(F.count("*").alias("_rows"), F.max("_x").alias("_top"))
+    cells = rows.groupBy(*on, "_x").agg(F.count("*").alias("_rows"))
+    part = F.size(F.filter("_edges", lambda edge: edge < F.col("_x")))
+
+    # A group has at most one part more than edges, so its parts are a short list.
+    parts = (
+        attach(cells, outline, on, spread=F.col("_x"))
+        .groupBy(*on, "n", "_edges", part.alias("_part"))
+        .agg(F.sum("_rows").alias("_total"))
+        .withColumn("_before", F.sum("_total").over(Window.partitionBy(*on).orderBy("_part")) - F.col("_total"))
     )
-    upto = (
-        Window.partitionBy(*on)
-        .orderBy("_top")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    holds = [(rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_total")) for _, rank in ranks.values()]
+    chosen = (
+        parts.filter(reduce(or_, holds))
+        .groupBy(*on, "n", "_edges")
+        .agg(F.map_from_entries(F.collect_list(F.struct("_part", "_before"))).alias("_wanted"))
     )
-    counted = cells.withColumn("_upto", F.sum("_rows").over(upto))
-    bracketed = F.when(F.col("_inside"), F.col("_top")).otherwise(
-        F.raise_error(F.lit("quantile sketch missed its bracket")).cast("double")
+    upto = F.col("_wanted")[F.col("_part")] + F.sum("_rows").over(Window.partitionBy(*on, "_part").orderBy("_x"))
+    counted = (
+        attach(cells, chosen, on, spread=F.col("_x"))
+        .withColumn("_part", part)
+        .filter(F.map_contains_key("_wanted", F.col("_part")))
+        .withColumn("_upto", upto)
     )
-    picks = [
-        F.min_by(F.when(reached, bracketed), F.when(reached, F.col("_upto"))).alias(name)
-        for name, (_, rank) in ranks.items()
-        for reached in [F.col("_upto") > rank]
-    ]
+    picks = [F.min(F.when(F.col("_upto") > rank, F.col("_x"))).alias(name) for name, (_, rank) in ranks.items()]
     result = counted.groupBy(*on, "n").agg(*picks)
     return result if keys else result.drop("_all")
 
 
 def first_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows of a total order.
+    """The first ``n`` rows of a total order, whose columns identify a row.
 
-    A small ``n`` is a top-k, merged in one task; a large one is cut from the numbered frame.
+    Only those columns are sorted and numbered; the rows themselves stay where they are.
     """
-    if n <= _TOP_K:
-        return df.orderBy(*order_by).limit(n)
-    return numbered(df, order_by, "_n").filter(F.col("_n") <= n).drop("_n")
+    chosen = numbered(df.select(*order_by), order_by, "_n").filter(F.col("_n") <= n)
+    chosen = chosen.select(*(F.col(c).alias(f"_first_{c}") for c in order_by))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in order_by))
+    return df.join(chosen, same, "left_semi")
 
 
 def numbered(df: DataFrame, order_by: Sequence[Column | str], name: str) -> DataFrame:

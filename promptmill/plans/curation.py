@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 from promptmill.config import CurationConfig
 from promptmill.functions.text import sample_text
-from promptmill.operators.dedup import near_dedup, rows_with_keys, surviving_keys
+from promptmill.operators.dedup import (
+    distinct_prints,
+    kept_rows,
+    near_dedup,
+    order_key,
+    rows_with_keys,
+    surviving_keys,
+)
 from promptmill.operators.filters import filter_logs, redact_logs
-from promptmill.operators.ranks import first_rows
+from promptmill.operators.ranks import first_rows, numbered
 from promptmill.session import materialise
 from promptmill.sources.datasets import read_headers, write_dataset
 from promptmill.sources.logs import append_ledger, read_unconsumed
@@ -93,20 +100,34 @@ def run_curation(
             "samples_after_dedup": header["sample_count"],
             "dataset_id": dataset_id,
         }
-    pulled = materialise(read_unconsumed(logs, ledger.filter(~own), limit))
-    kept = materialise(filter_logs(pulled, cfg))
-    samples = dedup_logs(kept, cfg.dedup_threshold)
-    if pulled.isEmpty():
-        return curation_summary(pulled, kept, samples).first().asDict() | {"dataset_id": None}
+    # Only keys are kept: which logs this run takes, what survives, and the place of each sample.
+    taken = materialise(read_unconsumed(logs, ledger.filter(~own), limit).select(order_key(LOG_ORDER).alias("ord")))
+    pulled_count = taken.count()
+    if not pulled_count:
+        return {
+            "status": "skipped",
+            "reason": "no_logs_available",
+            "logs_pulled": 0,
+            "samples_after_filter": 0,
+            "samples_after_dedup": 0,
+            "dataset_id": None,
+        }
+    pulled = rows_with_keys(logs, taken, LOG_ORDER)
+    kept = filter_logs(pulled, cfg)
+    text = sample_text(F.col("prompt"), F.col("response"))
+    distinct = distinct_prints(kept, text=text, order_by=LOG_ORDER, threshold=cfg.dedup_threshold)
+    survivors = kept_rows(distinct, kept, text, LOG_ORDER, cfg.dedup_threshold, verify=False)
+    places = numbered(survivors, ["ord"], "seq")
     if cfg.max_samples:
-        samples = first_rows(samples, LOG_ORDER, cfg.max_samples)
-    stored = write_dataset(samples, dataset_id, run_id, datasets_path)
-    append_ledger(pulled, run_id, ledger_path)
+        places = places.filter(F.col("seq") <= cfg.max_samples)
+    keyed = logs.withColumn("ord", order_key(LOG_ORDER)).join(places, "ord").drop("ord")
+    stored = write_dataset(redact_logs(keyed, cfg), dataset_id, run_id, datasets_path)
+    append_ledger(taken.select("ord.log_id"), run_id, ledger_path)
     return {
         "status": "completed",
         "reason": None,
-        "logs_pulled": pulled.count(),
-        "samples_after_filter": kept.count(),
+        "logs_pulled": pulled_count,
+        "samples_after_filter": distinct.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0],
         "samples_after_dedup": stored,
         "dataset_id": dataset_id,
     }

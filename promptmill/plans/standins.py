@@ -32,15 +32,9 @@ EVENT_STAGES = {
 }
 
 
-# Row ids of the tables that carry text or events.
-_ROW_IDS = {"documents": ["doc_id"], "events": ["event_id"], "conversations": ["conv_id", "turn"]}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name not in _ROW_IDS:
-        return scan
-    return spread(scan, *_ROW_IDS[name], keep=name == "documents")
+    return spread(scan) if name == "documents" else scan
 
 
 def lookup(key: Column, entries: dict, item: int) -> Column:

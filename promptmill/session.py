@@ -49,16 +49,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(scan: DataFrame, *row_id: str, keep: bool = False) -> DataFrame:
-    """Give every core a share of a file scan that has fewer splits than there are cores.
+#: Session option: how many tasks share a scan. Unset, scans are left as Spark splits them.
+SCAN_TASKS = "spark.promptmill.scanTasks"
 
-    A small file is one row group, so one task would do all the text work. A scan with enough
-    splits, as any large table has, is returned unchanged and not shuffled. ``keep`` stores the
-    shares, because the optimizer moves filters to the far side of a plain repartition, where a
-    costly filter would run in that one task again.
+
+def spread(scan: DataFrame) -> DataFrame:
+    """The scan dealt out to ``SCAN_TASKS`` tasks and stored, if the session sets that option.
+
+    It is meant for files that cannot be split, such as a single row group, when their rows are costly.
+    They are stored because the optimizer moves filters to the far side of a plain repartition.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    shared = scan.repartition(cores, *row_id)
-    return materialise(shared) if keep else shared
+    tasks = scan.sparkSession.conf.get(SCAN_TASKS, None)
+    return materialise(scan.repartition(int(tasks))) if tasks else scan

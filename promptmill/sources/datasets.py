@@ -16,17 +16,20 @@ _SAMPLES = "seq BIGINT, " + schemas.INFERENCE_LOGS
 def write_dataset(samples: DataFrame, dataset_id: str, run_id: str, path: str) -> int:
     """Store samples in input order under ``dataset_id`` and return their number.
 
-    The header is written last, so a dataset without header is one whose write did not finish;
+    Samples that already have their place ``seq`` keep it; others are numbered by (timestamp, log_id), which sorts
+    whole rows. The header is written last, so a dataset without header is one whose write did not finish;
     writing the same id again replaces it.
     """
-    rows = numbered(samples, ["timestamp", "log_id"], "seq")
+    rows = samples if "seq" in samples.columns else numbered(samples, ["timestamp", "log_id"], "seq")
     rows.write.mode("overwrite").parquet(f"{path}/samples/dataset_id={dataset_id}")
-    stored = samples.sparkSession.read.parquet(f"{path}/samples/dataset_id={dataset_id}")
-    header = stored.agg(F.count("*").alias("sample_count")).select(
-        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("created_at"), "sample_count"
+    count = samples.sparkSession.read.parquet(f"{path}/samples/dataset_id={dataset_id}").count()
+    header = samples.sparkSession.range(1).select(
+        F.lit(run_id).alias("run_id"),
+        F.current_timestamp().alias("created_at"),
+        F.lit(count).cast("bigint").alias("sample_count"),
     )
     header.write.mode("overwrite").parquet(f"{path}/headers/dataset_id={dataset_id}")
-    return stored.count()
+    return count
 
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame:

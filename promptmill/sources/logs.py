@@ -12,7 +12,7 @@ from promptmill.sources.state import read_or_empty
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    return spread(spark.read.schema(schemas.INFERENCE_LOGS).parquet(path), "log_id", keep=True)
+    return spread(spark.read.schema(schemas.INFERENCE_LOGS).parquet(path))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

@@ -54,7 +54,7 @@ def start_curation(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         folder = f"batch_id={batch_id}"
-        pulled = spread(batch, "log_id", keep=True)
+        pulled = spread(batch)
         if not across_batches:
             samples = curate(pulled, cfg, order_by)
             samples.write.mode("overwrite").parquet(f"{output}/samples/{folder}")

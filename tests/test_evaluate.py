@@ -32,9 +32,9 @@ def test_latency_cases(spark, values, expected):
     assert [row.p50_ms, row.p95_ms, row.p99_ms, row.mean_ms] == expected
 
 
-@pytest.mark.parametrize("sketch", [20_000, 50])
+@pytest.mark.parametrize("sketch", [20_000, 50, 2])
 def test_latency_of_hot_and_small_groups(spark, monkeypatch, sketch):
-    """A small sketch forces the bracketed path, with ties and one group of a third of all rows."""
+    """However coarse the sketch, with ties and one group of a third of all rows."""
     monkeypatch.setattr(ranks, "_SKETCH", sketch)
     rng = random.Random(3)
     groups = {"hot": [rng.expovariate(0.01) for _ in range(3000)], "ties": [7.0] * 900 + [9.0] * 100}
