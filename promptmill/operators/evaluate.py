@@ -37,9 +37,9 @@ def latency_stats(responses: DataFrame, keys: Sequence[str], latency: str = "lat
             "p95": _percentile_rank(0.95),
             "p99": _percentile_rank(0.99),
         },
+        {"mean": F.avg("_x")},
     )
-    means = responses.groupBy(*keys).agg(F.avg(latency).alias("mean"))
-    return ranked.join(means, list(keys)).select(
+    return ranked.select(
         *keys,
         *(round_exact(F.col(p), 2).alias(f"{p}_ms") for p in ("p50", "p95", "p99", "mean")),
     )

@@ -9,7 +9,6 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from promptmill.operators.skew import attach
 from promptmill.session import materialise
 
 # Accuracy of the sketch that says roughly where a rank lies; no result depends on it.
@@ -21,6 +20,7 @@ def values_at_ranks(
     keys: Sequence[str],
     value: str,
     ranks: Mapping[str, tuple[float, Column]],
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """The exact value at chosen 0-based ranks of ``value`` within each group.
 
@@ -28,7 +28,8 @@ def values_at_ranks(
     number of non-null values, and ``fraction`` says roughly where it lies. A bounded quantile sketch
     cuts each group closely around the ranks. Equal values are counted together, the parts between the cuts
     are counted exactly, and a running total orders only the part that a rank falls into: a sliver of a
-    large group, or a larger part should the sketch be off, with the same result.
+    large group, or a larger part should the sketch be off, with the same result. ``also`` are aggregates over the
+    column ``_x`` of the values, computed in the sketch's pass.
     """
     keys = list(keys)
     on = keys or ["_all"]
@@ -41,34 +42,47 @@ def values_at_ranks(
         for fraction, _ in ranks.values()
         for edge in (max(0.0, fraction - margin), min(1.0, fraction + margin))
     ]
+    also = also or {}
+    whole = ["n", *also]
     outline = rows.groupBy(*on).agg(
-        F.count("_x").alias("n"), F.percentile_approx("_x", edges, _SKETCH).alias("_edges")
+        F.count("_x").alias("n"),
+        F.percentile_approx("_x", edges, _SKETCH).alias("_edges"),
+        *(aggregate.alias(name) for name, aggregate in also.items()),
     )
+    # Cells of one group are salted, and each (group, salt) that occurs gets a copy of what is known of the group. The
+    # sum makes both uses of the cells one and the same plan, so that they are counted and shuffled once.
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = rows.groupBy(*on, "_x").agg(F.count("*").alias("_rows"))
+    cells = cells.withColumn("_salt", F.pmod(F.xxhash64("_x"), F.lit(salts)))
+    slots = cells.groupBy(*on, "_salt").agg(F.sum("_rows").alias("_in_slot"))
+
+    def beside(known: DataFrame) -> DataFrame:
+        return cells.join(slots.filter("_in_slot > 0").join(known, on), [*on, "_salt"])
+
     part = F.size(F.filter("_edges", lambda edge: edge < F.col("_x")))
 
     # A group has at most one part more than edges, so its parts are a short list.
     parts = (
-        attach(cells, outline, on, spread=F.col("_x"))
-        .groupBy(*on, "n", "_edges", part.alias("_part"))
+        beside(outline)
+        .groupBy(*on, *whole, "_edges", part.alias("_part"))
         .agg(F.sum("_rows").alias("_total"))
         .withColumn("_before", F.sum("_total").over(Window.partitionBy(*on).orderBy("_part")) - F.col("_total"))
     )
     holds = [(rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_total")) for _, rank in ranks.values()]
     chosen = (
         parts.filter(reduce(or_, holds))
-        .groupBy(*on, "n", "_edges")
+        .groupBy(*on, *whole, "_edges")
         .agg(F.map_from_entries(F.collect_list(F.struct("_part", "_before"))).alias("_wanted"))
     )
     upto = F.col("_wanted")[F.col("_part")] + F.sum("_rows").over(Window.partitionBy(*on, "_part").orderBy("_x"))
     counted = (
-        attach(cells, chosen, on, spread=F.col("_x"))
+        beside(chosen)
         .withColumn("_part", part)
         .filter(F.map_contains_key("_wanted", F.col("_part")))
         .withColumn("_upto", upto)
     )
     picks = [F.min(F.when(F.col("_upto") > rank, F.col("_x"))).alias(name) for name, (_, rank) in ranks.items()]
-    result = counted.groupBy(*on, "n").agg(*picks)
+    result = counted.groupBy(*on, *whole).agg(*picks)
     return result if keys else result.drop("_all")
 
 

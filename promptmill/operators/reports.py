@@ -87,7 +87,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> D
 def describe(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, extremes and linearly interpolated quartiles.
 
-    Three passes read the column, so it is stored by itself once.
+    Two passes read the column, so it is stored by itself once: it may be costly to compute.
     """
     df = materialise(df.select(column))
     shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -96,25 +96,17 @@ def describe(df: DataFrame, column: str) -> DataFrame:
     for name, share in shares.items():
         ranks[f"{name}_low"] = (share, F.floor(position[name]))
         ranks[f"{name}_high"] = (share, F.ceil(position[name]))
-    at = values_at_ranks(df, [], column, ranks)
+    moments = {"mean": F.avg("_x"), "std": F.stddev_samp("_x"), "min": F.min("_x"), "max": F.max("_x")}
+    at = values_at_ranks(df, [], column, ranks, moments)
 
     def between(name: str) -> Column:
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         return low + (high - low) * (position[name] - F.floor(position[name]))
 
-    quartiles = at.select(F.lit(0).alias("_all"), *(between(q).alias(q) for q in shares))
-    moments = df.agg(
-        F.count(column).alias("count"),
-        F.avg(column).alias("mean"),
-        F.stddev_samp(column).alias("std"),
-        F.min(column).alias("min"),
-        F.max(column).alias("max"),
-    )
-    return (
-        moments.withColumn("_all", F.lit(0))
-        .join(quartiles, "_all", "left")
-        .select("count", "mean", "std", "min", "q25", "q50", "q75", "max")
-    )
+    # One row or, without values, none: the aggregate makes it one.
+    found = at.select(F.col("n").alias("count"), *moments, *(between(q).alias(q) for q in shares))
+    columns = ["mean", "std", "min", *shares, "max"]
+    return found.agg(F.coalesce(F.max("count"), F.lit(0)).alias("count"), *(F.max(c).alias(c) for c in columns))
 
 
 def flatten_metrics(df: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ EVENT_STAGES = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(scan) if name == "documents" else scan
+    return spread(scan, keep=name == "documents") if name in ("documents", "conversations", "events") else scan
 
 
 def lookup(key: Column, entries: dict, item: int) -> Column:

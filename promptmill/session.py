@@ -53,11 +53,14 @@ def materialise(df: DataFrame) -> DataFrame:
 SCAN_TASKS = "spark.promptmill.scanTasks"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """The scan dealt out to ``SCAN_TASKS`` tasks and stored, if the session sets that option.
+def spread(scan: DataFrame, keep: bool = True) -> DataFrame:
+    """The scan dealt out to ``SCAN_TASKS`` tasks, if the session sets that option.
 
     It is meant for files that cannot be split, such as a single row group, when their rows are costly.
-    They are stored because the optimizer moves filters to the far side of a plain repartition.
+    ``keep`` stores them, because the optimizer moves filters to the far side of a plain repartition.
     """
     tasks = scan.sparkSession.conf.get(SCAN_TASKS, None)
-    return materialise(scan.repartition(int(tasks))) if tasks else scan
+    if not tasks:
+        return scan
+    dealt = scan.repartition(int(tasks))
+    return materialise(dealt) if keep else dealt
