@@ -294,6 +294,7 @@ WHERE doc_id IN (SELECT doc_id FROM kept)"""
 
 ORACLES["curated_samples"] = _curated()
 ORACLES["incremental_curation"] = _curated()
+ORACLES["capped_samples"] = f"SELECT * FROM ({_curated()}) ORDER BY log_id LIMIT 100"
 
 # --- logs and datasets ---------------------------------------------------------------------------
 
@@ -619,6 +620,15 @@ WITH {_RUNS} SELECT run_id, started_at FROM runs WHERE status = 'failed'
 ORDER BY started_at DESC, run_id LIMIT 20"""
 ORACLES["list_experiments"] = f"""
 WITH {_EVENTS} SELECT experiment_id, created_at FROM exps ORDER BY created_at DESC, experiment_id LIMIT 50"""
+ORACLES["evaluable_chosen"] = f"""
+WITH {_EVENTS} SELECT experiment_id, run_id FROM exps WHERE experiment_type = 'lora_sft'"""
+ORACLES["registered_runs"] = """
+SELECT 'run-' || user_id AS run_id, 'pending' AS status, min(ts) AS started_at, 'manual' AS triggered_by,
+true AS run_icl, false AS run_lora_sft, false AS dry_run, 'curation' AS resume_from
+FROM events GROUP BY user_id"""
+ORACLES["one_run"] = f"WITH {_RUNS} SELECT run_id, status, started_at FROM runs WHERE run_id = 'run-7'"
+ORACLES["one_experiment"] = f"""
+WITH {_EVENTS} SELECT experiment_id, run_id, created_at FROM exps WHERE experiment_id = 'exp-7-click'"""
 ORACLES["experiment_fold"] = """
 SELECT user_id AS experiment_id, min(ts) AS created_at, max(ts) AS updated_at,
 arg_max(event_type, (ts, event_id)) AS status,

@@ -228,6 +228,13 @@ def curated_samples(spark, sf_dir):
     )
 
 
+@query
+def capped_samples(spark, sf_dir):
+    """The cap is the feature: the first samples in input order."""
+    capped = curate(st.document_logs(spark, sf_dir), CurationConfig(max_samples=100), ["log_id"])
+    return capped.select("log_id", "response")
+
+
 # --- logs and datasets ---------------------------------------------------------------------------
 
 
@@ -356,6 +363,14 @@ def experiment_samples(spark, sf_dir):
     return ex.experiment_samples(waiting, samples).select("experiment_id", "model_name", "log_id")
 
 
+@query
+def evaluable_chosen(spark, sf_dir):
+    """Waiting experiments, limited to those a plan names."""
+    known = st.experiments(spark, sf_dir)
+    chosen = known.filter("experiment_type = 'lora_sft'").select("experiment_id")
+    return ex.evaluable(known, chosen).select("experiment_id", "run_id")
+
+
 @query
 def paired_responses(spark, sf_dir):
     """Events of one minute share a sample; purchases teach, the others are candidates."""
@@ -627,6 +642,32 @@ def run_fold(spark, sf_dir):
     )
 
 
+@query
+def registered_runs(spark, sf_dir):
+    """A run registered for every user, folded to its first state."""
+    ids = st.table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("ts").alias("at"))
+    started = runs.registration(
+        ids.select(st.run_id().alias("run_id"), "at"), F.col("at"), "manual", run_lora_sft=False
+    )
+    point = runs.resume_points(runs.fold_runs(started))
+    return point.select(
+        "run_id", "status", "started_at", "triggered_by", "config.run_icl", "config.run_lora_sft",
+        "config.dry_run", "resume_from",
+    )
+
+
+@query
+def one_run(spark, sf_dir):
+    """The point lookup is the feature."""
+    return runs.get_run(_runs(spark, sf_dir), "run-7").select("run_id", "status", "started_at")
+
+
+@query
+def one_experiment(spark, sf_dir):
+    """The point lookup is the feature."""
+    return ex.get_experiment(st.experiments(spark, sf_dir), "exp-7-click").select("experiment_id", "run_id", "created_at")
+
+
 @query
 def resume_point(spark, sf_dir):
     resumed = runs.resume_points(_runs(spark, sf_dir))
