@@ -216,7 +216,7 @@ def _evaluation_stage(spark: SparkSession, ws: Workspace, run_id: str, responder
         F.current_timestamp().alias("completed_at"), metrics.alias("metrics"),
     )
     state.append_events(_as_events(finished, 2), ws.path("experiment_events"))
-    state.append_events(to_metric_log(done), ws.path("metric_log"))
+    _log_metrics(to_metric_log(done), ws, run_id, "evaluation")
     _event(spark, ws, run_id, 6, "evaluating", "evaluation", status="completed")
 
 
@@ -224,6 +224,26 @@ def ex_of_run(spark: SparkSession, ws: Workspace, run_id: str) -> DataFrame:
     return read_experiments(spark, ws).filter(F.col("run_id") == run_id)
 
 
+def _log_metrics(rows: DataFrame, ws: Workspace, run_id: str, source: str) -> None:
+    """A run's metrics of one source have a folder of their own, which a repeated stage replaces."""
+    rows.write.mode("overwrite").parquet(f"{ws.path('metric_log')}/logged_by={run_id}/source={source}")
+
+
+def _commit_registry(spark: SparkSession, ws: Workspace, scored: DataFrame, promoted: str | None) -> None:
+    """Register and promote on the current registry, and once more if another run was faster."""
+    for attempt in range(5):
+        parent = state.current_version(spark, ws.path("registry"))
+        current = registry.register(read_registry(spark, ws), scored, F.current_timestamp())
+        if promoted is not None:
+            current = registry.promote(current, promoted, F.current_timestamp())
+        try:
+            state.write_snapshot(current, ws.path("registry"), parent)
+            return
+        except state.SnapshotConflict:
+            if attempt == 4:
+                raise
+
+
 def _promotion_stage(spark: SparkSession, ws: Workspace, run_id: str, criteria: Criteria) -> dict:
     folder = f"{ws.path('evaluations')}/run_id={run_id}"
     this_run = spark.range(1).select(F.lit(run_id).alias("run_id"))
@@ -235,15 +255,10 @@ def _promotion_stage(spark: SparkSession, ws: Workspace, run_id: str, criteria:
     )
     decision = gate.promotion_decisions(this_run, scored, criteria).first().asDict(recursive=True)
     if decision["reason"] != "no_candidate":
-        current = registry.register(read_registry(spark, ws), scored, F.current_timestamp())
-        if decision["promoted"]:
-            current = registry.promote(
-                current, decision["promoted_model_id"], F.current_timestamp()
-            )
-        state.write_snapshot(current, ws.path("registry"))
+        _commit_registry(spark, ws, scored, decision["promoted_model_id"] if decision["promoted"] else None)
     if decision["promoted"]:
         chosen = scored.filter(F.col("experiment_id") == decision["promoted_model_id"])
-        state.append_events(promotions_to_metric_log(chosen), ws.path("metric_log"))
+        _log_metrics(promotions_to_metric_log(chosen), ws, run_id, "promotion")
     _event(spark, ws, run_id, 8, "completed", "promotion", status="completed",
            promoted=decision["promoted"], reason=decision["reason"],
            best_candidate=decision["promoted_model_id"])

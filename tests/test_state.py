@@ -76,6 +76,11 @@ def test_snapshots(spark, models, tmp_path):
     current = state.read_snapshot(spark, path, schemas.MODEL_REGISTRY)
     assert state.write_snapshot(registry.promote(current, "a", at(2)), path) == 2
     assert statuses(state.read_snapshot(spark, path, schemas.MODEL_REGISTRY))["a"] == "production"
+    # A second writer that started from version 1 must not replace version 2.
+    with pytest.raises(state.SnapshotConflict):
+        state.write_snapshot(registry.promote(models, "b", at(3)), path, parent=1)
+    assert state.current_version(spark, path) == 2
+    assert statuses(state.read_snapshot(spark, path, schemas.MODEL_REGISTRY))["a"] == "production"
 
 
 # --- runs ----------------------------------------------------------------------------------------
@@ -182,6 +187,24 @@ def test_numbering_and_first_rows(spark):
     assert sorted(r.v for r in ranks.first_rows(df, ["v"], 100).collect()) == list(range(1, 101))
 
 
+def test_a_faster_run_is_not_overwritten(spark, models, tmp_path, monkeypatch):
+    ws = cycle.Workspace(str(tmp_path))
+    path = ws.path("registry")
+    state.write_snapshot(models, path)
+    read, calls = cycle.read_registry, []
+
+    def interrupted(*given):
+        current = read(*given)
+        if not calls:  # another run promotes between this run's read and its commit
+            calls.append(state.write_snapshot(registry.promote(current, "b", at(2)), path))
+        return current
+
+    monkeypatch.setattr(cycle, "read_registry", interrupted)
+    scored = spark.createDataFrame([("d", "m", "r2", 0.95, 4.0, 90.0, 0.01, 0.1, 60)], SCORED)
+    cycle._commit_registry(spark, ws, scored, "d")
+    assert statuses(read(spark, ws)) == {"a": "candidate", "b": "archived", "c": "candidate", "d": "production"}
+
+
 # --- reports -------------------------------------------------------------------------------------
 
 
