@@ -19,6 +19,8 @@ DEGREES = (2, 4, 6, 8, 10, 12)
 PARTS = 8
 #: Document frequency band, as shares of the texts: rarer terms and commoner ones are left out.
 BAND = (2e-4, 0.15)
+#: A text with fewer lexicon terms has its parts drawn from all its terms.
+FEW = 8
 
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -36,11 +38,12 @@ def _slot(term: Column) -> Column:
 def lexicon(texts: DataFrame, text: str = "text", band: tuple[float, float] = BAND) -> DataFrame:
     """One row with one array: at each slot the lexicon term of that slot, or 0.
 
-    Document frequencies count every text. Of several band terms in one slot the smallest hash is the lexicon's.
-    A term must occur in two texts at least.
+    Document frequencies count distinct texts, so that a group of copies counts once. Of several band terms in one slot the
+    smallest hash is the lexicon's. A term must occur in two texts at least.
     """
-    count = texts.agg(F.count("*").alias("n"))
-    frequencies = texts.select(F.explode(terms(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    digest = F.xxhash64(F.lit("first"), F.col(text)), F.xxhash64(F.lit("second"), F.col(text))
+    count = texts.agg(F.count_distinct(*digest).alias("n"))
+    frequencies = texts.select(text).distinct().select(F.explode(terms(F.col(text))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     n = count.scalar()
     kept = frequencies.filter(
         (F.col("df") >= F.greatest(F.lit(2), F.ceil(n * band[0]))) & (F.col("df") <= F.greatest(F.lit(2), n * band[1]))
@@ -55,16 +58,17 @@ def lexicon(texts: DataFrame, text: str = "text", band: tuple[float, float] = BA
 def _hashes(text: Column, table: Column) -> Column:
     """An array of hashes: one of the whole lexicon's terms, then one for each part; 0 where a part has none.
 
-    A text without lexicon terms is hashed by all its terms, so that it equals only its like.
+    A text without lexicon terms is hashed by all its terms, so that it equals only its like. The parts of a text with few
+    lexicon terms are drawn from all its terms, so that an edit leaves some of them as well.
     """
 
-    def of_held(held: Column, all_terms: Column) -> Column:
+    def of_drawn(held: Column, drawn_from: Column, all_terms: Column) -> Column:
         whole = F.when(F.size(held) > 0, F.xxhash64(held)).otherwise(F.xxhash64(F.lit("none"), all_terms))
 
         def part(degree: int, number: int) -> Column:
             # Seven bits on for each part, so that parts of one degree are drawn nearly independently.
             bits, drawn = F.lit(((1 << degree) - 1) << 7 * number), F.lit(DEGREES.index(degree) << 7 * number)
-            kept = F.filter(held, lambda r: r.bitwiseAND(bits) == drawn)
+            kept = F.filter(drawn_from, lambda r: r.bitwiseAND(bits) == drawn)
             return bind(kept, lambda k: F.when(F.size(k) > 0, F.xxhash64(k)).otherwise(F.lit(0).cast("bigint")))
 
         return F.array(whole, *(part(d, p) for d in DEGREES for p in range(PARTS)))
@@ -72,7 +76,12 @@ def _hashes(text: Column, table: Column) -> Column:
     def of_terms(found: Column) -> Column:
         held = F.filter(found, lambda t: F.get(table, _slot(t)) == t)
         # The lexicon's slot is a term's first bits, so parts are drawn by a second hash.
-        return bind(F.transform(held, lambda t: F.xxhash64(t)), lambda h: of_held(h, found))
+        again = lambda some: F.transform(some, lambda t: F.xxhash64(t))
+
+        def of_held(h: Column) -> Column:
+            return bind(F.when(F.size(h) < FEW, again(found)).otherwise(h), lambda drawn_from: of_drawn(h, drawn_from, found))
+
+        return bind(again(held), of_held)
 
     return bind(F.sort_array(terms(text)), of_terms)
 

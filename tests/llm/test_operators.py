@@ -274,6 +274,22 @@ def test_fingerprints(docs, rows, none):
     assert {r[3] for r in keyed if r[1] == ids[-1]} <= {t or "" for i, t in rows if i is None}
 
 
+@pytest.mark.parametrize("near", [False, True])
+def test_a_large_group_of_copies_keeps_its_parts(spark, near):
+    draw = random.Random(11)
+    other = [" ".join(f"w{draw.randrange(400)}" for _ in range(60)) for _ in range(60)]
+    hot = [f"h{i}" for i in range(80)]
+    # The group's terms are also in one other text; near copies differ by one word.
+    group = [" ".join([*hot, f"own{i}" if near else "own"]) for i in range(40)]
+    texts = [*other, " ".join(hot[:60]), *group]
+    frame = spark.createDataFrame([(t, " ".join(t.split()[2:])) for t in texts], "text string, edited string")
+    hashed = fingerprints.with_hashes(frame, fingerprints.lexicon(frame.select("text")), ["text", "edited"], "hashes")
+    found = hashed.select("text", fingerprints.likeness(F.col("hashes")[0], F.col("hashes")[1]).alias("near")).collect()
+    assert all(r.near > 0.3 for r in found if r.text in group)
+    unlike = fingerprints.likeness(F.col("hashes")[0], F.lit(next(r.hashes for r in hashed.collect() if r.text == group[0])[0]))
+    assert all(r.near < 0.5 for r in hashed.select("text", unlike.alias("near")).collect() if r.text in other)
+
+
 def test_lm_scores_equal_a_plain_model(spark, docs, rows, none, monkeypatch):
     monkeypatch.setattr(lm_scoring, "PAIR_SHARE", 0.002)
     corpus = docs.withColumn("target", F.col("doc_id") % 3 == 0)
