@@ -221,26 +221,95 @@ class _Bins:
         return False
 
 
+class _Search:
+    """All underfull bins as flat arrays of (size, bin); a size of 0 stands for what a bin sends back in a move."""
+
+    def __init__(self, bins: _Bins):
+        self.capacity = bins.capacity
+        self.free = np.array(bins.free, np.int64)
+        self.items = bins.items
+        under = np.flatnonzero((self.free > 0) & (self.free < self.capacity)).tolist()
+        self.places: dict[int, list[int]] = {}
+        size, owner = [], []
+        for b in under:
+            self.places[b] = list(range(len(size), len(size) + len(self.items[b]) + 1))
+            size += [0, *self.items[b]]
+            owner += [b] * (len(self.items[b]) + 1)
+        self.size, self.owner = np.array(size, np.int64), np.array(owner, np.int64)
+        self.room = self.free[self.owner]
+
+    def step(self, a: int) -> int:
+        """Apply the exchange out of bin a that raises the squared fills most; the other bin, or -1 if none raises them."""
+        own = self.items[a]
+        sums = np.zeros(self.capacity + 1, np.int64)
+        sizes, times = np.unique(np.array(own), return_counts=True)
+        first, second = np.triu_indices(len(sizes), 1)
+        for sent in (sizes[first] + sizes[second], 2 * sizes[times > 1], sizes):
+            sums[sent] = sent
+        largest = np.maximum.accumulate(sums)  # the largest sum that is no larger
+        total = largest[self.size + self.room]
+        ahead = self.free[a] - self.room  # how much fuller the other bin is
+        gain = total - self.size
+        worth = gain * (gain + ahead)
+        worth[(gain <= 0) | (gain + ahead <= 0)] = 0
+        worth[self.places[a]] = 0
+        at = int(worth.argmax())
+        if worth[at] <= 0:
+            return -1
+        b, back, sent = int(self.owner[at]), int(self.size[at]), int(total[at])
+        out = [sent] if sent in own else next([x, sent - x] for x in own if sent - x in own and (2 * x != sent or own.count(x) > 1))
+        self._move(a, b, out, [back] if back else [])
+        return b
+
+    def _move(self, a: int, b: int, out: list[int], back: list[int]) -> None:
+        for source, target, sent in ((a, b, out), (b, a, back)):
+            for size in sent:
+                self.items[source].remove(size)
+                self.items[target].append(size)
+                place = next(p for p in self.places[source] if self.size[p] == size)
+                self.places[source].remove(place)
+                self.places[target].append(place)
+                self.owner[place] = target
+        gain = sum(out) - sum(back)
+        self.free[a] += gain
+        self.free[b] -= gain
+        self.room[self.places[a]] = self.free[a]
+        self.room[self.places[b]] = self.free[b]
+        if not self.items[a]:  # an emptied bin takes nothing
+            self.room[self.places[a]] = 0
+
+
+def _settle(bins: _Bins) -> None:
+    """Search until no exchange between any two bins helps; a bin is tried again whenever others have changed."""
+    changed = True
+    while changed:
+        changed = False
+        search = _Search(bins)
+        for a in sorted(search.places, key=lambda b: -search.free[b]):
+            while search.items[a] and search.step(a) >= 0:
+                changed = True
+        bins.free = search.free.tolist()
+
+
 def pack_sizes(sizes: list[int], capacity: int, looked_at: int = 48) -> tuple[list[list[int]], int]:
     """Bins as lists of sizes, and how many bins best fit alone had used.
 
-    The search starts from the emptiest bin, which it tries to dissolve; every step raises the sum
-    of squared fills, so it ends. ``looked_at`` bins are tried for one step.
+    The search first tries to dissolve the emptiest bins, looking at ``looked_at`` others for one step, and then goes on over all
+    bins until no exchange helps. Every step raises the sum of squared fills, so it ends.
     """
     bins = _Bins(capacity)
     for size in sorted(sizes, reverse=True):
         bins.fit(size)
     before = len(bins.items)
     tried: set[int] = set()
-    while True:
+    while len(tried) <= 200:
         emptiest = next((b for f in reversed(bins.open) if f for b in bins.by_free[f] if b not in tried), None)
         if emptiest is None:
             break
         while bins.items[emptiest] and bins.improve(emptiest, looked_at):
             pass
         tried.add(emptiest)
-        if len(tried) > 200:  # the fuller bins that are left cannot be emptied
-            break
+    _settle(bins)
     return [items for items in bins.items if items], before
 
 

@@ -274,6 +274,23 @@ def test_fingerprints(docs, rows, none):
     assert {r[3] for r in keyed if r[1] == ids[-1]} <= {t or "" for i, t in rows if i is None}
 
 
+def test_local_search_ends_where_no_exchange_helps():
+    draw = random.Random(1)
+    for low, high, least in ((300, 900, 40), (400, 800, 40)):
+        sizes = [draw.randint(low, high) for _ in range(10_000)]
+        bins, before = packing.pack_sizes(sizes, 2048)
+        assert sorted(itertools.chain(*bins)) == sorted(sizes) and all(sum(b) <= 2048 for b in bins)
+        assert before - len(bins) >= least
+    for seed in range(30):
+        draw = random.Random(seed)
+        bins, _ = packing.pack_sizes([draw.randint(1, 60) for _ in range(60)], 100)
+        for a, b in itertools.permutations(bins, 2):
+            for out in [*([x] for x in a), *map(list, itertools.combinations(a, 2))]:
+                for back in (0, *b):
+                    gain = sum(out) - back
+                    assert gain <= 0 or sum(b) + gain > 100 or sum(b) + gain <= sum(a)
+
+
 @pytest.mark.parametrize("near", [False, True])
 def test_a_large_group_of_copies_keeps_its_parts(spark, near):
     draw = random.Random(11)
