@@ -2,11 +2,13 @@
 
 Detected entities are gathered into one row per kind and canonical value. A keyed hash draws a surrogate that keeps script,
 gender, length and format; surrogates that two entities share, or that are real entities of the corpus, are drawn again
-until none is left. The same entity has the same surrogate in every text, whatever its spelling.
+until none is left, after ``DRAWS_AS_IS`` draws with more and more places. The same entity has the same surrogate in every
+text, whatever its spelling.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -44,8 +46,8 @@ PATTERNS = {
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
-#: Draws before the surrogates of some kind and length are held to be used up.
-MOST_DRAWS = 64
+#: Draws in an entity's own length; each later draw is one place longer, so that a full space does not end the search.
+DRAWS_AS_IS = 16
 
 
 def _kind(value: Column) -> Column:
@@ -126,9 +128,16 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(_each(digits), weigh), F.lit(0), lambda a, b: a + b)
 
 
+def _more(seed: Column, drawn) -> Column:
+    """The places by which a late draw is longer."""
+    return F.when(F.col("draw") < DRAWS_AS_IS, F.lit("")).otherwise(
+        F.array_join(F.transform(F.sequence(F.lit(1000), 1000 + F.col("draw") - DRAWS_AS_IS), lambda i: drawn(seed, i)), "")
+    )
+
+
 def _card(value: Column, seed: Column) -> Column:
     """Random digits; one that passes the Luhn check keeps passing it."""
-    drawn = _characters(F.expr("left(canonical, length(canonical) - 1)"), lambda c, i: _digit(seed, i))
+    drawn = F.concat(_characters(F.expr("left(canonical, length(canonical) - 1)"), lambda c, i: _digit(seed, i)), _more(seed, _digit))
     check = F.pmod(F.lit(10) - _luhn_sum(F.concat(drawn, F.lit("0"))) % 10, F.lit(10))
     valid = _luhn_sum(value) % 10 == 0
     return F.concat(drawn, F.when(valid, check.cast("string")).otherwise(_digit(seed, F.lit(99))))
@@ -136,14 +145,16 @@ def _card(value: Column, seed: Column) -> Column:
 
 def _ip(value: Column, seed: Column) -> Column:
     octets = [(_number(seed, i, 254) + 1).cast("string") for i in range(4)]
-    return F.concat_ws(".", *octets)
+    # An address of four octets cannot be longer; a late draw is a private one of the longer kind.
+    groups = F.regexp_replace(F.substring(F.sha2(seed.cast("binary"), 256), 1, 28), "(.{4})(?=.)", "$1:")
+    return F.when(F.col("draw") < DRAWS_AS_IS, F.concat_ws(".", *octets)).otherwise(F.concat(F.lit("fd00:"), groups))
 
 
 def _email(value: Column, seed: Column, key: str) -> Column:
     """The local part and the host are drawn apart, so that addresses of one host stay together; the top domain stays."""
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     host, top = F.regexp_replace(domain, r"\.[^.]*$", ""), F.substring_index(domain, ".", -1)
-    return F.concat(_scrambled(local, seed), F.lit("@"), _scrambled(host, F.concat(F.lit(key + "|host|"), domain)), F.lit("."), top)
+    return F.concat(_scrambled(local, seed), _more(seed, _letter), F.lit("@"), _scrambled(host, F.concat(F.lit(key + "|host|"), domain)), F.lit("."), top)
 
 
 def _name(value: Column, seed: Column) -> Column:
@@ -157,7 +168,9 @@ def _name(value: Column, seed: Column) -> Column:
     last = F.lit("")
     for alphabet, syllables in SYLLABLES.items():
         parts = [_pick(syllables, seed, i) for i in range(1, 5)]
-        last = F.when(script == alphabet, F.concat(*parts[:3], F.when(F.length(family) > 9, parts[3]).otherwise(F.lit("")))).otherwise(last)
+        options = syllables.split()
+        more = _more(seed, lambda s, i, o=options: F.array(*map(F.lit, o))[_number(s, i, len(o))])
+        last = F.when(script == alphabet, F.concat(*parts[:3], F.when(F.length(family) > 9, parts[3]).otherwise(F.lit("")), more)).otherwise(last)
     initial = F.when(middle != "", F.concat(middle, F.lit(". "))).otherwise(F.lit(""))
     return F.concat(first, F.lit(" "), initial, last)
 
@@ -166,14 +179,14 @@ def _draw(key: str) -> Column:
     """The surrogate of ``kind``, ``canonical`` at draw number ``draw``."""
     kind, value = F.col("kind"), F.col("canonical")
     seed = F.concat_ws("|", F.lit(key), kind, value, F.col("draw").cast("string"))
-    iban = F.concat(F.substring(value, 1, 2), _scrambled(F.expr("substring(canonical, 3)"), seed))
+    iban = F.concat(F.substring(value, 1, 2), _scrambled(F.expr("substring(canonical, 3)"), seed), _more(seed, _digit))
     return (
         F.when(kind == "email", _email(value, seed, key))
         .when(kind == "card", _card(value, seed))
         .when(kind == "ip", _ip(value, seed))
         .when(kind == "iban", iban)
         .when(kind == "name", _name(value, seed))
-        .otherwise(_scrambled(value, seed))
+        .otherwise(F.concat(_scrambled(value, seed), _more(seed, _digit)))
     )
 
 
@@ -181,12 +194,12 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``kind, canonical, surrogate``, one to one within a kind, and never a real entity.
 
     Each round draws for the entities that are left; a surrogate drawn by several goes to none but the first of them, and one
-    that is taken or real to none. Raises ``ValueError`` after ``MOST_DRAWS`` rounds.
+    that is taken or real to none. The space grows with each late round, so that every entity gets a surrogate.
     """
     entities = materialise(entities.select("kind", "canonical").distinct())
     real = entities.select("kind", F.col("canonical").alias("surrogate"))
     settled, left = None, entities
-    for number in range(MOST_DRAWS):
+    for number in itertools.count():
         drawn = left.withColumn("draw", F.lit(number)).withColumn("surrogate", _draw(key)).select("kind", "canonical", "surrogate")
         taken = real if settled is None else real.unionByName(settled.select("kind", "surrogate"))
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical"))
@@ -195,7 +208,6 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         left = materialise(left.join(fresh, ["kind", "canonical"], "left_anti"))
         if left.isEmpty():
             return settled
-    raise ValueError(f"no distinct surrogates left after {MOST_DRAWS} draws")
 
 
 def _spelled(mention: Column, surrogate: Column) -> Column:
@@ -211,7 +223,8 @@ def _spelled(mention: Column, surrogate: Column) -> Column:
                 F.concat(done["out"], F.when(own, F.substring(surrogate, done["at"], F.lit(1))).otherwise(c)).alias("out"),
             )
 
-        return F.aggregate(_each(given), start, step)["out"]
+        # What a longer surrogate has left goes to the end.
+        return F.aggregate(_each(given), start, step, lambda done: F.concat(done["out"], F.substring(surrogate, done["at"], F.length(surrogate))))
 
     value = mention["value"]
     cased = F.array_join(

@@ -458,3 +458,24 @@ def test_surrogates_stay_distinct(spark):
     found = pii.surrogates(spark.createDataFrame(held, "kind string, canonical string"), "k").collect()
     drawn = {(r.kind, r.surrogate) for r in found}
     assert len(found) == len(drawn) == len(held) and not drawn & set(held)
+
+
+def test_surrogates_of_a_full_space(spark):
+    mails = [f"{a}{b}@example.com" for a in "0123456789" for b in "0123456789"]
+    greek = [("name", f"ελένη {a}{b}{c}") for a in "αβγδεζηθικ" for b in "αβγδεζηθικ" for c in "αβγδεζ"]
+    held = [("email", m) for m in mails] + greek
+    found = pii.surrogates(spark.createDataFrame(held, "kind string, canonical string"), "k").collect()
+    drawn = {(r.kind, r.surrogate) for r in found}
+    assert len(found) == len(drawn) == len(held) and not drawn & set(held)
+    assert sum(re.fullmatch(r"\d\d@[a-z]{7}\.com", s) is not None for k, s in drawn if k == "email") > 80
+    assert all(re.fullmatch(r"\d\d[a-z]*@[a-z]{7}\.com", s) for k, s in drawn if k == "email")
+    # Every kind can grow, and a longer surrogate is written whole in any format.
+    kinds = [("ssn", "123456789", "123-45-6789"), ("phone", "17065553138", "+1 (706) 555-3138"), ("card", "4111111111111111", "4111 1111 1111 1111")]
+    kinds += [("ip", "10.0.0.1", "10.0.0.1"), ("iban", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"), ("name", "bob smith", "Bob Smith")]
+    frame = spark.createDataFrame(kinds, "kind string, canonical string, value string").withColumn("draw", F.lit(pii.DRAWS_AS_IS + 2))
+    late = frame.withColumn("surrogate", pii._draw("k")).withColumn("m", F.struct("kind", "value", "canonical"))
+    for r in late.select("kind", "canonical", "surrogate", pii._spelled(F.col("m"), F.col("surrogate")).alias("written")).collect():
+        plain = re.sub(r"[^0-9A-Za-z]", "", r.written).lower()
+        assert plain == re.sub(r"[^0-9A-Za-z]", "", r.surrogate).lower()
+        if r.kind not in ("ip", "name"):
+            assert len(r.surrogate) == len(r.canonical) + 3
