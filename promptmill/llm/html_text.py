@@ -41,6 +41,11 @@ _SCOPE = {
     "td": frozenset(("table", "tr")), "th": frozenset(("table", "tr")), "thead": frozenset(("table",)),
     "tbody": frozenset(("table",)), "tfoot": frozenset(("table",)), "p": frozenset(("td", "th", "caption", "button", "object")),
 }
+# Inside these only the elements of _IN_TABLE stay; other visible content is put before the table, as HTML has it.
+_TABLE_PARTS = frozenset("table thead tbody tfoot tr colgroup".split())
+_CELLS = frozenset("td th caption".split())
+_STRUCTURE = (_TABLE_PARTS | _CELLS | {"col"}) - {"table"}
+_IN_TABLE = _STRUCTURE | frozenset("style script template".split())
 _ENDS_P = _BLOCK - frozenset("html body td th tr thead tbody tfoot caption".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
@@ -79,12 +84,31 @@ def build(html: str) -> Node:
             if stack[i].name in scope:
                 return
 
+    def open_part() -> int:
+        """Place of the table part that an element of a table belongs to, or 0 inside a cell or outside tables."""
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].name in _CELLS:
+                return 0
+            if stack[i].name in _TABLE_PARTS:
+                return i
+        return 0
+
+    def put(child: Node | str, stays: bool = False) -> None:
+        """Append to the open element, or before the open table if only parts of tables may stay there."""
+        if not stays and stack[-1].name in _TABLE_PARTS:
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].name == "table":  # the last child of the element around it
+                    stack[i - 1].children.insert(-1, child)
+                    return
+        stack[-1].children.append(child)
+
     at, end = 0, len(html)
     while at < end:
         token = _TOKEN.search(html, at)
         text = html[at : token.start() if token else end]
         if text:
-            stack[-1].children.append(unescape(text))
+            text = unescape(text)
+            put(text, not text.strip())
         if not token:
             break
         at = token.end()
@@ -93,13 +117,22 @@ def build(html: str) -> Node:
             continue
         if token[1]:
             if any(node.name == name for node in stack[1:]):
-                close((name,), frozenset(("td", "th", "table")) if name in ("b", "i", "a", "span", "em", "strong", "font", "p") else frozenset())
+                close((name,), frozenset(("td", "th", "table")) if name in ("b", "i", "a", "span", "em", "strong", "font", "p", "form") else frozenset())
             elif name == "p":
-                stack[-1].children.append(Node("p"))
+                put(Node("p"))
             continue
         if name == "html":
             root.attributes |= _attributes(token[3])
             continue
+        if name in _STRUCTURE and (part := open_part()):
+            del stack[part + 1 :]  # what was put before the table ends here
+            if name in ("caption", "colgroup", "col"):
+                close(("tr", "thead", "tbody", "tfoot"), frozenset(("table",)))
+                close(("thead", "tbody", "tfoot"), frozenset(("table",)))
+            if stack[-1].name == "colgroup" and name != "col":
+                stack.pop()
+        elif name == "table" and stack[-1].name in _TABLE_PARTS:
+            close(("table",))
         while name in _ENDS:
             depth = len(stack)
             close(_ENDS[name], _SCOPE.get(name, frozenset()))
@@ -113,7 +146,9 @@ def build(html: str) -> Node:
                 stack[-1].children.append(row)
                 stack.append(row)
         node = Node(name, _attributes(token[3]) if token[3].strip(" /") else None)
-        stack[-1].children.append(node)
+        if name == "form" and stack[-1].name in _TABLE_PARTS and any(n.name == "table" for n in stack):
+            continue  # a form between table parts holds nothing
+        put(node, name in _IN_TABLE)
         if name in _RAW:
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             inner = html[at : stop.start() if stop else end]

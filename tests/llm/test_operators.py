@@ -423,6 +423,26 @@ def test_table_spans_and_visibility():
     assert lines[2].index("b") == lines[3].index("d") and lines[1].index("z") == lines[2].index("c")
 
 
+@pytest.mark.parametrize(
+    "page, seen",
+    [
+        ("<table><tr><form><td>text</td></form></tr></table>after", "text\n\nafter"),
+        ("<table><tbody><form><tr><td>text<td>b</form><tr><td>more</table>", "text  b\nmore"),
+        ("<table><tr>stray<td>a<td>b</table>", "stray\n\na  b"),
+        ("<p>x<table><tr><div>one <b>two</b></div><td>a</td> <td>b</td>tail</tr></table>", "x\n\none two\ntail\n\na  b"),
+        ("<table><tbody><center><tr><td>a</center></table>z", "a\n\nz"),
+        ("<table><tr><td>a<tr><caption>C</caption><tr><td>b</table>", "C\na\nb"),
+        ("<table><colgroup>word<col><tr><td>a</table>", "word\n\na"),
+        ("<table><tr><table><tr><td>in</table>", "in"),
+        ("<form><table><tr><td>a</form><td>b</table>c</form>d", "a  b\n\nc\nd"),
+        ("<table><tr><td><table><tr>w<td>in</table>x<td>y</table>", "w   y\n\nin\n\nx"),
+        ("<tr>no table<td>a", "no table\na"),
+    ],
+)
+def test_content_between_table_parts_is_seen(page, seen):
+    assert html_text.page_text(page) == seen
+
+
 def test_surrogates(spark, none):
     held = [
         (1, "Mail Bob.Smith@Example.com or bob.smith@example.com, tel +1 (706) 555-3138 / +1 706 555 3138, ip 10.0.0.1"),
