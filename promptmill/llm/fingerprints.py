@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from promptmill.functions.binding import bind
 
-#: Slots of the lexicon table, 2 ** 18 longs (2 MiB): its size does not grow with the corpus.
+#: Slots of the lexicon table, 2 ** 18. The band holds at most (mean distinct words of a text / band[0]) terms, so
+#: the table's size does not grow with the number of texts.
 SLOT_BITS = 18
 #: Lexicon parts: for each degree d, ``PARTS`` parts that keep one term in 2 ** d.
 DEGREES = (2, 4, 6, 8, 10, 12)
@@ -36,10 +37,10 @@ def _slot(term: Column) -> Column:
 
 
 def lexicon(texts: DataFrame, text: str = "text", band: tuple[float, float] = BAND) -> DataFrame:
-    """One row with one array: at each slot the lexicon term of that slot, or 0.
+    """One row with one array: at each slot the lexicon terms of that slot, sorted.
 
-    Document frequencies count distinct texts, so that a group of copies counts once. Of several band terms in one slot the
-    smallest hash is the lexicon's. A term must occur in two texts at least.
+    Document frequencies count distinct texts, so that a group of copies counts once. A term must occur in two texts
+    at least.
     """
     digest = F.xxhash64(F.lit("first"), F.col(text)), F.xxhash64(F.lit("second"), F.col(text))
     count = texts.agg(F.count_distinct(*digest).alias("n"))
@@ -48,10 +49,10 @@ def lexicon(texts: DataFrame, text: str = "text", band: tuple[float, float] = BA
     kept = frequencies.filter(
         (F.col("df") >= F.greatest(F.lit(2), F.ceil(n * band[0]))) & (F.col("df") <= F.greatest(F.lit(2), n * band[1]))
     )
-    chosen = kept.groupBy(_slot(F.col("term")).alias("slot")).agg(F.min("term").alias("term"))
+    chosen = kept.groupBy(_slot(F.col("term")).alias("slot")).agg(F.sort_array(F.collect_list("term")).alias("terms"))
     slots = texts.sparkSession.range(1 << SLOT_BITS).select(F.col("id").cast("int").alias("slot"))
-    filled = slots.join(chosen, "slot", "left").select("slot", F.coalesce("term", F.lit(0).cast("bigint")).alias("term"))
-    table = F.transform(F.sort_array(F.collect_list(F.struct("slot", "term"))), lambda s: s["term"])
+    filled = slots.join(chosen, "slot", "left").select("slot", F.coalesce("terms", F.array().cast("array<bigint>")).alias("terms"))
+    table = F.transform(F.sort_array(F.collect_list(F.struct("slot", "terms"))), lambda s: s["terms"])
     return filled.agg(table.alias("table"))
 
 
@@ -74,7 +75,7 @@ def _hashes(text: Column, table: Column) -> Column:
         return F.array(whole, *(part(d, p) for d in DEGREES for p in range(PARTS)))
 
     def of_terms(found: Column) -> Column:
-        held = F.filter(found, lambda t: F.get(table, _slot(t)) == t)
+        held = F.filter(found, lambda t: F.array_contains(F.get(table, _slot(t)), t))
         # The lexicon's slot is a term's first bits, so parts are drawn by a second hash.
         again = lambda some: F.transform(some, lambda t: F.xxhash64(t))
 

@@ -291,6 +291,18 @@ def test_local_search_ends_where_no_exchange_helps():
                     assert gain <= 0 or sum(b) + gain > 100 or sum(b) + gain <= sum(a)
 
 
+def test_the_lexicon_keeps_terms_that_share_a_slot(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "SLOT_BITS", 3)
+    made = [f"common{i // 2}" + f" own{i}" for i in range(60)]
+    frame = spark.createDataFrame([(t,) for t in made], "text string")
+    table = fingerprints.lexicon(frame)
+    held = [t for slot in table.first()["table"] for t in slot]
+    signed = lambda h: h - (h >> 63 << 64)
+    assert sorted(held) == sorted(signed(xxhash.xxh64(f"common{i}".encode(), seed=42).intdigest()) for i in range(30))
+    first = [r.hashes[0][0] for r in fingerprints.with_hashes(frame, table, ["text"], "hashes").orderBy("text").collect()]
+    assert len(set(first)) == 30
+
+
 @pytest.mark.parametrize("near", [False, True])
 def test_a_large_group_of_copies_keeps_its_parts(spark, near):
     draw = random.Random(11)
