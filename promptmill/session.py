@@ -49,6 +49,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that nothing reads any more, in whatever store it lies."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 #: Session option: how many tasks share a scan. Unset, scans are left as Spark splits them.
 SCAN_TASKS = "spark.promptmill.scanTasks"
 
