@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from promptmill.llm import (
+    compression,
     decontamination,
     html_text,
     jaccard,
+    lexical,
     lm_scoring,
     packing,
     pii,
     quality,
     secrets,
     sharding,
+    whitening,
 )
 from promptmill.llm import fingerprints as fp
 
@@ -139,6 +142,38 @@ def op10_surrogate_generation(spark, sf_dir):
     return pii.pseudonymised(table(spark, sf_dir, "documents"), SURROGATE_KEY)
 
 
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    fitted = whitening.fit_list(vectors)
+    model = whitening.fit(fitted, 4)
+    error = whitening.identity_error(fitted, model)
+    explained = F.array(*(F.lit(float(e)) for e in model.explained)).cast("array<double>")
+    rows = whitening.whiten(vectors, model).select(
+        "vec_id", F.expr("try_cast(deviation AS bigint)").alias("deviation"), F.posexplode("whitened").alias("place", "whitened")
+    )
+    return rows.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("bigint").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+@query
+def op12_quality_rules(spark, sf_dir):
+    return compression.rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_ranked_lexical_search(spark, sf_dir):
+    """The 50 best documents of each benchmark item."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = (
     rf"list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
@@ -226,3 +261,23 @@ counts AS (SELECT a AS c, count(*) AS n_links FROM links GROUP BY a)
 SELECT doc_id, c AS copy_of, class_id, coalesce(n_links, 0) AS n_links
 FROM documents JOIN texts ON coalesce(documents.text, chr(1)) = texts.text JOIN classes USING (c) LEFT JOIN counts USING (c)
 """
+
+ORACLES["op13_ranked_lexical_search"] = rf"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
+items AS (SELECT DISTINCT item_id, {_WORDS} AS words, text FROM benchmark),
+wanted AS (SELECT item_id, text, unnest(list_distinct(words)) AS t FROM items),
+whole AS (SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_terms FROM texts WHERE len(words) > 0),
+counted AS (
+  SELECT r, doc_id, t, n, count(*) AS tf FROM (SELECT r, doc_id, len(words) AS n, unnest(words) AS t FROM texts)
+  WHERE t IN (SELECT t FROM wanted) GROUP BY r, doc_id, t, n),
+weighed AS (
+  SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counted, whole GROUP BY t),
+scored AS (
+  SELECT item_id, text, r, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM wanted JOIN counted USING (t) JOIN weighed USING (t), whole GROUP BY item_id, text, r, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS FIRST)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 50
+"""

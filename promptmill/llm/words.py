@@ -37,16 +37,20 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(table)
 
 
-def _byte_values() -> np.ndarray:
-    """A 64-bit value for each byte; 0 for bytes that separate words; equal for A-Z and a-z."""
+def byte_values(byte: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """A 64-bit value for each of the 256 bytes, by what it counts as; 0 for those that separate words."""
+    return np.where(word, mix(byte.astype(np.uint64) + _BASE) | np.uint64(1), np.uint64(0))
+
+
+def _folded() -> np.ndarray:
+    """Values that are equal for A-Z and a-z, for words of digits, ASCII letters and bytes from 0x80 on."""
     byte = np.arange(256)
     lower = np.where((byte >= 0x41) & (byte <= 0x5A), byte + 32, byte)
     word = ((lower >= 0x30) & (lower <= 0x39)) | ((lower >= 0x61) & (lower <= 0x7A)) | (lower >= 0x80)
-    return np.where(word, mix(lower.astype(np.uint64) + _BASE) | np.uint64(1), np.uint64(0))
+    return byte_values(lower, word)
 
 
-_VALUES = _byte_values()
-_IS_WORD = _VALUES != 0
+_VALUES = _folded()
 _UP, _DOWN = _powers(_BASE, _CHUNK), _powers(_INVERSE, _CHUNK)
 
 
@@ -61,13 +65,14 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, values: np.ndarray = _VALUES) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word in order, and where each text's words start, plus the end.
 
-    The bytes are worked through in pieces that end between words, so memory beyond the hashes
+    ``values`` says what each byte counts as (``byte_values``). The bytes are worked through in pieces that end between words, so memory beyond the hashes
     does not depend on how long a text is (only on its longest word).
     """
     raw, bounds = text_bytes(texts)
+    is_word = values != 0
     begins = np.zeros(len(raw) + 1, bool)
     begins[bounds] = True
     places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
@@ -75,20 +80,20 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     while at < len(raw):
         end = min(at + _CHUNK, len(raw))
         if end < len(raw):
-            gaps = np.flatnonzero(~_IS_WORD[raw[at:end]] | begins[at:end])
+            gaps = np.flatnonzero(~is_word[raw[at:end]] | begins[at:end])
             if len(gaps) and gaps[-1]:
                 end = at + int(gaps[-1])
             else:  # one word fills the piece: take it whole
                 step = _CHUNK
                 while end < len(raw):
-                    later = np.flatnonzero(~_IS_WORD[raw[end : end + step]] | begins[end : end + step][: len(raw[end : end + step])])
+                    later = np.flatnonzero(~is_word[raw[end : end + step]] | begins[end : end + step][: len(raw[end : end + step])])
                     if len(later):
                         end += int(later[0])
                         break
                     end = min(end + step, len(raw))
         piece = raw[at:end]
-        values = _VALUES[piece]
-        word = values != 0
+        own = values[piece]
+        word = own != 0
         first = word.copy()
         first[1:] &= ~word[:-1] | begins[at + 1 : end]
         starts = np.flatnonzero(first)
@@ -96,7 +101,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             n = len(piece)
             up, down = (_UP, _DOWN) if n <= _CHUNK else (_powers(_BASE, n), _powers(_INVERSE, n))
             places.append(starts + at)
-            hashes.append(np.add.reduceat(values * up[:n], starts) * down[starts])
+            hashes.append(np.add.reduceat(own * up[:n], starts) * down[starts])
         at = end
     place = np.concatenate(places)
     return mix(np.concatenate(hashes)), np.searchsorted(place, bounds)
