@@ -78,6 +78,7 @@ def rank(
     blocks = math.ceil(terms.count() / block_terms)
     block = F.pmod(F.xxhash64("item"), F.lit(max(blocks, 1)))
     found = [_search(given, terms.filter(block == number), k) for number in range(blocks)]
+    found = [f for f in found if f is not None]
     if not found:
         empty = spark.createDataFrame([], "item bigint, score bigint")
         best = empty.join(given.select("doc_id").filter("false"), F.lit(True))
@@ -101,10 +102,12 @@ def impacts(times: np.ndarray, weight: np.ndarray, m: np.ndarray) -> np.ndarray:
     return weight * ((1_000_000_000 * times) // (1000 * times + 20 * m))
 
 
-def _search(given: DataFrame, terms: DataFrame, k: int) -> DataFrame:
-    """``item, doc_id, score`` of one block of queries: at least the best ``k`` of each, few more."""
+def _search(given: DataFrame, terms: DataFrame, k: int) -> DataFrame | None:
+    """``item, doc_id, score`` of one block of queries: the best ``k`` of each; None for a block without queries."""
     spark = given.sparkSession
     rows = terms.select("item", "term").collect()  # one block
+    if not rows:
+        return None
     vocabulary, place = np.unique(np.array([r["term"] for r in rows], np.int64).view(np.uint64), return_inverse=True)
     numbers, owner = np.unique(np.array([r["item"] for r in rows], np.int64), return_inverse=True)
     kind = given.schema["doc_id"].dataType.simpleString()
