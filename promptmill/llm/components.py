@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promptmill.operators.skew import attach
 from promptmill.session import materialise
 
 
@@ -14,7 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has long columns ``a`` and ``b``. Alternates the large-star and small-star steps until
     nothing changes: each links the neighbours of a node to their smallest, so the number of rounds
     grows with the logarithm of the longest path. Every step is a combinable minimum per node and
-    a join on the node; a node of many neighbours is split by Spark's skew join.
+    a join on the node, salted so that a node of many neighbours is split.
     """
     edges = materialise(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -23,14 +24,14 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         smallest = both.groupBy("a").agg(F.min("b").alias("low"))
         large = (
-            both.join(smallest, "a")
+            attach(both, smallest, ["a"], F.col("b"))
             .filter("b > a")
             .select(F.col("b").alias("a"), F.least("a", "low").alias("b"))
             .distinct()
         )
         lowest = large.groupBy("a").agg(F.min("b").alias("low"))
         small = (
-            large.join(lowest, "a")
+            attach(large, lowest, ["a"], F.col("b"))
             .select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e"))
             .select("e.*")
             .filter("a <> b")

@@ -1,9 +1,10 @@
 """Near-duplicate links between texts: MinHash banding, then a check on the full n-gram sets.
 
-Equal texts are one class and are joined once. Classes that share a band are dealt into blocks of
-bounded size; a task compares two blocks. A pair is decided in the first band it shares, so no
-pair is ever written: tasks first name the classes whose sets they need, and, given the texts, return
-link counts per class and a spanning forest of the links.
+Equal texts are one class and are joined once. Bands are matched on narrow rows of (class, band, key); only classes that
+share a band with another go on. They are dealt into blocks of bounded size; a task compares two blocks. A pair is
+decided in the first band it shares, so no pair is ever written: tasks first name the classes whose sets they need,
+then only the texts of these are read again, one of each class, and the tasks return link counts per class and a
+spanning forest of the links.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.llm.components import components
+from promptmill.llm.membership import membership, passes
 from promptmill.llm.words import light, mix, ragged, shingle_hashes, signed, strided, word_hashes
+from promptmill.operators.skew import attach
 from promptmill.session import materialise
 
 _SLICE = 1 << 14
-#: Classes in a block: a task holds the sets of two blocks at most.
-BLOCK = 512
+#: Classes in a block, and words in one on average: a task holds the sets of two blocks.
+BLOCK, BLOCK_WORDS = 512, 1 << 20
 
 
 def banding(threshold: float, recall: float, rows: int = 5) -> int:
@@ -43,7 +46,7 @@ def _band_keys(shingles: np.ndarray, ends: np.ndarray, bands: int, rows: int) ->
             key = np.full(len(full), band + 1, np.uint64)
             for factor in factors[band * rows : (band + 1) * rows]:
                 key = mix(key ^ np.minimum.reduceat(own * factor, cuts[full]))
-            keys[lo + full, band] = key
+            keys[lo + full, band] = np.maximum(key, 1)  # 0 stands for none
     return keys
 
 
@@ -73,7 +76,7 @@ def _groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[t
 
 
 def _compared(keys: np.ndarray, block: np.ndarray, task: tuple) -> np.ndarray:
-    """Index pairs (i < j) that this task decides: their first common band is the task's."""
+    """Index pairs (i < j) that this task decides: their first common band is the task's. A key of 0 is in no band."""
     band, _, p, q = task
     if p == q:
         i, j = np.triu_indices(len(keys), 1)
@@ -82,7 +85,7 @@ def _compared(keys: np.ndarray, block: np.ndarray, task: tuple) -> np.ndarray:
         i, j = np.repeat(one, len(two)), np.tile(two, len(one))
     later = np.zeros(len(i), bool)
     for earlier in range(band):
-        later |= keys[i, earlier] == keys[j, earlier]
+        later |= (keys[i, earlier] == keys[j, earlier]) & (keys[i, earlier] != 0)
     return np.stack([i[~later], j[~later]])
 
 
@@ -138,18 +141,20 @@ def _text_classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold:
     ).withColumn("cls", F.monotonically_increasing_id())
 
     # Classes that share a band, dealt into blocks; a task (band, key, p, q) compares blocks p and q.
-    banded = classes.filter("n_words > 0").select("cls", "keys", F.posexplode("keys").alias("band", "key"))
-    crowded = banded.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    banded = classes.filter("n_words > 0").select("cls", "n_words", F.posexplode("keys").alias("band", "key"))
+    crowded = materialise(banded.groupBy("band", "key").agg(F.count("*").alias("n"), F.sum("n_words").alias("words")).filter("n > 1"))
+    # Both sides are shuffled as they are, so that Spark can split a key that a third of all classes share.
+    met = banded.drop("n_words").join(crowded, ["band", "key"])
+    blocks = F.ceil(F.least("n", F.greatest(F.col("n") / BLOCK, F.col("words") / BLOCK_WORDS))).cast("int")
+    shared = met.groupBy("cls").agg(F.collect_list(F.struct("band", "key", blocks.alias("blocks"))).alias("met"))
+    by_band = F.map_from_entries(F.transform("met", lambda m: F.struct(m["band"], m["key"])))
+    own = F.pmod(F.xxhash64("cls"), F.col("m.blocks")).cast("int")
     dealt = (
-        banded.join(crowded, ["band", "key"])
-        .withColumn("blocks", blocks)
-        .withColumn("block", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "band", "key", "cls", "keys", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")
-        )
+        shared.withColumn("by_band", by_band)
+        .withColumn("keys", F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.coalesce(F.element_at("by_band", b), F.lit(0).cast("bigint"))))
+        .select("cls", "keys", F.explode("met").alias("m"))
+        .select("cls", "keys", "m.band", "m.key", own.alias("block"), F.explode(F.sequence(F.lit(0), F.col("m.blocks") - 1)).alias("other"))
+        .select("band", "key", "cls", "keys", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
     )
     task = ["band", "key", "p", "q"]
 
@@ -179,14 +184,21 @@ def _text_classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold:
         )
     )
 
-    # The texts of the named classes, one document of each.
-    named = needed.select("cls").distinct().join(classes.select("cls", "digest", "copy_of"), "cls")
-    same = F.col("doc_id").eqNullSafe(F.col("copy_of")) & (given["digest"] == F.col("named_digest"))
-    texts = (
-        given.join(named.withColumnRenamed("digest", "named_digest"), same)
-        .groupBy("cls")
-        .agg(F.max("text").alias("text"))
-    )
+    # The texts of the named classes, one of each. A bitmap of fixed size leaves most other rows where they are.
+    named = materialise(needed.select("cls").distinct().join(classes.select("cls", "digest", "copy_of"), "cls"))
+    standing = F.xxhash64("digest", "doc_id").alias("standing")
+    wanted = membership(named.select(F.xxhash64("digest", F.col("copy_of").alias("doc_id")).alias("standing")), "standing")
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column("standing").to_numpy().view(np.uint64)
+            kept = batch.filter(pa.array(passes(wanted.value, hashes)))
+            if len(kept):
+                yield pa.RecordBatch.from_arrays([kept.column("digest"), kept.column("text")], ["digest", "text"])
+
+    picked = given.select("digest", "text", standing).mapInArrow(pick, "digest binary, text string")
+    texts = picked.groupBy("digest").agg(F.max("text").alias("text"))
+    asked = needed.join(named.select("cls", "digest"), "cls")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows_out: list[tuple[int, int, int]] = []
@@ -218,7 +230,7 @@ def _text_classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold:
             yield as_batch(rows_out, (pa.int64(),) * 3)
 
     found = materialise(
-        needed.join(texts, "cls")
+        asked.join(texts, "digest")
         .select(*task, "cls", "keys", "block", "text")
         .repartition(*task)
         .sortWithinPartitions(*task)
@@ -231,8 +243,9 @@ def _text_classes(docs: DataFrame, doc_id: str, text: str, size: int, threshold:
         .join(groups.withColumnRenamed("node", "cls"), "cls", "left")
         .select("digest", "copy_of", "n_links", F.coalesce("root", "cls").alias("root"))
     )
-    named_groups = members.groupBy("root").agg(F.min(F.struct(F.col("copy_of").isNull(), "copy_of", "digest")).alias("least"))
-    return members.join(named_groups, "root").select(
+    least = F.min(F.struct(F.col("copy_of").isNull(), "copy_of", "digest"))
+    named_groups = members.groupBy("root").agg(least.alias("least"))
+    return attach(members, named_groups, ["root"], F.col("digest")).select(
         "digest",
         "copy_of",
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
