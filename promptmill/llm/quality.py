@@ -138,7 +138,8 @@ def fit(
     Without rows the model scores 0.5 for all, with rows of one label it scores close to that label.
     """
     rows = rows.filter(F.col(label).isin(0, 1)).select(F.col(label).cast("double").alias("label"), *(prefix + s for s in STATISTICS))
-    rows = materialise(rows.coalesce(6))
+    # Stored first: fewer tasks would also scan the texts in fewer tasks.
+    rows = materialise(materialise(rows).coalesce(6))
     count, positive = rows.agg(F.count("*"), F.sum("label")).first()
     if not count or positive in (0, count):
         share = ((positive or 0) + 1) / (count + 2)
