@@ -34,9 +34,10 @@ SYLLABLES = {
 }
 
 _NAMES = "|".join(sorted({n for names in GIVEN.values() for n in names.split()}))
-#: Patterns by kind, in the order they are tried at a place.
+#: Patterns by kind, in the order they are tried at a place. A group that is repeated without limit matches single
+#: characters only, because Java recurses for each repetition of a group of varying width.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-](?:(?!\.\.)[A-Za-z0-9.-])*\.[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![0-9A-Za-z.+-])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z.+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",

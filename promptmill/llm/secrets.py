@@ -37,12 +37,13 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 ADDED_RULES = (
-    Rule("pem", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----"),
     Rule("github", r"gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abps]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_live_[A-Za-z0-9]{16,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # Guarded in front, else a run of "eyJ" without a dot would be read anew from each.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE_RULES + ADDED_RULES
 
