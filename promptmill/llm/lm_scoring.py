@@ -1,179 +1,205 @@
 """Cross-entropy difference: how much better a target language model predicts a text than a background one.
 
-Both models are interpolated bigram models over one vocabulary and one list of bigrams, counted over whole
-corpora. Both lists are pruned by their share of the background corpus, so that they have at most
-``1 / share`` entries however large the corpus is; that is the proven size of what is broadcast.
+Both models are bigram models interpolated with unigrams, over one vocabulary: every word and every bigram of the corpus
+counts, at every size. Counts are never gathered in one place. Documents are dealt into blocks of some two million words as
+they are read; a block is stored with its words as numbers, and sends one narrow row for each distinct word, history and bigram
+it holds. Those rows meet by key, where they are summed, and the sums that differ from a block's own go back to it. The
+stored blocks are bucketed by number, so that only the sums are shuffled to them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from promptmill.llm.words import light, signed, word_hashes
-from promptmill.session import materialise
+from promptmill.llm.words import light, mix, ragged, signed, word_hashes
+from promptmill.session import discard, materialise, shared_dir
 
-#: Words and bigrams with a smaller share of the background's are pruned: 65,536 and 1,048,576 at most.
-WORD_SHARE, PAIR_SHARE = 2.0**-16, 2.0**-20
-#: Weight of the bigram estimate.
+#: Weight of the bigram estimate where the history occurs.
 PAIR_WEIGHT = 0.5
-
-_HELD = 2_000_000  # words gathered before a task counts them
-
-
-def _gathered(batches: Iterator[pa.RecordBatch], read) -> Iterator[tuple]:
-    """What ``read`` makes of some batches together, so that equal keys are counted once for many texts."""
-    held, words = [], 0
-    for batch in light(batches):
-        found, bounds = word_hashes(batch.column("text"))
-        held.append((found, bounds, batch))
-        words += len(found)
-        if words >= _HELD:
-            yield read(held)
-            held, words = [], 0
-    if held:
-        yield read(held)
-
-
-def _counted(keys: np.ndarray, target: np.ndarray) -> pa.RecordBatch:
-    keys, place, counts = np.unique(keys, return_inverse=True, return_counts=True)
-    inside = np.bincount(place, weights=target, minlength=len(keys)).astype(np.int64)
-    return pa.RecordBatch.from_arrays(
-        [signed(keys.astype(np.uint64)), pa.array(counts, pa.int64()), pa.array(inside, pa.int64())], ["key", "n", "n_target"]
+#: Words in a block, about; a longer text is a block of its own.
+BLOCK_WORDS = 2_000_000
+
+#: What a block's words are mixed with for each kind of key; a key is that of a word, of a history, or of two words.
+_WORD, _HISTORY, _PAIR = (np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+#: The history of a text's first word.
+_START = np.uint64(0x27D4EB2F165667C5)
+
+
+class _Block:
+    """The texts of a block by number of word, and its own counts of all keys that it needs."""
+
+    def __init__(self, words: np.ndarray, ids: np.ndarray, ends: np.ndarray, counted: np.ndarray, target: np.ndarray):
+        size = len(words) + 1
+        first = np.zeros(len(ids), bool)
+        first[ends[:-1][np.diff(ends) > 0]] = True
+        before = np.concatenate(([0], ids[:-1])) if len(ids) else ids
+        self.ids, self.ends = ids, ends
+        self.before = np.where(first, size - 1, before)  # the last number stands for the start
+        pairs, self.pair = np.unique(self.before.astype(np.int64) * size + ids, return_inverse=True)
+        named = np.concatenate((words, [_START]))
+        rows = np.repeat(counted, np.diff(ends)).astype(float), np.repeat(counted & target, np.diff(ends)).astype(float)
+        self.keys = np.concatenate(
+            (mix(words ^ _WORD), mix(named ^ _HISTORY), mix(mix(named[pairs // size] ^ _PAIR) + named[pairs % size]))
+        )
+        self.counts = [
+            np.concatenate(
+                (
+                    np.bincount(ids, r, size - 1),
+                    np.bincount(self.before, r, size),
+                    np.bincount(self.pair, r, len(pairs)),
+                )
+            ).astype(np.int64)
+            for r in rows
+        ]
+        self.size = size
+
+    def losses(self, totals: list[np.ndarray], tokens: list[int], vocabulary: int) -> Iterator[np.ndarray]:
+        """Summed loss of each text under the counts ``totals`` of the block's keys, for the background and the target."""
+        for counts, whole in zip(totals, tokens):
+            word, history, pair = np.split(counts.astype(float), [self.size - 1, 2 * self.size - 1])
+            single = (word + 1) / (whole + vocabulary + 1)
+            weight = np.where(history > 0, PAIR_WEIGHT, 0.0)
+            seen = np.maximum(history, 1)
+            chance = weight[self.before] * pair[self.pair] / seen[self.before] + (1 - weight[self.before]) * single[self.ids]
+            loss, out = -np.log(chance), np.zeros(len(self.ends) - 1)
+            full = np.flatnonzero(np.diff(self.ends))
+            if len(full):
+                out[full] = np.add.reduceat(loss, self.ends[:-1][full])
+            yield out
+
+
+def _stored_blocks(rows: DataFrame, kind: str) -> DataFrame:
+    """One row per block: its words' hashes, and per text its id, flags and words by number."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in light(batches):
+            found, bounds = word_hashes(batch.column("text"))
+            held.append((found, np.diff(bounds), batch))
+            size += len(found)
+            if size >= BLOCK_WORDS:
+                yield block(number, held)
+                number, held, size = number + 1, [], 0
+        if held:
+            yield block(number, held)
+
+    def block(number: int, held: list) -> pa.RecordBatch:
+        words, ids = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        lists = [pa.concat_arrays([h[2].column(c) for h in held]) for c in ("doc_id", "counted", "target")]
+        lengths = pa.array(np.concatenate([h[1] for h in held]), pa.int32())
+        columns = [pa.array([number], pa.int64())]
+        for values in (*lists, lengths, pa.array(ids.astype(np.int32)), signed(words)):
+            columns.append(ragged(values, np.array([0, len(values)])))
+        return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "counted", "target", "lengths", "ids", "words"])
+
+    return rows.mapInArrow(
+        deal,
+        f"block bigint, doc_ids array<{kind}>, counted array<boolean>, target array<boolean>, lengths array<int>, "
+        "ids array<int>, words array<bigint>",
     )
 
 
-_COUNTS = "key bigint, n bigint, n_target bigint"
-
-
-def _word_ids(vocabulary: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Place in the sorted vocabulary, or its length for a word outside it."""
-    if not len(vocabulary):
-        return np.zeros(len(words), np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == words, at, len(vocabulary))
-
-
-def _pair_keys(vocabulary: np.ndarray, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every word: key of (the word before, word), and the two ids; the start of a text is an id of its own."""
-    ids = _word_ids(vocabulary, words)
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    before[bounds[:-1][np.diff(bounds) > 0]] = len(vocabulary) + 1
-    return before * (len(vocabulary) + 2) + ids, before, ids
-
+def _read_block(batch: pa.RecordBatch, row: int) -> _Block:
+    def values(name: str) -> np.ndarray:
+        return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
 
-class PairModels(NamedTuple):
-    """The two models' log-probabilities, by kept bigram and, for all others, by history and word."""
+    ends = np.concatenate(([0], np.cumsum(values("lengths"), dtype=np.int64)))
+    return _Block(values("words").view(np.uint64), values("ids").astype(np.int64), ends, values("counted").astype(bool), values("target").astype(bool))
 
-    vocabulary: np.ndarray
-    keys: np.ndarray
-    pair: list[np.ndarray]
-    word: list[np.ndarray]
-    rest: list[np.ndarray]
 
+def score(
+    corpus: DataFrame, *, doc_id: str = "doc_id", text: str = "text", target: str = "target", counted: str | None = None
+) -> DataFrame:
+    """``doc_id, n_tokens, target_loss, background_loss, difference`` per row: mean losses per word, in nats.
 
-def _models(vocabulary, keys, pair_counts, word_counts, history_counts) -> PairModels:
-    size = len(vocabulary) + 2
-    models = PairModels(vocabulary, keys, [], [], [])
-    before, word = keys // size, keys % size
-    for pairs, words, histories in zip(pair_counts, word_counts, history_counts):
-        single = (words[:-1] + 1) / (words[:-1].sum() + size - 1)
-        seen = np.maximum(histories, 1)
-        rest = 1 - PAIR_WEIGHT * np.bincount(before, weights=pairs, minlength=size) / seen
-        models.pair.append(np.log(PAIR_WEIGHT * pairs / seen[before] + rest[before] * single[word]))
-        models.word.append(np.log(single))
-        models.rest.append(np.log(rest))
-    return models
-
-
-def _losses(models: PairModels, words: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
-    """For the target and then the background model: the summed loss of each text."""
-    keys, before, ids = _pair_keys(models.vocabulary, words, bounds)
-    at = np.minimum(np.searchsorted(models.keys, keys), max(len(models.keys) - 1, 0))
-    known = models.keys[at] == keys if len(models.keys) else np.zeros(len(keys), bool)
-    for pair, word, rest in zip(models.pair, models.word, models.rest):
-        single = rest[before] + word[ids]
-        loss = -np.where(known, pair[at], single) if len(pair) else -single
-        total = np.zeros(len(bounds) - 1)
-        full = np.flatnonzero(np.diff(bounds))
-        if len(full):
-            total[full] = np.add.reduceat(loss, bounds[:-1][full])
-        yield total
-
-
-def train(corpus: DataFrame, *, text: str = "text", target: str = "target") -> PairModels:
-    """Models of the rows where ``target`` is true and of all rows, counted over every text.
-
-    Null texts count as empty. Without target rows the target model is uniform over the vocabulary.
+    The background model counts every row, or those where the column ``counted`` is true; the target model those of them where
+    ``target`` is true (null is false). A low difference marks a text like the target. A word or bigram has the counts that it has
+    in the whole corpus, however rare; a history that a model has not seen leaves its word to the unigrams, whose
+    counts are one up. A null or empty text has no words and zeros throughout; repeated rows count each time and score
+    alike; without target rows the target model is uniform; an empty table gives no rows; other columns are ignored.
     """
-    rows = corpus.select(F.col(text).alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
-
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def read(held):
-            words = np.concatenate([h[0] for h in held])
-            return _counted(words, np.zeros(len(words)))
-
-        yield from _gathered(batches, read)
-
-    words = rows.select("text").mapInArrow(count_words, _COUNTS).groupBy("key").agg(F.sum("n").alias("n"))
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).scalar()
-    kept = words.filter(F.col("n") >= F.greatest(F.lit(2), total * F.lit(WORD_SHARE))).select("key").toPandas()
-    vocabulary = np.sort(kept["key"].to_numpy(np.int64).view(np.uint64))
-    size = len(vocabulary) + 2
-    shared = corpus.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def read(held):
-            keys, inside = [], []
-            for found, bounds, batch in held:
-                keys.append(_pair_keys(shared.value, found, bounds)[0])
-                inside.append(np.repeat(np.array(batch.column("target").to_pylist(), bool), np.diff(bounds)))
-            return _counted(np.concatenate(keys), np.concatenate(inside))
-
-        yield from _gathered(batches, read)
-
-    pairs = rows.mapInArrow(count_pairs, _COUNTS).groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    sums = [F.sum("n").alias("n"), F.sum("n_target").alias("n_target"), F.count("*").alias("_pairs")]
-    pairs = materialise(pairs)
-    by_id = {}
-    for name, part in (("word", F.col("key") % size), ("before", F.floor(F.col("key") / size))):
-        counted = pairs.groupBy(F.floor(part).cast("int").alias("id")).agg(*sums).toPandas()  # vocabulary-sized
-        table = np.zeros((2, size))
-        table[:, counted["id"].to_numpy()] = counted[["n_target", "n"]].to_numpy().T
-        by_id[name] = table
-    tokens = by_id["word"][1].sum()
-    frequent = pairs.filter(F.col("n") >= max(2.0, tokens * PAIR_SHARE)).toPandas().sort_values("key")
-    return _models(
-        vocabulary,
-        frequent["key"].to_numpy(np.int64),
-        [frequent[c].to_numpy(float) for c in ("n_target", "n")],
-        list(by_id["word"]),
-        list(by_id["before"]),
+    spark = corpus.sparkSession
+    kind = corpus.select(doc_id).schema[0].dataType.simpleString()
+    true_of = lambda c: F.coalesce(F.col(c), F.lit(False))
+    rows = corpus.select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(text).alias("text"),
+        (true_of(counted) if counted else F.lit(True)).alias("counted"),
+        true_of(target).alias("target"),
     )
-
-
-def score(docs: DataFrame, models: PairModels, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, target_loss, background_loss, difference``: mean losses per word, in nats.
-
-    A low difference marks a text like the target. A null or empty text has no words and zeros throughout; repeated
-    rows score alike; other columns are ignored.
-    """
-    kind = docs.select(doc_id).schema[0].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(models))
+    name, buckets = f"lm_blocks_{uuid.uuid4().hex}", min(int(spark.conf.get("spark.sql.shuffle.partitions")), 10_000)
+    path = f"{shared_dir(spark)}/{name}"
+    blocks = _stored_blocks(rows, kind)
+    blocks.write.option("path", path).bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
+    stored = spark.table(name)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                block = _read_block(batch, row)
+                n, t = block.counts
+                known = n > 0
+                number = pa.array(np.full(int(known.sum()), batch.column("block")[row].as_py(), np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [signed(block.keys[known]), number, pa.array(n[known]), pa.array(t[known])], ["key", "block", "n", "t"]
+                )
+
+    # Each key has one row per block, so a word of every text has no more rows than there are blocks.
+    sent = stored.mapInArrow(count, "key bigint, block bigint, n bigint, t bigint")
+    whole = Window.partitionBy("key")
+    summed = sent.select("*", F.sum("n").over(whole).alias("all_n"), F.sum("t").over(whole).alias("all_t"))
+    # A block knows a key that no other holds; the others' sums go back, packed by the block they are for.
+    back = summed.filter("all_n <> n").select("block", F.struct("key", F.col("all_n").alias("n"), F.col("all_t").alias("t")).alias("total"))
+    known = back.groupBy("block").agg(F.collect_list("total").alias("totals"))
+
+    tokens, vocabulary = _sizes(stored)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in light(batches):
-            words, bounds = word_hashes(batch.column("text"))
-            counts = np.diff(bounds)
-            losses = [total / np.maximum(counts, 1) for total in _losses(PairModels(*shared.value), words, bounds)]
-            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), *map(pa.array, losses), pa.array(losses[0] - losses[1])]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
-
-    given = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return given.mapInArrow(apply, f"doc_id {kind}, n_tokens bigint, target_loss double, background_loss double, difference double")
+        for batch in batches:
+            for row in range(len(batch)):
+                block = _read_block(batch, row)
+                totals = [c.copy() for c in block.counts]
+                given = batch.column("totals")[row].values
+                if given is not None and len(given):
+                    order = np.argsort(block.keys, kind="stable")
+                    keys = given.field("key").to_numpy().view(np.uint64)
+                    at = np.searchsorted(block.keys[order], keys)
+                    for own, field in zip(totals, ("n", "t")):
+                        own[order[at]] = given.field(field).to_numpy()
+                words = np.maximum(np.diff(block.ends), 1)
+                background, wanted = (loss / words for loss in block.losses(totals, tokens, vocabulary))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_ids")[row].values, pa.array(np.diff(block.ends)), pa.array(wanted), pa.array(background), pa.array(wanted - background)],
+                    ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"],
+                )
+
+    joined = stored.join(known.hint("merge"), "block", "left")
+    scored = joined.mapInArrow(apply, f"doc_id {kind}, n_tokens bigint, target_loss double, background_loss double, difference double")
+    # Stored, so that the blocks can go.
+    scored = materialise(scored)
+    spark.sql(f"DROP TABLE {name}")
+    discard(spark, path)
+    return scored
+
+
+def _sizes(stored: DataFrame) -> tuple[list[int], int]:
+    """Words of the background and of the target, and distinct ones."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                block = _read_block(batch, row)
+                n, t = (c[: block.size - 1] for c in block.counts)
+                known = n > 0
+                yield pa.RecordBatch.from_arrays([signed(block.keys[: block.size - 1][known]), pa.array(n[known]), pa.array(t[known])], ["key", "n", "t"])
+
+    words = stored.mapInArrow(count, "key bigint, n bigint, t bigint").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    vocabulary, n, t = words.agg(F.count("*"), F.sum("n"), F.sum("t")).first()
+    return [n or 0, t or 0], vocabulary

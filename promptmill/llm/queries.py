@@ -49,7 +49,7 @@ def op1_lm_scoring(spark, sf_dir):
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
     # Labels grow with the documents, so they are merged at every size and never broadcast.
     corpus = docs.join(good.withColumn("target", F.lit(True)).hint("merge"), "doc_id", "left")
-    scored = lm_scoring.score(docs, lm_scoring.train(corpus))
+    scored = lm_scoring.score(corpus)
     losses = [F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "difference")]
     return scored.select("doc_id", "n_tokens", *losses)
 
@@ -185,32 +185,19 @@ WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words,
          doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS target FROM documents),
 tokens AS (SELECT r, target, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM texts),
-vocabulary AS (
-  SELECT w, true AS known FROM tokens GROUP BY w
-  HAVING count(*) >= greatest(2, (SELECT count(*) FROM tokens) * pow(2, -16))),
-mapped AS (
-  SELECT r, target, pos, CASE WHEN known THEN w ELSE '' END AS w FROM tokens LEFT JOIN vocabulary USING (w)),
-paired AS (SELECT r, target, w, coalesce(lag(w) OVER (PARTITION BY r ORDER BY pos), '^') AS h FROM mapped),
+paired AS (SELECT r, target, w, coalesce(lag(w) OVER (PARTITION BY r ORDER BY pos), '^') AS h FROM tokens),
 pairs AS (
   SELECT h, w, count(*)::DOUBLE AS n, coalesce(sum(target::INT), 0)::DOUBLE AS t FROM paired GROUP BY h, w),
-frequent AS (SELECT * FROM pairs WHERE n >= greatest(2, (SELECT count(*) FROM tokens) * pow(2, -20))),
-total AS (SELECT sum(n) AS n, sum(t) AS t, (SELECT count(*) FROM vocabulary) + 1 AS size FROM pairs),
-single AS (
-  SELECT w, (sum(pairs.n) + 1) / (any_value(total.n) + any_value(size)) AS pn,
-         (sum(pairs.t) + 1) / (any_value(total.t) + any_value(size)) AS pt
-  FROM pairs, total GROUP BY w),
-history AS (
-  SELECT h, greatest(sum(n), 1) AS n, greatest(sum(t), 1) AS t FROM pairs GROUP BY h),
-kept AS (SELECT h, sum(n) AS n, sum(t) AS t FROM frequent GROUP BY h),
-rest AS (
-  SELECT h, history.n, history.t, 1 - 0.5::DOUBLE * coalesce(kept.n, 0) / history.n AS rn,
-         1 - 0.5::DOUBLE * coalesce(kept.t, 0) / history.t AS rt
-  FROM history LEFT JOIN kept USING (h)),
+single AS (SELECT w, sum(n) AS n, sum(t) AS t FROM pairs GROUP BY w),
+total AS (SELECT sum(n) AS n, sum(t) AS t, count(*) + 1 AS size FROM single),
+history AS (SELECT h, sum(n) AS n, sum(t) AS t FROM pairs GROUP BY h),
+chances AS (
+  SELECT h, w, (single.n + 1) / (total.n + size) AS pn, (single.t + 1) / (total.t + size) AS pt,
+         pairs.n / history.n AS bn, CASE WHEN history.t > 0 THEN pairs.t / history.t END AS bt
+  FROM pairs JOIN single USING (w) JOIN history USING (h), total),
 scored AS (
-  SELECT paired.r, -ln(0.5::DOUBLE * coalesce(frequent.t, 0) / rest.t + rt * pt) AS lt,
-         -ln(0.5::DOUBLE * coalesce(frequent.n, 0) / rest.n + rn * pn) AS ln
-  FROM paired JOIN rest USING (h) JOIN single USING (w)
-  LEFT JOIN frequent ON frequent.h = paired.h AND frequent.w = paired.w),
+  SELECT r, -ln(coalesce(0.5::DOUBLE * bt + 0.5::DOUBLE * pt, pt)) AS lt, -ln(0.5::DOUBLE * bn + 0.5::DOUBLE * pn) AS ln
+  FROM paired JOIN chances USING (h, w)),
 means AS (SELECT r, avg(lt) AS lt, avg(ln) AS ln FROM scored GROUP BY r)
 SELECT doc_id, len(words) AS n_tokens, coalesce(round(lt, 6), 0) AS target_loss,
        coalesce(round(ln, 6), 0) AS background_loss, coalesce(round(lt - ln, 6), 0) AS difference

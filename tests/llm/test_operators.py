@@ -319,47 +319,50 @@ def test_a_large_group_of_copies_keeps_its_parts(spark, near):
     assert all(r.near < 0.5 for r in hashed.select("text", unlike.alias("near")).collect() if r.text in other)
 
 
-def test_lm_scores_equal_a_plain_model(spark, docs, rows, none, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "PAIR_SHARE", 0.002)
-    corpus = docs.withColumn("target", F.col("doc_id") % 3 == 0)
-    found = lm_scoring.score(docs, lm_scoring.train(corpus)).collect()
-    total = sum(len(words_of(t)) for _, t in rows)
-    seen = {}
-    for _, t in rows:
-        for w in words_of(t):
-            seen[w] = seen.get(w, 0) + 1
-    vocabulary = {w for w, n in seen.items() if n >= max(2, total * lm_scoring.WORD_SHARE)}
+@pytest.mark.parametrize("block_words", [2_000_000, 500])
+def test_lm_scores_equal_a_plain_model(spark, docs, rows, none, monkeypatch, block_words):
+    """In one block and in many, which know only a part of what they need; rows that are scored and not counted too."""
+    monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", block_words)
+    flags = docs.withColumn("target", F.col("doc_id") % 3 == 0).withColumn("known", F.coalesce(F.col("doc_id") % 7 != 1, F.lit(True)))
     pairs = ({}, {})
 
     def read(text):
-        own = [w if w in vocabulary else "" for w in words_of(text)]
+        own = words_of(text)
         return list(zip(["^", *own], own))
 
-    for doc_id, t in rows:
-        for pair in read(t):
-            for counts in pairs if doc_id is not None and doc_id % 3 == 0 else pairs[1:]:
-                counts[pair] = counts.get(pair, 0) + 1
-    kept = {p for p, n in pairs[1].items() if n >= max(2, total * 0.002)}
+    def models(counted):
+        pairs[0].clear(), pairs[1].clear()
+        for doc_id, t in rows:
+            if counted(doc_id):
+                for pair in read(t):
+                    for counts in pairs if doc_id is not None and doc_id % 3 == 0 else pairs[1:]:
+                        counts[pair] = counts.get(pair, 0) + 1
+        return len({w for _, w in pairs[1]})
 
-    def loss(counts, text):
+    def loss(counts, vocabulary, text):
         tokens, summed = sum(counts.values()), 0.0
+        singles, histories = Counter(), Counter()
+        for (h, w), n in counts.items():
+            singles[w] += n
+            histories[h] += n
         for h, w in read(text):
-            single = (sum(n for (_, v), n in counts.items() if v == w) + 1) / (tokens + len(vocabulary) + 1)
-            history = max(1, sum(n for (g, _), n in counts.items() if g == h))
-            rest = 1 - 0.5 * sum(n for (g, v), n in counts.items() if g == h and (g, v) in kept) / history
-            summed -= math.log((0.5 * counts.get((h, w), 0) / history if (h, w) in kept else 0) + rest * single)
+            single = (singles[w] + 1) / (tokens + vocabulary + 1)
+            seen = histories[h]
+            summed -= math.log(0.5 * counts.get((h, w), 0) / seen + 0.5 * single if seen else single)
         return summed / max(1, len(read(text)))
 
-    by_id = {r.doc_id: r for r in found}
-    assert len(found) == len(rows)
-    for doc_id, t in rows[:25:3] + rows[80:86]:
-        r = by_id[doc_id]
-        assert r.n_tokens == len(words_of(t))
-        assert math.isclose(r.target_loss, loss(pairs[0], t), abs_tol=1e-9)
-        assert math.isclose(r.background_loss, loss(pairs[1], t), abs_tol=1e-9)
-    empty = lm_scoring.train(none.withColumn("target", F.lit(True)))
-    assert lm_scoring.score(none, empty).collect() == []
-    assert lm_scoring.score(docs, empty).count() == len(rows)
+    for column, counted in ((None, lambda _: True), ("known", lambda d: d is None or d % 7 != 1)):
+        found = lm_scoring.score(flags, counted=column).collect()
+        vocabulary = models(counted)
+        by_id = {r.doc_id: r for r in found}
+        assert len(found) == len(rows)
+        for doc_id, t in rows[:25:2] + rows[75:90]:
+            r = by_id[doc_id]
+            assert r.n_tokens == len(words_of(t))
+            assert math.isclose(r.target_loss, loss(pairs[0], vocabulary, t), abs_tol=1e-9)
+            assert math.isclose(r.background_loss, loss(pairs[1], vocabulary, t), abs_tol=1e-9)
+    assert lm_scoring.score(none.withColumn("target", F.lit(True))).collect() == []
+    assert spark.sql("SHOW TABLES").filter("tableName LIKE 'lm_blocks%'").count() == 0
 
 
 def test_quality_rules(spark, docs, none):
