@@ -54,7 +54,8 @@ ENTITIES = (
     Entity(
         "EMAIL_ADDRESS",
         "@",
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+        # Characters one by one: Java recurses for each repetition of a group of varying width.
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-](?:(?!\.\.)[A-Za-z0-9.-])*\.[A-Za-z]{2,}",
     ),
     Entity("URL", r"://|www\.", rf"(?=[hw]){_OPEN}(?:https?://|www\.)[^\s<>\"']+"),
     Entity(

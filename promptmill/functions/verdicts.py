@@ -42,7 +42,7 @@ def parse_verdict(raw: Column) -> Column:
             F.when(kind == "BOOLEAN", F.lit(1.0))
             .when(kind.rlike("^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$"), text.try_cast("double"))
             .when(
-                (kind == "STRING") & text.rlike(r"(?U)^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"),
+                (kind == "STRING") & text.rlike(r"(?U)^\s*[+-]?[0-9]++(?:_[0-9]++)*+\s*$"),
                 F.regexp_replace(text, r"(?U)[\s_]", "").try_cast("double"),
             )
         )
