@@ -1,8 +1,8 @@
 """Cross-entropy difference: how much better a target language model predicts a text than a background one.
 
 Both models are bigram models interpolated with unigrams, over one vocabulary: every word and every bigram of the corpus
-counts, at every size. Counts are never gathered in one place. Documents are dealt into blocks of some two million words as
-they are read; a block is stored with its words as numbers, and sends one narrow row for each distinct word, history and bigram
+counts, at every size. Counts are never gathered in one place. Documents are dealt into blocks of some half a million words as
+they are read; a block is stored with its words as numbers, and sends one narrow row for each distinct word and bigram
 it holds. Those rows meet by key, where they are summed, and the sums that differ from a block's own go back to it. The
 stored blocks are bucketed by number, so that only the sums are shuffled to them.
 """
@@ -24,12 +24,14 @@ from promptmill.session import discard, materialise, shared_dir
 #: Weight of the bigram estimate where the history occurs.
 PAIR_WEIGHT = 0.5
 #: Words in a block, about; a longer text is a block of its own.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 500_000
 
-#: What a block's words are mixed with for each kind of key; a key is that of a word, of a history, or of two words.
-_WORD, _HISTORY, _PAIR = (np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+#: What a block's words are mixed with for each kind of key: that of a word, of a word that ends a text, or of two words.
+_WORD, _LAST, _PAIR = (np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: The history of a text's first word.
 _START = np.uint64(0x27D4EB2F165667C5)
+#: Two counts of a block in one number.
+_HALF = 32
 
 
 class _Block:
@@ -37,34 +39,29 @@ class _Block:
 
     def __init__(self, words: np.ndarray, ids: np.ndarray, ends: np.ndarray, counted: np.ndarray, target: np.ndarray):
         size = len(words) + 1
-        first = np.zeros(len(ids), bool)
-        first[ends[:-1][np.diff(ends) > 0]] = True
-        before = np.concatenate(([0], ids[:-1])) if len(ids) else ids
-        self.ids, self.ends = ids, ends
-        self.before = np.where(first, size - 1, before)  # the last number stands for the start
-        pairs, self.pair = np.unique(self.before.astype(np.int64) * size + ids, return_inverse=True)
+        full = np.flatnonzero(np.diff(ends) > 0)
+        before = np.concatenate(([0], ids[:-1])) if len(ids) else ids.copy()
+        before[ends[:-1][full]] = size - 1  # the last number stands for the start
+        last = ids[ends[1:][full] - 1]
+        pairs, pair = np.unique(before * size + ids, return_inverse=True)
+        self.ids, self.ends, self.before, self.pair, self.size = ids, ends, before, pair, size
         named = np.concatenate((words, [_START]))
-        rows = np.repeat(counted, np.diff(ends)).astype(float), np.repeat(counted & target, np.diff(ends)).astype(float)
-        self.keys = np.concatenate(
-            (mix(words ^ _WORD), mix(named ^ _HISTORY), mix(mix(named[pairs // size] ^ _PAIR) + named[pairs % size]))
-        )
-        self.counts = [
-            np.concatenate(
-                (
-                    np.bincount(ids, r, size - 1),
-                    np.bincount(self.before, r, size),
-                    np.bincount(self.pair, r, len(pairs)),
-                )
-            ).astype(np.int64)
-            for r in rows
-        ]
-        self.size = size
-
-    def losses(self, totals: list[np.ndarray], tokens: list[int], vocabulary: int) -> Iterator[np.ndarray]:
+        keys = np.concatenate((mix(words ^ _WORD), mix(words ^ _LAST), mix(mix(named[pairs // size] ^ _PAIR) + named[pairs % size])))
+        self.counts = []
+        for flags in (counted, counted & target):
+            each = np.repeat(flags, np.diff(ends)).astype(float)
+            parts = (np.bincount(ids, each, size - 1), np.bincount(last, flags[full].astype(float), size - 1), np.bincount(pair, each, len(pairs)))
+            self.counts.append(np.concatenate(parts).astype(np.int64))
+        # In the order of keys, which neighbours in a shuffle file then share the beginnings of.
+        self.order = np.argsort(keys, kind="stable")
+        self.keys = keys[self.order]
+
+    def losses(self, totals: list[np.ndarray], texts: list[int], tokens: list[int], vocabulary: int) -> Iterator[np.ndarray]:
         """Summed loss of each text under the counts ``totals`` of the block's keys, for the background and the target."""
-        for counts, whole in zip(totals, tokens):
-            word, history, pair = np.split(counts.astype(float), [self.size - 1, 2 * self.size - 1])
+        for counts, starts, whole in zip(totals, texts, tokens):
+            word, last, pair = np.split(counts.astype(float), [self.size - 1, 2 * self.size - 2])
             single = (word + 1) / (whole + vocabulary + 1)
+            history = np.concatenate((word - last, [starts]))  # every word is one but the last of a text
             weight = np.where(history > 0, PAIR_WEIGHT, 0.0)
             seen = np.maximum(history, 1)
             chance = weight[self.before] * pair[self.pair] / seen[self.before] + (1 - weight[self.before]) * single[self.ids]
@@ -106,12 +103,19 @@ def _stored_blocks(rows: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def _read_block(batch: pa.RecordBatch, row: int) -> _Block:
+def _columns(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, ...]:
+    """Hashes of the words, words of the texts by number, lengths of the texts, and their flags."""
+
     def values(name: str) -> np.ndarray:
         return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
 
-    ends = np.concatenate(([0], np.cumsum(values("lengths"), dtype=np.int64)))
-    return _Block(values("words").view(np.uint64), values("ids").astype(np.int64), ends, values("counted").astype(bool), values("target").astype(bool))
+    flags = (values(name).astype(bool) for name in ("counted", "target"))
+    return values("words").view(np.uint64), values("ids").astype(np.int64), values("lengths").astype(np.int64), *flags
+
+
+def _read_block(batch: pa.RecordBatch, row: int) -> _Block:
+    words, ids, lengths, counted, target = _columns(batch, row)
+    return _Block(words, ids, np.concatenate(([0], np.cumsum(lengths))), counted, target)
 
 
 def score(
@@ -144,22 +148,21 @@ def score(
         for batch in batches:
             for row in range(len(batch)):
                 block = _read_block(batch, row)
-                n, t = block.counts
+                n, t = (c[block.order] for c in block.counts)
                 known = n > 0
                 number = pa.array(np.full(int(known.sum()), batch.column("block")[row].as_py(), np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [signed(block.keys[known]), number, pa.array(n[known]), pa.array(t[known])], ["key", "block", "n", "t"]
-                )
+                both = pa.array((n[known] << _HALF) | t[known])
+                yield pa.RecordBatch.from_arrays([signed(block.keys[known]), number, both], ["key", "block", "both"])
 
     # Each key has one row per block, so a word of every text has no more rows than there are blocks.
-    sent = stored.mapInArrow(count, "key bigint, block bigint, n bigint, t bigint")
+    sent = stored.mapInArrow(count, "key bigint, block bigint, both bigint")
+    n, t = F.shiftright("both", _HALF), F.col("both").bitwiseAND(F.lit((1 << _HALF) - 1))
     whole = Window.partitionBy("key")
-    summed = sent.select("*", F.sum("n").over(whole).alias("all_n"), F.sum("t").over(whole).alias("all_t"))
-    # A block knows a key that no other holds; the others' sums go back, packed by the block they are for.
-    back = summed.filter("all_n <> n").select("block", F.struct("key", F.col("all_n").alias("n"), F.col("all_t").alias("t")).alias("total"))
+    summed = sent.select("key", "block", n.alias("own"), F.sum(n).over(whole).alias("n"), F.sum(t).over(whole).alias("t"))
+    # A block knows the counts of a key that no other holds; of others the sums go back to it.
+    back = summed.filter("n <> own").select("block", F.struct("key", "n", "t").alias("total"))
     known = back.groupBy("block").agg(F.collect_list("total").alias("totals"))
-
-    tokens, vocabulary = _sizes(stored)
+    texts, tokens, vocabulary = _sizes(stored)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,15 +171,13 @@ def score(
                 totals = [c.copy() for c in block.counts]
                 given = batch.column("totals")[row].values
                 if given is not None and len(given):
-                    order = np.argsort(block.keys, kind="stable")
-                    keys = given.field("key").to_numpy().view(np.uint64)
-                    at = np.searchsorted(block.keys[order], keys)
+                    at = block.order[np.searchsorted(block.keys, given.field("key").to_numpy().view(np.uint64))]
                     for own, field in zip(totals, ("n", "t")):
-                        own[order[at]] = given.field(field).to_numpy()
-                words = np.maximum(np.diff(block.ends), 1)
-                background, wanted = (loss / words for loss in block.losses(totals, tokens, vocabulary))
+                        own[at] = given.field(field).to_numpy()
+                words = np.diff(block.ends)
+                background, wanted = (loss / np.maximum(words, 1) for loss in block.losses(totals, texts, tokens, vocabulary))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_ids")[row].values, pa.array(np.diff(block.ends)), pa.array(wanted), pa.array(background), pa.array(wanted - background)],
+                    [batch.column("doc_ids")[row].values, pa.array(words), pa.array(wanted), pa.array(background), pa.array(wanted - background)],
                     ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"],
                 )
 
@@ -189,17 +190,25 @@ def score(
     return scored
 
 
-def _sizes(stored: DataFrame) -> tuple[list[int], int]:
-    """Words of the background and of the target, and distinct ones."""
+def _sizes(stored: DataFrame) -> tuple[list[int], list[int], int]:
+    """Texts with words and words, each of the background and of the target, and distinct words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
-                block = _read_block(batch, row)
-                n, t = (c[: block.size - 1] for c in block.counts)
+                words, ids, lengths, counted, target = _columns(batch, row)
+                each = [np.repeat(flags, lengths).astype(float) for flags in (counted, counted & target)]
+                n, t = (np.bincount(ids, e, len(words)).astype(np.int64) for e in each)
+                n_texts, t_texts = (int((flags & (lengths > 0)).sum()) for flags in (counted, counted & target))
                 known = n > 0
-                yield pa.RecordBatch.from_arrays([signed(block.keys[: block.size - 1][known]), pa.array(n[known]), pa.array(t[known])], ["key", "n", "t"])
+                # A row without key counts the block's texts.
+                keys = pa.concat_arrays([signed(words[known]), pa.nulls(1, pa.int64())])
+                yield pa.RecordBatch.from_arrays(
+                    [keys, pa.array(np.append(n[known], n_texts)), pa.array(np.append(t[known], t_texts))], ["key", "n", "t"]
+                )
 
-    words = stored.mapInArrow(count, "key bigint, n bigint, t bigint").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    vocabulary, n, t = words.agg(F.count("*"), F.sum("n"), F.sum("t")).first()
-    return [n or 0, t or 0], vocabulary
+    by_word = stored.mapInArrow(count, "key bigint, n bigint, t bigint").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    found = by_word.groupBy(F.col("key").isNull().alias("texts")).agg(F.count("*").alias("keys"), F.sum("n").alias("n"), F.sum("t").alias("t"))
+    sums = {r["texts"]: r for r in found.collect()}
+    texts, words = ([sums[k]["n"], sums[k]["t"]] if k in sums else [0, 0] for k in (True, False))
+    return texts, words, sums[False]["keys"] if False in sums else 0

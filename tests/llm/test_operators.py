@@ -319,7 +319,7 @@ def test_a_large_group_of_copies_keeps_its_parts(spark, near):
     assert all(r.near < 0.5 for r in hashed.select("text", unlike.alias("near")).collect() if r.text in other)
 
 
-@pytest.mark.parametrize("block_words", [2_000_000, 500])
+@pytest.mark.parametrize("block_words", [500_000, 500])
 def test_lm_scores_equal_a_plain_model(spark, docs, rows, none, monkeypatch, block_words):
     """In one block and in many, which know only a part of what they need; rows that are scored and not counted too."""
     monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", block_words)
