@@ -71,35 +71,49 @@ def _attributes(source: str) -> dict[str, str]:
     return found
 
 
+class _Open(list):
+    """The open elements, with the places of those of each name: no search walks over the others."""
+
+    def __init__(self, root: Node):
+        super().__init__([root])
+        self.places: dict[str, list[int]] = {}
+
+    def append(self, node: Node) -> None:
+        self.places.setdefault(node.name, []).append(len(self))
+        super().append(node)
+
+    def cut(self, place: int) -> None:
+        while len(self) > place:
+            self.places[super().pop().name].pop()
+
+    def last(self, names) -> int:
+        """The place of the innermost open element of some names, or 0; the root is none of them."""
+        places = self.places
+        return max((found[-1] for name in names if (found := places.get(name))), default=0)
+
+
 def build(html: str) -> Node:
     """The element tree; text is stored as strings, with character references read."""
     root = Node("html")
-    stack = [root]
+    stack = _Open(root)
 
     def close(names, scope=frozenset()) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in names:
-                del stack[i:]
-                return
-            if stack[i].name in scope:
-                return
+        place = stack.last(names)
+        if place and place >= stack.last(scope):
+            stack.cut(place)
 
     def open_part() -> int:
         """Place of the table part that an element of a table belongs to, or 0 inside a cell or outside tables."""
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in _CELLS:
-                return 0
-            if stack[i].name in _TABLE_PARTS:
-                return i
-        return 0
+        part = stack.last(_TABLE_PARTS)
+        return 0 if stack.last(_CELLS) > part else part
 
     def put(child: Node | str, stays: bool = False) -> None:
         """Append to the open element, or before the open table if only parts of tables may stay there."""
         if not stays and stack[-1].name in _TABLE_PARTS:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name == "table":  # the last child of the element around it
-                    stack[i - 1].children.insert(-1, child)
-                    return
+            table = stack.last(("table",))
+            if table:  # the last child of the element around it
+                stack[table - 1].children.insert(-1, child)
+                return
         stack[-1].children.append(child)
 
     at, end = 0, len(html)
@@ -116,7 +130,7 @@ def build(html: str) -> Node:
         if not name:
             continue
         if token[1]:
-            if any(node.name == name for node in stack[1:]):
+            if stack.last((name,)):
                 close((name,), frozenset(("td", "th", "table")) if name in ("b", "i", "a", "span", "em", "strong", "font", "p", "form") else frozenset())
             elif name == "p":
                 put(Node("p"))
@@ -125,12 +139,12 @@ def build(html: str) -> Node:
             root.attributes |= _attributes(token[3])
             continue
         if name in _STRUCTURE and (part := open_part()):
-            del stack[part + 1 :]  # what was put before the table ends here
+            stack.cut(part + 1)  # what was put before the table ends here
             if name in ("caption", "colgroup", "col"):
                 close(("tr", "thead", "tbody", "tfoot"), frozenset(("table",)))
                 close(("thead", "tbody", "tfoot"), frozenset(("table",)))
             if stack[-1].name == "colgroup" and name != "col":
-                stack.pop()
+                stack.cut(len(stack) - 1)
         elif name == "table" and stack[-1].name in _TABLE_PARTS:
             close(("table",))
         while name in _ENDS:
@@ -146,7 +160,7 @@ def build(html: str) -> Node:
                 stack[-1].children.append(row)
                 stack.append(row)
         node = Node(name, _attributes(token[3]) if token[3].strip(" /") else None)
-        if name == "form" and stack[-1].name in _TABLE_PARTS and any(n.name == "table" for n in stack):
+        if name == "form" and stack[-1].name in _TABLE_PARTS and stack.last(("table",)):
             continue  # a form between table parts holds nothing
         put(node, name in _IN_TABLE)
         if name in _RAW:
@@ -197,6 +211,13 @@ class _Lines:
         self.gap = 0
         self.current.append(text)
 
+    def empty(self) -> None:
+        """A line without text that stays."""
+        if self.gap and self.lines and not self.current:
+            self.lines += [""] * (self.gap - 1)
+        self.gap = 0
+        self.current.append("")
+
     def flow(self, text: str) -> None:
         collapsed = _SPACES.sub(" ", text)
         if collapsed[:1] == " ":
@@ -247,7 +268,7 @@ def _render(root: Node, depth: int = 0) -> list[str]:
                 for i, part in enumerate(parts):
                     if i:
                         if not out.current:
-                            out.word("​")
+                            out.empty()
                         out.end()
                     out.word(part)
             else:
@@ -281,7 +302,7 @@ def _render(root: Node, depth: int = 0) -> list[str]:
             waiting += [("open", child, pre or node.name == "pre") for child in reversed(node.children)]
         else:
             waiting += [("open", child, pre or node.name == "textarea") for child in reversed(node.children)]
-    return [line.replace("​", "").rstrip() if "​" in line else line.rstrip() for line in out.done()]
+    return [line.rstrip() for line in out.done()]
 
 
 def _list(node: Node, depth: int) -> list[str]:
