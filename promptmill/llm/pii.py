@@ -155,7 +155,13 @@ def _email(value: Column, seed: Column, key: str) -> Column:
     """The local part and the host are drawn apart, so that addresses of one host stay together; the top domain stays."""
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     host, top = F.regexp_replace(domain, r"\.[^.]*$", ""), F.substring_index(domain, ".", -1)
-    return F.concat(_scrambled(local, seed), _more(seed, _letter), F.lit("@"), _scrambled(host, F.concat(F.lit(key + "|host|"), domain)), F.lit("."), top)
+    drawn = bind(_digest(F.lit(key + "|host|"), domain), lambda s: _scrambled(host, s))
+    return F.concat(_scrambled(local, seed), _more(seed, _letter), F.lit("@"), drawn, F.lit("."), top)
+
+
+def _digest(*parts: Column) -> Column:
+    """A seed as long for every value: what is drawn from it costs the same for each character."""
+    return F.sha2(F.concat_ws("|", *parts).cast("binary"), 256)
 
 
 def _name(value: Column, seed: Column) -> Column:
@@ -179,7 +185,10 @@ def _name(value: Column, seed: Column) -> Column:
 def _draw(key: str) -> Column:
     """The surrogate of ``kind``, ``canonical`` at draw number ``draw``."""
     kind, value = F.col("kind"), F.col("canonical")
-    seed = F.concat_ws("|", F.lit(key), kind, value, F.col("draw").cast("string"))
+    return bind(_digest(F.lit(key), kind, value, F.col("draw").cast("string")), lambda seed: _of_kind(kind, value, seed, key))
+
+
+def _of_kind(kind: Column, value: Column, seed: Column, key: str) -> Column:
     iban = F.concat(F.substring(value, 1, 2), _scrambled(F.expr("substring(canonical, 3)"), seed), _more(seed, _digit))
     return (
         F.when(kind == "email", _email(value, seed, key))

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -514,3 +515,47 @@ def test_surrogates_of_a_full_space(spark):
         assert plain == re.sub(r"[^0-9A-Za-z]", "", r.surrogate).lower()
         if r.kind not in ("ip", "name"):
             assert len(r.surrogate) == len(r.canonical) + 3
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 200_000 + "x", "<b>" * 100_000 + "x</i>" * 100_000, "<p>" * 300_000, "<ul><li>x" * 100_000, "<table><tr><td>x" * 60_000],
+)
+def test_a_megabyte_of_open_elements_is_read_in_seconds(page):
+    begun = time.perf_counter()
+    seen = html_text.page_text(page)
+    assert time.perf_counter() - begun < 60 and seen.count("x") == page.count("x")
+
+
+def test_characters_without_width_stay():
+    assert html_text.page_text("a​b") == "a​b"
+    assert html_text.page_text("<pre>a\n\n​\nb</pre>c") == "a\n\n​\nb\n\nc"
+
+
+@pytest.mark.parametrize("text", ["-----BEGIN " + "A " * 500_000 + "PRIVATE KEY-----", "PRIVATE KEY-----" + "-----BEGIN " + "A " * 500_000, "eyJ" * 350_000, "eyJaaaaaaaa." * 90_000, "xoxb-" * 200_000, "password" + " " * 1_000_000, "f0" * 500_000, "AKIA" * 250_000])
+def test_a_megabyte_of_the_worst_for_a_secret(spark, text):
+    found = secrets.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    assert len(found) == 1
+
+
+@pytest.mark.parametrize("text", ["x@" + "a." * 500_000 + "com", "a" * 1_000_000, "x@" + "a." * 500_000, "a@" * 500_000, "1.2." * 250_000, "1234-" * 200_000, "+49 " * 250_000, "Alice A" + "'" * 1_000_000, "DE12 " * 200_000])
+def test_a_megabyte_of_the_worst_for_personal_data(spark, text):
+    found = pii.pseudonymised(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), "key").collect()
+    assert len(found) == 1
+
+
+def test_shards_of_many_groups_are_as_small_as_they_can_be(spark):
+    """More groups than first atoms: the capacity is that of the groups."""
+    n = 150_000
+    length = F.expr("CAST(pow(2.718281828, 3 + 1.2 * (pmod(xxhash64(id), 1000) / 250.0 - 2)) AS INT)")
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), length)).alias("text"))
+    placed = sharding.shard(docs, 24)
+    order = F.xxhash64("text").bitwiseXOR(F.lit(-(1 << 63)).cast("bigint"))
+    sizes = [r["size"] for r in docs.select((F.octet_length("text") + 8).alias("size"), order.alias("o")).orderBy("o").collect()]
+    best, done, at = 0, 0, 0
+    for end in sharding.minimax_cuts(sizes, 24):
+        best, at = max(best, sum(sizes[at:end])), end
+    got = {r["shard"]: r["size"] for r in placed.groupBy("shard").agg(F.sum("size").alias("size")).collect()}
+    assert max(got.values()) == best and sum(got.values()) == sum(sizes) and set(got) == set(range(24))
+    slots = placed.groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("low"), F.max("slot").alias("high"), F.count_distinct("slot").alias("d"))
+    assert all((r.low, r.high, r.d) == (0, r.n - 1, r.n) for r in slots.collect())
