@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from promptmill.functions.text import BLOCKLIST
 
 
+# The published defaults.
 @dataclass(frozen=True)
 class CurationConfig:
     min_quality_score: float = 0.7
@@ -16,8 +17,11 @@ class CurationConfig:
     remove_pii: bool = True
     max_samples: int | None = None
     blocklist: tuple[str, ...] = BLOCKLIST
+    # A sample falls on a shared band, as published; True compares the texts as well.
+    verify_duplicates: bool = False
 
 
+# The published thresholds.
 @dataclass(frozen=True)
 class Criteria:
     min_accuracy: float = 0.85

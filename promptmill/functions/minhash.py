@@ -175,6 +175,13 @@ def _window_keys(text: str) -> np.ndarray:
     return low * np.uint64(0xD6E8FEB86659FD93) + high * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    """The distinct 5-grams of each text as sorted 64-bit keys."""
+    return [
+        np.unique(_window_keys(text)) if text and len(text) >= SHINGLE_SIZE else np.zeros(0, np.uint64) for text in texts
+    ]
+
+
 def minhash(normalized: Column, num_perm: int = 128, seed: int = 1) -> Column:
     """``ARRAY<BIGINT>`` signature of the distinct 5-grams of a normalised text.
 

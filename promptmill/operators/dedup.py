@@ -3,9 +3,9 @@
 A row is dropped when an earlier *kept* row shares at least one MinHash band with it. Within one
 band bucket at most one row is ever kept, so the rule needs no pairs: each round takes the
 earliest open row of every bucket, keeps those rows that lead all their buckets, and closes
-the buckets they lead. ``verify=True`` adds an exact Jaccard test of each row against the one leader
-of its bucket. Rounds repeat until no row is open. They work on rows whose buckets are shared, never on
-texts, and every aggregate is combined before its shuffle.
+the buckets they lead. Rounds repeat until no row is open. They work on rows whose buckets are shared, never on
+texts, and every aggregate is combined before its shuffle. ``verify=True``, the default, takes bands tuned for recall and
+compares the shingle sets of rows that share one (:mod:`promptmill.operators.leaders`).
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from promptmill.functions.minhash import (
     recall_shape,
 )
 from promptmill.functions.text import jaccard, normalize_text, shingles
+from promptmill.operators.leaders import verified_drops
+from promptmill.operators.ranks import numbered
 from promptmill.operators.skew import attach
 from promptmill.session import materialise
 
@@ -117,23 +119,17 @@ def _matches(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def dropped_rows(
-    firsts: DataFrame, texts: DataFrame | None = None, threshold: float = 0.0
-) -> DataFrame:
-    """The ``ord`` of rows the keep-first rule drops among distinct texts.
-
-    ``firsts`` has ``ord`` and ``bands``. With ``texts`` (``ord``, ``norm``) a leader only drops rows
-    whose Jaccard similarity exceeds ``threshold``; the others stay open for the next leader.
-    """
+def _shared_buckets(firsts: DataFrame) -> DataFrame:
+    """``ord, h1, h2`` of rows in buckets that others share."""
     rows = _rows_per_bucket(firsts)
     shared = rows.groupBy(*_BUCKET).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    open_rows = attach(rows, shared, _BUCKET, spread=F.col("ord")).withColumn(
-        "buckets", F.count("*").over(Window.partitionBy("ord"))
-    )
+    return attach(rows, shared, _BUCKET, spread=F.col("ord"))
+
+
+def dropped_rows(firsts: DataFrame) -> DataFrame:
+    """The ``ord`` of rows the keep-first rule drops among distinct texts; ``firsts`` has ``ord`` and ``bands``."""
+    open_rows = _shared_buckets(firsts).withColumn("buckets", F.count("*").over(Window.partitionBy("ord")))
     open_rows = materialise(open_rows)
-    if texts is not None:
-        # Only rows in shared buckets are ever compared; their texts are read once.
-        texts = materialise(texts.join(open_rows.select("ord").distinct(), "ord", "left_semi"))
     dropped = []
     while not open_rows.isEmpty():
         leads = (
@@ -149,12 +145,6 @@ def dropped_rows(
         )
         closing = leads.drop("buckets").join(kept, "lead", "left_semi")
         hits = attach(open_rows.drop("buckets"), closing, _BUCKET, spread=F.col("ord"))
-        hits = hits.select("ord", "lead").distinct()
-        if texts is not None:
-            hits = materialise(hits)
-            others = hits.filter(F.col("ord") != F.col("lead"))
-            alike = _matches(others, texts).filter(F.col("jaccard") > threshold)
-            hits = hits.filter(F.col("ord") == F.col("lead")).unionByName(alike.drop("jaccard"))
         decided = materialise(
             hits.groupBy("ord").agg(F.max(F.col("ord") != F.col("lead")).alias("drop"))
         )
@@ -165,12 +155,23 @@ def dropped_rows(
     return reduce(DataFrame.unionByName, dropped)
 
 
+def dropped_alike(firsts: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The same where a kept row only drops rows whose Jaccard similarity exceeds ``threshold``.
+
+    ``texts`` has ``ord`` and ``norm``. Only rows in shared buckets are numbered and compared; their texts are read once.
+    """
+    buckets = materialise(_shared_buckets(firsts))
+    places = materialise(numbered(buckets.select("ord").distinct(), ["ord"], "n"))
+    known = materialise(texts.join(places, "ord").select("n", "norm"))
+    dropped, _ = verified_drops(buckets.join(places, "ord").select("n", *_BUCKET), known, threshold)
+    return places.join(dropped, "n", "left_semi").select("ord")
+
+
 def kept_rows(
     firsts: DataFrame, df: DataFrame, text: Column, order_by: Sequence[str],
     threshold: float, verify: bool,
 ) -> DataFrame:
-    texts = _normalised(df, text, order_by) if verify else None
-    dropped = dropped_rows(firsts, texts, threshold)
+    dropped = dropped_alike(firsts, _normalised(df, text, order_by), threshold) if verify else dropped_rows(firsts)
     return firsts.select("ord").join(dropped, "ord", "left_anti")
 
 
@@ -181,7 +182,7 @@ def near_dedup(
     order_by: Sequence[str],
     threshold: float = 0.85,
     num_perm: int | None = None,
-    verify: bool = False,
+    verify: bool = True,
 ) -> DataFrame:
     """The rows of ``df`` that survive, unchanged."""
     kept = surviving_keys(
@@ -197,7 +198,7 @@ def distinct_prints(
     order_by: Sequence[str],
     threshold: float = 0.85,
     num_perm: int | None = None,
-    verify: bool = False,
+    verify: bool = True,
 ) -> DataFrame:
     """``ord``, ``bands`` and the number of ``copies`` of each distinct text, stored.
 
@@ -216,7 +217,7 @@ def surviving_keys(
     order_by: Sequence[str],
     threshold: float = 0.85,
     num_perm: int | None = None,
-    verify: bool = False,
+    verify: bool = True,
 ) -> DataFrame:
     """The order keys ``ord`` of the rows that survive."""
     firsts = distinct_prints(
@@ -240,7 +241,7 @@ def near_dup_pairs(
     order_by: Sequence[str],
     threshold: float = 0.85,
     num_perm: int | None = None,
-    verify: bool = False,
+    verify: bool = True,
 ) -> DataFrame:
     """Each dropped row ``ord`` with the earlier kept rows ``lead`` it matches, and ``jaccard``.
 

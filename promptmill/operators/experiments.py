@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from promptmill import schemas
 from promptmill.config import CANDIDATES, Candidate, RunConfig
+from promptmill.operators.lifecycle import experiment_rank
 from promptmill.operators.skew import attach
 
 
@@ -113,15 +114,36 @@ def get_experiment(experiments: DataFrame, experiment_id: str) -> DataFrame:
     return experiments.filter(F.col("experiment_id") == experiment_id).limit(1)
 
 
-def current_experiments(events: DataFrame, order: Sequence[str] = ("updated_at", "seq")) -> DataFrame:
-    """Fold partial updates: per experiment and column the latest non-null value."""
+def lift_experiments(
+    events: DataFrame, order: Sequence[str] = ("updated_at", "seq"), guarded: bool = False
+) -> DataFrame:
+    """Each partial update as the state that it alone gives: known values with the time they are from.
+
+    ``guarded``, a status counts by how far along it is and only then by its time, so that none is taken back.
+    """
     skip = {"experiment_id", "created_at", *order}
-    at = F.struct(*order)
-    latest = [
-        F.max_by(name, F.when(F.col(name).isNotNull(), at)).alias(name)
-        for name in events.columns
-        if name not in skip
-    ]
-    return events.groupBy("experiment_id").agg(
+
+    def known(name: str):
+        rank = experiment_rank(F.col("status")) if guarded and name == "status" else F.lit(0)
+        value = F.struct(rank.alias("rank"), *order, F.col(name).alias("value"))
+        return F.when(F.col(name).isNotNull(), value).alias(name)
+
+    return events.select("experiment_id", "created_at", "updated_at", *(known(n) for n in events.columns if n not in skip))
+
+
+def merge_experiments(states: DataFrame) -> DataFrame:
+    """One state per experiment; order, lateness and repetition of updates do not matter."""
+    latest = [F.max(name).alias(name) for name in states.columns if name not in ("experiment_id", "created_at", "updated_at")]
+    return states.groupBy("experiment_id").agg(
         F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"), *latest
     )
+
+
+def finish_experiments(states: DataFrame) -> DataFrame:
+    plain = ("experiment_id", "created_at", "updated_at")
+    return states.select(*plain, *(F.col(name)["value"].alias(name) for name in states.columns if name not in plain))
+
+
+def current_experiments(events: DataFrame, order: Sequence[str] = ("updated_at", "seq")) -> DataFrame:
+    """Fold partial updates: per experiment and column the latest non-null value."""
+    return finish_experiments(merge_experiments(lift_experiments(events, order)))

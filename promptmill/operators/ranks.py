@@ -86,12 +86,56 @@ def values_at_ranks(
     return result if keys else result.drop("_all")
 
 
+#: How far beyond the sketched place of a limit the rows may be cut off; the first is the sketch's own error.
+_BEYOND = (2e-4, 1e-3, 1e-2, 1e-1)
+
+
+def _scale(df: DataFrame, name: str) -> Column:
+    """A number that never falls where the column rises; null is the lowest."""
+    kind = df.schema[name].dataType.simpleString()
+    if kind in ("string", "binary"):
+        body = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 7)), 14, "0")
+        value = F.conv(body, 16, 10).cast("double")
+    elif kind.startswith("timestamp"):
+        value = F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    elif kind == "date":
+        value = F.unix_date(name).cast("double")
+    elif kind == "boolean":
+        value = F.col(name).cast("int").cast("double")
+    else:
+        value = F.col(name).cast("double")
+    return F.coalesce(value, F.lit(float("-inf")))
+
+
+def _within_cut(df: DataFrame, name: str, n: int) -> DataFrame:
+    """The rows up to some value of the first order column, ``n`` of them at least if there are so many.
+
+    A sketch of the column gives values to cut at, a count of the rows up to each says which is enough: a filter, whatever
+    ``n`` is, and no sort. Many rows of one value stay together.
+    """
+    scale = _scale(df, name)
+    total = df.count()
+    shares = [n / max(total, 1) + more for more in _BEYOND if n / max(total, 1) + more < 1]
+    if not shares:
+        return df
+    cuts = sorted(set(df.agg(F.percentile_approx(scale, shares, 10_000)).first()[0]))
+    place = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < scale))
+    upto = 0
+    for at, rows in sorted((r["at"], r["count"]) for r in df.groupBy(place.alias("at")).count().collect()):
+        upto += rows
+        if upto >= n and at < len(cuts):
+            return df.filter(scale <= cuts[at])
+    return df
+
+
 def first_rows(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows of a total order, whose columns identify a row.
 
-    Only those columns are sorted and numbered; the rows themselves stay where they are.
+    Rows beyond a cut-off in the first column are filtered out; of the others only the order columns are sorted and
+    numbered. The rows themselves stay where they are.
     """
-    chosen = numbered(df.select(*order_by), order_by, "_n").filter(F.col("_n") <= n)
+    near = _within_cut(df.select(*order_by), order_by[0], n)
+    chosen = numbered(near, order_by, "_n").filter(F.col("_n") <= n)
     chosen = chosen.select(*(F.col(c).alias(f"_first_{c}") for c in order_by))
     same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in order_by))
     return df.join(chosen, same, "left_semi")

@@ -6,28 +6,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptmill import schemas
+from promptmill.operators.lifecycle import outcome_rank, run_rank
 from promptmill.schemas import STAGES
 
 
-def fold_runs(events: DataFrame) -> DataFrame:
-    """One row per run: its latest status and, per stage, its latest payload in a ``stages`` map.
+def lift_runs(events: DataFrame, guarded: bool = False) -> DataFrame:
+    """Each event as the state that it alone gives: values with the place that decides which of two counts.
 
-    Both steps are aggregates with partial combining; the second sees one row per run and stage.
+    That place is the time, or, ``guarded``, the attempt, then how far along the status is, and then the time: an event that
+    comes late or would lead back within an attempt changes nothing (see :mod:`promptmill.operators.lifecycle`).
     """
-    at = F.struct("at", "seq")
-    per_stage = events.groupBy("run_id", "stage").agg(
-        F.max_by("payload", F.when(F.col("payload").isNotNull(), at)).alias("payload"),
-        F.max(F.struct("at", "seq", "status", "error")).alias("last"),
-        F.min("at").alias("started_at"),
-        F.max_by("config", F.when(F.col("config").isNotNull(), at)).alias("config"),
+    attempt = F.coalesce(F.col("attempt"), F.lit(0)) if guarded and "attempt" in events.columns else F.lit(0)
+
+    def placed(rank: Column, *values: Column | str) -> Column:
+        return F.struct(attempt.alias("attempt"), rank.alias("rank"), "at", "seq", *values)
+
+    by_status = run_rank(F.col("status")) if guarded else F.lit(0)
+    by_outcome = outcome_rank(F.col("payload.status")) if guarded else F.lit(0)
+    payload = placed(by_outcome, F.col("payload").alias("value"))
+    config = placed(F.lit(0), F.col("config").alias("value"))
+    return events.select(
+        "run_id",
+        "stage",
+        F.when(F.col("payload").isNotNull(), payload).alias("payload"),
+        placed(by_status, "status", "error").alias("last"),
+        F.col("at").alias("started_at"),
+        F.when(F.col("config").isNotNull(), config).alias("config"),
+        "triggered_by",
+    )
+
+
+def merge_runs(states: DataFrame) -> DataFrame:
+    """One state per run and stage. Taking the latest of each value, it does not mind order, lateness or repetition."""
+    return states.groupBy("run_id", "stage").agg(
+        F.max("payload").alias("payload"),
+        F.max("last").alias("last"),
+        F.min("started_at").alias("started_at"),
+        F.max("config").alias("config"),
         F.max("triggered_by").alias("triggered_by"),
     )
+
+
+def finish_runs(states: DataFrame) -> DataFrame:
+    """One row per run: its latest status and, per stage, its latest payload in a ``stages`` map."""
     entry = F.when(
         F.col("stage").isNotNull() & F.col("payload").isNotNull(),
-        F.struct("stage", "payload"),
+        F.struct("stage", F.col("payload.value").alias("payload")),
     )
     return (
-        per_stage.groupBy("run_id")
+        states.groupBy("run_id")
         .agg(
             F.max("last").alias("last"),
             F.min("started_at").alias("started_at"),
@@ -41,14 +68,23 @@ def fold_runs(events: DataFrame) -> DataFrame:
             F.col("last.status").alias("status"),
             "started_at",
             F.col("last.at").alias("updated_at"),
-            "config",
+            F.col("config.value").alias("config"),
             "triggered_by",
             "stages",
             F.col("last.error").alias("error"),
+            F.col("last.attempt").alias("attempt"),
         )
     )
 
 
+def fold_runs(events: DataFrame, guarded: bool = False) -> DataFrame:
+    """The runs of a whole history of events.
+
+    Both steps are aggregates with partial combining; the second sees one row per run and stage.
+    """
+    return finish_runs(merge_runs(lift_runs(events, guarded)))
+
+
 def registration(
     run_ids: DataFrame, now: Column, triggered_by: str, run_icl: bool = True,
     run_lora_sft: bool = True, dry_run: bool = False,
@@ -69,6 +105,7 @@ def registration(
         config.alias("config"),
         F.lit(triggered_by).alias("triggered_by"),
         F.lit(None).cast("string").alias("error"),
+        F.lit(0).alias("attempt"),
     )
 
 

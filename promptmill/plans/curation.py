@@ -26,7 +26,7 @@ LOG_ORDER = ["timestamp", "log_id"]
 
 def dedup_logs(kept: DataFrame, threshold: float, order_by: list[str] | None = None) -> DataFrame:
     text = sample_text(F.col("prompt"), F.col("response"))
-    return near_dedup(kept, text=text, order_by=order_by or LOG_ORDER, threshold=threshold)
+    return near_dedup(kept, text=text, order_by=order_by or LOG_ORDER, threshold=threshold, verify=False)
 
 
 def curate(
@@ -42,6 +42,7 @@ def curate(
         text=sample_text(F.col("prompt"), F.col("response")),
         order_by=order_by,
         threshold=cfg.dedup_threshold,
+        verify=cfg.verify_duplicates,
     )
     samples = redact_logs(rows_with_keys(pulled, keys, order_by), cfg)
     if cfg.max_samples:
@@ -115,8 +116,9 @@ def run_curation(
     pulled = rows_with_keys(logs, taken, LOG_ORDER)
     kept = filter_logs(pulled, cfg)
     text = sample_text(F.col("prompt"), F.col("response"))
-    distinct = distinct_prints(kept, text=text, order_by=LOG_ORDER, threshold=cfg.dedup_threshold)
-    survivors = kept_rows(distinct, kept, text, LOG_ORDER, cfg.dedup_threshold, verify=False)
+    rule = {"threshold": cfg.dedup_threshold, "verify": cfg.verify_duplicates}
+    distinct = distinct_prints(kept, text=text, order_by=LOG_ORDER, **rule)
+    survivors = kept_rows(distinct, kept, text, LOG_ORDER, **rule)
     places = numbered(survivors, ["ord"], "seq")
     if cfg.max_samples:
         places = places.filter(F.col("seq") <= cfg.max_samples)

@@ -18,7 +18,7 @@ from promptmill.config import (
     RunConfig,
 )
 from promptmill.operators import experiments as ex
-from promptmill.operators import gate, registry, runs
+from promptmill.operators import gate, lifecycle, registry, runs
 from promptmill.operators.evaluate import (
     evaluate_experiments,
     first_verdicts,
@@ -26,8 +26,21 @@ from promptmill.operators.evaluate import (
     pricing_table,
 )
 from promptmill.plans.curation import run_curation
-from promptmill.responders import Judge, Responder, judge, respond
-from promptmill.sources import datasets, logs, state
+from promptmill.responders import (
+    ANSWERS,
+    REPLIES,
+    BatchJudge,
+    BatchResponder,
+    Judge,
+    Responder,
+    failures,
+    judge_many,
+    one_by_one,
+    respond_many,
+    unanswered,
+)
+from promptmill.session import materialise
+from promptmill.sources import datasets, folded, logs, state
 from promptmill.sources.metric_log import promotions_to_metric_log, to_metric_log
 
 
@@ -39,23 +52,34 @@ class Workspace:
         return f"{self.root}/{table}"
 
 
-def _event(spark: SparkSession, ws: Workspace, run_id: str, seq: int, run_status: str, stage: str, **payload) -> None:
+def _event(
+    spark: SparkSession, ws: Workspace, run_id: str, seq: int, run_status: str, stage: str | None, attempt: int = 0, **payload
+) -> None:
     entry = spark.range(1).select(
         F.lit(run_id).alias("run_id"),
         F.current_timestamp().alias("at"),
         F.lit(seq).cast("bigint").alias("seq"),
         F.lit(run_status).alias("status"),
-        F.lit(stage).alias("stage"),
-        F.from_json(F.lit(json.dumps(payload)), schemas.STAGE_PAYLOAD).alias("payload"),
+        F.lit(stage).cast("string").alias("stage"),
+        (F.from_json(F.lit(json.dumps(payload)), schemas.STAGE_PAYLOAD) if stage else F.lit(None).cast(schemas.STAGE_PAYLOAD)).alias("payload"),
         F.lit(None).cast(schemas.RUN_CONFIG).alias("config"),
         F.lit(None).cast("string").alias("triggered_by"),
         F.lit(payload.get("error")).cast("string").alias("error"),
+        F.lit(attempt).alias("attempt"),
     )
-    state.append_events(entry, ws.path("run_events"))
+    folded.run_events(spark, ws.path("run_events")).append(entry)
 
 
 def read_runs(spark: SparkSession, ws: Workspace) -> DataFrame:
-    return runs.fold_runs(state.read_or_empty(spark, ws.path("run_events"), schemas.RUN_EVENTS))
+    """Current runs: the folded base and newer events."""
+    return folded.run_events(spark, ws.path("run_events")).read()
+
+
+def fold_state(spark: SparkSession, ws: Workspace) -> None:
+    """Fold run and experiment events, so that later reads leave their files unread; any time, by whatever schedules it."""
+    for events in (folded.run_events(spark, ws.path("run_events")), folded.experiment_events(spark, ws.path("experiment_events"))):
+        events.fold()
+        events.table.vacuum()
 
 
 def read_registry(spark: SparkSession, ws: Workspace) -> DataFrame:
@@ -79,11 +103,10 @@ def start_if_ready(
 def register_run(spark: SparkSession, ws: Workspace, cfg: RunConfig = RunConfig(), triggered_by: str = "manual") -> str:
     run_id = str(uuid.uuid4())
     ids = spark.range(1).select(F.lit(run_id).alias("run_id"))
-    state.append_events(
+    folded.run_events(spark, ws.path("run_events")).append(
         runs.registration(
             ids, F.current_timestamp(), triggered_by, cfg.run_icl, cfg.run_lora_sft, cfg.dry_run
-        ),
-        ws.path("run_events"),
+        )
     )
     return run_id
 
@@ -92,59 +115,120 @@ def run_cycle(
     spark: SparkSession,
     ws: Workspace,
     run_id: str,
-    responder: Responder,
-    ask: Judge,
+    responder: Responder | BatchResponder,
+    ask: Judge | BatchJudge,
     is_verdict,
     *,
     cfg: RunConfig = RunConfig(),
     curation: CurationConfig = CurationConfig(),
     criteria: Criteria = Criteria(),
+    batched: bool = False,
+    wait_for_training: bool = False,
 ) -> dict:
     """Run every stage that is still to do for ``run_id`` and return the promotion result.
 
-    Each stage commits its tables before its event, so a failed run resumes at the stage
-    :func:`runs.resume_points` names and reads what the earlier stages stored. Fine-tuning itself is
-    outside Spark: planned ``lora_sft`` experiments wait with status ``training`` until a
-    trainer marks them ``pending_eval``.
+    Each stage commits its tables before its event, so a run that was lost resumes at the stage
+    :func:`runs.resume_points` names and reads what the earlier stages stored. A stage that raises leaves the run ``failed``
+    with its error; running it again makes it ``resuming`` and begins a new attempt. ``batched`` says that
+    ``responder`` and ``ask`` take several prompts at once.
+
+    Fine-tuning itself is outside Spark: planned ``lora_sft`` experiments wait with status ``training`` until a trainer reports on
+    them through :func:`report_training`. With ``wait_for_training`` the run stays in evaluation while any of them does, and a
+    later call evaluates those that have come; without it they are left out of the decision.
     """
-    point = runs.resume_points(runs.get_run(read_runs(spark, ws), run_id)).first()
+    run = runs.get_run(read_runs(spark, ws), run_id)
+    point = runs.resume_points(run).first()
     if point is None:
         raise ValueError(f"run {run_id} is not registered")
-    first = schemas.STAGES.index(point["resume_from"])
-    dataset_id = f"dataset-{run_id}"
-    if first <= 0:
-        _event(spark, ws, run_id, 1, "curating", "curation", status="running")
+    attempt = point["attempt"]
+    if point["status"] not in ("pending", "completed"):
+        lifecycle.check_transition(point["status"], "resuming")
+        attempt += 1
+        _event(spark, ws, run_id, 0, "resuming", None, attempt)
+    at = Progress(spark, ws, run_id, attempt, point["resume_from"])
+    try:
+        return _stages(at, cfg, curation, criteria, *_hooks(responder, ask, batched), is_verdict, wait_for_training)
+    except Exception as error:
+        _event(spark, ws, run_id, 9, "failed", at.stage, attempt, status="failed", error=f"{type(error).__name__}: {error}")
+        raise
+
+
+def _hooks(responder, ask, batched: bool) -> tuple[BatchResponder, BatchJudge]:
+    return (responder, ask) if batched else (one_by_one(responder), one_by_one(ask))
+
+
+@dataclass
+class Progress:
+    """Where a run is; its events carry the attempt."""
+
+    spark: SparkSession
+    ws: Workspace
+    run_id: str
+    attempt: int
+    stage: str
+
+    def event(self, seq: int, run_status: str, stage: str, /, **payload) -> None:
+        _event(self.spark, self.ws, self.run_id, seq, run_status, stage, self.attempt, **payload)
+
+    def begins(self, stage: str) -> bool:
+        """Whether a stage is still to do; it becomes the current one."""
+        if schemas.STAGES.index(stage) < schemas.STAGES.index(self.stage):
+            return False
+        self.stage = stage
+        return True
+
+
+def _stages(at: Progress, cfg, curation, criteria, responder, ask, is_verdict, wait_for_training: bool) -> dict:
+    spark, ws, run_id = at.spark, at.ws, at.run_id
+    if at.begins("curation"):
+        at.event(1, "curating", "curation", status="running")
         result = run_curation(
             spark,
             logs.read_logs(spark, ws.path("logs")),
             logs.read_ledger(spark, ws.path("ledger")),
             run_id=run_id,
-            dataset_id=dataset_id,
+            dataset_id=f"dataset-{run_id}",
             datasets_path=ws.path("datasets"),
             ledger_path=ws.path("ledger"),
             cfg=curation,
         )
-        _event(spark, ws, run_id, 2, "curating", "curation", **result)
-        if result["status"] == "skipped":
-            _event(spark, ws, run_id, 3, "training", "finetuning", status="skipped",
-                   reason="no_dataset_from_curation")
-            _event(spark, ws, run_id, 5, "evaluating", "evaluation", status="skipped",
-                   reason="no_experiments_from_finetuning")
-            _event(spark, ws, run_id, 7, "completed", "promotion", status="no_candidate",
-                   promoted=False)
-            return {"run_id": run_id, "promoted": False, "reason": "no_candidate"}
-    if first <= 1:
-        _plan_stage(spark, ws, run_id, cfg)
-    if first <= 2:
-        _evaluation_stage(spark, ws, run_id, responder, ask, is_verdict)
-    return _promotion_stage(spark, ws, run_id, criteria)
+        # A run without logs has no dataset; the later stages are skipped by that, not by this status.
+        at.event(2, "curating", "curation", **(result | {"status": "completed"}))
+    if at.begins("finetuning"):
+        _plan_stage(at, cfg)
+    if at.begins("evaluation"):
+        training = _evaluation_stage(at, responder, ask, is_verdict, wait_for_training)
+        if training:
+            return {"run_id": run_id, "promoted": False, "reason": "waiting_for_training", "training": training}
+    at.begins("promotion")
+    return _promotion_stage(at, criteria)
+
+
+def _skip(at: Progress, stage: str) -> str | None:
+    """Why a stage has nothing to do, from what the stages before it handed over."""
+    run = runs.get_run(read_runs(at.spark, at.ws), at.run_id)
+    return runs.stage_skips(run, ex_of_run(at.spark, at.ws, at.run_id)).first()[f"{stage}_skip"]
 
 
 def read_experiments(spark: SparkSession, ws: Workspace) -> DataFrame:
-    events = state.read_or_empty(
-        spark, ws.path("experiment_events"), schemas.EXPERIMENTS + ", seq BIGINT"
-    )
-    return ex.current_experiments(events)
+    """Current experiments: the folded base and newer events."""
+    return folded.experiment_events(spark, ws.path("experiment_events")).read()
+
+
+def _experiments_changed(spark: SparkSession, ws: Workspace, rows: DataFrame, seq: int) -> None:
+    folded.experiment_events(spark, ws.path("experiment_events")).append(_as_events(rows, seq))
+
+
+def report_training(spark: SparkSession, ws: Workspace, reports: DataFrame) -> None:
+    """A trainer's word on ``experiment_id``: ``status`` ``pending_eval`` or ``failed``, ``adapter_repo_id``, ``error``.
+
+    Reports that come twice or late change nothing: an experiment never falls back to an earlier status.
+    """
+    allowed = lifecycle.EXPERIMENT_TRANSITIONS["training"]
+    rows = reports.filter(F.col("status").isin(*allowed))
+    if rows.count() != reports.count():
+        raise lifecycle.IllegalTransition(f"a trainer may report {' or '.join(allowed)}")
+    _experiments_changed(spark, ws, rows, 2)
 
 
 def _as_events(df: DataFrame, seq: int) -> DataFrame:
@@ -162,21 +246,35 @@ def _as_events(df: DataFrame, seq: int) -> DataFrame:
     )
 
 
-def _plan_stage(spark: SparkSession, ws: Workspace, run_id: str, cfg: RunConfig) -> None:
-    headers = datasets.read_headers(spark, ws.path("datasets")).filter(F.col("run_id") == run_id)
-    planned = ex.plan_experiments(
-        ex.candidates_table(spark), headers, cfg, read_experiments(spark, ws)
-    )
-    rows = planned.withColumn("created_at", F.current_timestamp()).withColumn(
-        "promoted", F.lit(False)
-    )
-    state.append_events(_as_events(rows, 1), ws.path("experiment_events"))
-    _event(spark, ws, run_id, 4, "training", "finetuning", status="completed")
-
-
-def _evaluation_stage(spark: SparkSession, ws: Workspace, run_id: str, responder, ask, is_verdict) -> None:
+def _plan_stage(at: Progress, cfg: RunConfig) -> None:
+    spark, ws = at.spark, at.ws
+    skip = _skip(at, "finetuning")
+    if skip:
+        at.event(4, "training", "finetuning", status="skipped", reason=skip)
+        return
+    at.event(3, "training", "finetuning", status="running")
+    headers = datasets.read_headers(spark, ws.path("datasets")).filter(F.col("run_id") == at.run_id)
+    known = read_experiments(spark, ws)
+    planned = ex.plan_experiments(ex.candidates_table(spark), headers, cfg, known)
+    rows = planned.withColumn("created_at", F.current_timestamp()).withColumn("promoted", F.lit(False))
+    handed_over = ex.run_experiment_ids(planned, known).filter(F.col("run_id") == at.run_id)
+    # The experiments of one run: candidates times their types.
+    ids = sorted(r["experiment_id"] for r in handed_over.collect())
+    _experiments_changed(spark, ws, rows, 1)
+    at.event(4, "training", "finetuning", status="completed", dataset_id=f"dataset-{at.run_id}", experiments=ids)
+
+
+def _evaluation_stage(at: Progress, responder, ask, is_verdict, wait_for_training: bool) -> int:
+    """Evaluate what waits; returns how many experiments are still in training if the run is to wait for them."""
+    spark, ws, run_id = at.spark, at.ws, at.run_id
+    skip = _skip(at, "evaluation")
+    if skip:
+        at.event(6, "evaluating", "evaluation", status="skipped", reason=skip)
+        return 0
+    at.event(5, "evaluating", "evaluation", status="running")
     # A repeated stage also takes the experiments an earlier attempt has completed, and asks only for what is absent.
-    waiting = ex_of_run(spark, ws, run_id).filter(F.col("status").isin("pending_eval", "completed"))
+    open_or_done = ("pending_eval", "completed", "eval_failed")
+    waiting = materialise(ex_of_run(spark, ws, run_id).filter(F.col("status").isin(*open_or_done)))
     samples = datasets.read_samples(spark, ws.path("datasets"))
     asked = ex.experiment_samples(waiting, samples).select(
         "experiment_id", F.col("log_id").alias("sample_id"), "model_name",
@@ -189,35 +287,49 @@ def _evaluation_stage(spark: SparkSession, ws: Workspace, run_id: str, responder
                 F.lit("teacher").alias("role"), "s.prompt")
     )
     folder = f"run_id={run_id}"
-    stored = state.read_or_empty(spark, f"{ws.path('responses')}/{folder}", schemas.RESPONSES)
-    absent = asked.unionByName(taught).join(stored, ["experiment_id", "sample_id", "role"], "left_anti")
-    respond(absent.select(asked.columns), responder).write.mode("append").parquet(
+    stored = state.read_or_empty(spark, f"{ws.path('responses')}/{folder}", ANSWERS)
+    known_teacher = stored.filter("role = 'teacher' AND error IS NULL").select("sample_id")
+    absent = unanswered(asked.unionByName(taught.join(known_teacher, "sample_id", "left_anti")), stored)
+    respond_many(absent.select(asked.columns), responder).write.mode("append").parquet(
         f"{ws.path('responses')}/{folder}"
     )
-    responses = spark.read.schema(schemas.RESPONSES).parquet(f"{ws.path('responses')}/{folder}")
+    answers = spark.read.schema(ANSWERS).parquet(f"{ws.path('responses')}/{folder}")
+    responses = answers.filter("error IS NULL").drop("error")
     prompts = samples.join(
         waiting.select("dataset_id").distinct(), "dataset_id", "left_semi"
     ).select(F.col("log_id").alias("sample_id"), "prompt")
     pairs = pair_responses(responses).join(prompts, "sample_id")
-    judged = state.read_or_empty(spark, f"{ws.path('verdicts')}/{folder}", schemas.VERDICTS)
+    judged = state.read_or_empty(spark, f"{ws.path('verdicts')}/{folder}", REPLIES).filter("error IS NULL")
     unjudged = pairs.join(judged, ["experiment_id", "sample_id"], "left_anti").select(pairs.columns)
-    judge(unjudged, ask, is_verdict).write.mode("append").parquet(
+    judge_many(unjudged, ask, is_verdict).write.mode("append").parquet(
         f"{ws.path('verdicts')}/{folder}"
     )
-    raw = spark.read.schema(schemas.VERDICTS).parquet(f"{ws.path('verdicts')}/{folder}")
+    replies = spark.read.schema(REPLIES).parquet(f"{ws.path('verdicts')}/{folder}")
+    # One experiment's errors leave the others alone.
+    lost = failures(answers.filter("role = 'candidate'")).unionByName(failures(replies))
+    lost = materialise(lost.groupBy("experiment_id").agg(F.min("error").alias("error")))
+    sound = waiting.join(lost, "experiment_id", "left_anti")
     evaluations = evaluate_experiments(
-        waiting, responses, first_verdicts(raw), pricing_table(spark)
+        sound, responses, first_verdicts(replies.filter("error IS NULL").drop("error")), pricing_table(spark)
     ).withColumn("evaluated_at", F.current_timestamp())
     evaluations.write.mode("overwrite").parquet(f"{ws.path('evaluations')}/{folder}")
     done = spark.read.parquet(f"{ws.path('evaluations')}/{folder}")
     metrics = F.struct("accuracy", "mean_score", "latency_p95_ms", "cost_per_1k_tokens_usd")
     finished = done.select(
-        "experiment_id", "run_id", F.lit("completed").alias("status"),
+        "experiment_id", F.lit(run_id).alias("run_id"), F.lit("completed").alias("status"),
         F.current_timestamp().alias("completed_at"), metrics.alias("metrics"),
     )
-    state.append_events(_as_events(finished, 2), ws.path("experiment_events"))
-    _log_metrics(to_metric_log(done), ws, run_id, "evaluation")
-    _event(spark, ws, run_id, 6, "evaluating", "evaluation", status="completed")
+    broken = waiting.filter("status <> 'completed'").join(lost.withColumnRenamed("error", "said"), "experiment_id").select(
+        "experiment_id", "run_id", F.lit("eval_failed").alias("status"), F.col("said").alias("error")
+    )
+    _experiments_changed(spark, ws, finished, 3)
+    _experiments_changed(spark, ws, broken, 3)
+    _log_metrics(to_metric_log(done.withColumn("run_id", F.lit(run_id))), ws, run_id, "evaluation")
+    training = ex_of_run(spark, ws, run_id).filter("status = 'training'").count() if wait_for_training else 0
+    if not training:
+        best = gate.best_candidate(_scored(spark, ws, run_id)).first()
+        at.event(6, "evaluating", "evaluation", status="completed", best_candidate=best["experiment_id"] if best else None)
+    return training
 
 
 def ex_of_run(spark: SparkSession, ws: Workspace, run_id: str) -> DataFrame:
@@ -244,22 +356,38 @@ def _commit_registry(spark: SparkSession, ws: Workspace, scored: DataFrame, prom
                 raise
 
 
-def _promotion_stage(spark: SparkSession, ws: Workspace, run_id: str, criteria: Criteria) -> dict:
-    folder = f"{ws.path('evaluations')}/run_id={run_id}"
-    this_run = spark.range(1).select(F.lit(run_id).alias("run_id"))
-    scored = (
-        spark.read.parquet(folder)
+def _scored(spark: SparkSession, ws: Workspace, run_id: str) -> DataFrame:
+    """A run's evaluations as promotion receives them; none if evaluation was skipped."""
+    empty = f"{_SCORED}, evaluated_at TIMESTAMP"
+    return (
+        state.read_or_empty(spark, f"{ws.path('evaluations')}/run_id={run_id}", empty)
         .withColumn("run_id", F.lit(run_id))
         .withColumnRenamed("cost_per_1k_tokens_usd", "cost_per_1k_tokens")
         .withColumn("seq", F.struct("model_id", "experiment_type"))
     )
+
+
+# The columns of an evaluation.
+_SCORED = (
+    "experiment_id STRING, model_id STRING, model_name STRING, experiment_type STRING, adapter_repo_id STRING, "
+    "accuracy DOUBLE, mean_score DOUBLE, score_distribution MAP<INT, BIGINT>, latency_p50_ms DOUBLE, latency_p95_ms DOUBLE, "
+    "latency_p99_ms DOUBLE, cost_per_1k_tokens_usd DOUBLE, total_cost_usd DOUBLE, sample_count BIGINT"
+)
+
+
+def _promotion_stage(at: Progress, criteria: Criteria) -> dict:
+    spark, ws, run_id = at.spark, at.ws, at.run_id
+    at.event(7, "promoting", "promotion", status="running")
+    this_run = spark.range(1).select(F.lit(run_id).alias("run_id"))
+    scored = _scored(spark, ws, run_id)
     decision = gate.promotion_decisions(this_run, scored, criteria).first().asDict(recursive=True)
     if decision["reason"] != "no_candidate":
         _commit_registry(spark, ws, scored, decision["promoted_model_id"] if decision["promoted"] else None)
     if decision["promoted"]:
         chosen = scored.filter(F.col("experiment_id") == decision["promoted_model_id"])
         _log_metrics(promotions_to_metric_log(chosen), ws, run_id, "promotion")
-    _event(spark, ws, run_id, 8, "completed", "promotion", status="completed",
-           promoted=decision["promoted"], reason=decision["reason"],
-           best_candidate=decision["promoted_model_id"])
+    outcome = "no_candidate" if decision["reason"] == "no_candidate" else "completed"
+    at.event(8, "completed", "promotion", status=outcome,
+             promoted=decision["promoted"], reason=decision["reason"],
+             best_candidate=decision["promoted_model_id"])
     return decision

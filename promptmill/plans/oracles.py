@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from promptmill.config import CANDIDATES, DEFAULT_PRICE, PRICING
-from promptmill.functions.minhash import balanced_shape, permutations
 from promptmill.plans.queries import DATA_BLOCKLIST, DATA_CRITERIA
 from promptmill.plans.standins import EVENT_MODELS, EVENT_STAGES
 
@@ -185,16 +186,22 @@ SELECT doc_id AS log_id, redacted AS response FROM r7"""
 
 # --- near-duplicates -----------------------------------------------------------------------------
 
-_SHAPE = balanced_shape(0.85)
+# The bands of the common LSH index at threshold 0.85 and 128 permutations.
+_BANDS, _ROWS = 8, 16
+
+
+def _drawn(count: int) -> list[tuple[int, int]]:
+    """Multiplier and offset of each permutation, as the public scheme draws them with seed 1."""
+    draw = np.random.RandomState(1)
+    return [tuple(int(draw.randint(low, 2**61 - 1, dtype=np.uint64)) for low in (1, 0)) for _ in range(count)]
 
 
 def _signatures(grams: str) -> str:
     """CTE ``sig``: the signature list of every document, from ``n`` (all rows) and ``g`` (grams)."""
-    a, b = permutations(128, 1)
     hashed = ", ".join(
-        f"((({int(a[i])}::HUGEINT * h + {int(b[i])}) % 18446744073709551616) "
+        f"((({a}::HUGEINT * h + {b}) % 18446744073709551616) "
         f"% 2305843009213693951 & 4294967295)::BIGINT AS p{i}"
-        for i in range(128)
+        for i, (a, b) in enumerate(_drawn(128))
     )
     least = ", ".join(f"coalesce(min(p{i}), 4294967295)" for i in range(128))
     digits = "substr(sha1(gram), 7, 2) || substr(sha1(gram), 5, 2) || substr(sha1(gram), 3, 2) || substr(sha1(gram), 1, 2)"
@@ -203,8 +210,8 @@ v AS (SELECT gram, ('0x' || {digits})::HUGEINT AS h FROM (SELECT DISTINCT gram F
 p AS (SELECT gram, {hashed} FROM v),
 sig AS (SELECT n.doc_id, [{least}] AS sig FROM n LEFT JOIN g USING (doc_id) LEFT JOIN p USING (gram)
         GROUP BY n.doc_id),
-bands AS (SELECT doc_id, k AS band, sig[k * {_SHAPE.rows} + 1 : (k + 1) * {_SHAPE.rows}] AS key
-          FROM sig, range({_SHAPE.bands}) AS r(k))"""
+bands AS (SELECT doc_id, k AS band, sig[k * {_ROWS} + 1 : (k + 1) * {_ROWS}] AS key
+          FROM sig, range({_BANDS}) AS r(k))"""
 
 
 def _walk(edges: str) -> str:
@@ -280,20 +287,34 @@ SELECT 'completed' AS status, NULL::VARCHAR AS reason,
        (SELECT count(*) FROM kept) AS samples_after_dedup"""
 
 
-def _curated() -> str:
-    """Filter, redact, then deduplicate the redacted text."""
+def _curated(edges: str = _LSH_EDGES, undo: str = "", more: str = "") -> str:
+    """Filter, redact, then deduplicate the redacted text. ``undo`` turns the ids of edges into document ids."""
+    walk = _walk(edges).replace("unnest(dropped) AS id", f"unnest(dropped){undo} AS id")
     return f"""
 WITH RECURSIVE {_tagged(0.7, DEFAULT_WORDS)},
 survivors AS (SELECT doc_id, text, source FROM tagged WHERE drop_reason IS NULL),
 {_redacted('survivors')},
 clean AS (SELECT doc_id, redacted AS text, source FROM r7),
-{_signatures(_log_grams('clean'))}, {_walk(_LSH_EDGES)}
-SELECT doc_id AS log_id, text AS response FROM clean
+{_signatures(_log_grams('clean'))}, {walk}
+SELECT doc_id AS log_id, text AS response{more} FROM clean
 WHERE doc_id IN (SELECT doc_id FROM kept)"""
 
 
 ORACLES["curated_samples"] = _curated()
 ORACLES["incremental_curation"] = _curated()
+_BATCH = ", (doc_id % 4)::INTEGER AS batch_id"
+ORACLES["curation_in_batches"] = _curated(
+    _LSH_EDGES.replace("a.doc_id < b.doc_id", "a.doc_id < b.doc_id AND a.doc_id % 4 = b.doc_id % 4"), "", _BATCH
+)
+# Batches in turn: ids are led by the number of their batch.
+_IN_TURN = "({0}.doc_id % 4) * 1000000000000 + {0}.doc_id"
+ORACLES["curation_across_batches"] = _curated(
+    _LSH_EDGES.replace("a.doc_id < b.doc_id", f"{_IN_TURN.format('a')} < {_IN_TURN.format('b')}")
+    .replace("b.doc_id AS id", f"{_IN_TURN.format('b')} AS id")
+    .replace("a.doc_id AS earlier", f"{_IN_TURN.format('a')} AS earlier"),
+    " % 1000000000000",
+    _BATCH,
+)
 ORACLES["capped_samples"] = f"SELECT * FROM ({_curated()}) ORDER BY log_id LIMIT 100"
 
 # --- logs and datasets ---------------------------------------------------------------------------
@@ -317,6 +338,9 @@ ORACLES["readiness"] = f"""
 WITH {_LOGS} SELECT CASE WHEN count(*) < 200 THEN 'skipped' ELSE 'started' END AS status,
 CASE WHEN count(*) < 200 THEN 'insufficient_logs' END AS reason, count(*) AS new_logs,
 200::BIGINT AS min_required FROM waiting"""
+ORACLES["unconsumed_after_pulls"] = f"""
+WITH {_LOGS} SELECT log_id, response FROM logs
+WHERE conv_id % 4 = 3 OR (conv_id % 4 = 2 AND length(response) >= 200)"""
 ORACLES["ledger_round_trip"] = f"""
 WITH {_LOGS} SELECT 'run-1' AS run_id, count(*) AS consumed FROM waiting
 UNION ALL SELECT 'waiting', 0"""
@@ -377,6 +401,24 @@ FROM logs)
 SELECT 'exp-1' AS experiment_id, log_id AS sample_id, (1 + size % 5)::INTEGER AS score,
 'attempt ' || (1 + size % 2) AS reason FROM j"""
 
+_BATCHED = f"""{_LOGS},
+asked AS (SELECT 'exp-' || conv_id % 3 AS experiment_id, log_id AS sample_id, 'model-' || conv_id % 3 AS model_name,
+  conv_id % 3 = 2 AS gone, length(prompt) % 10 = 7 AS odd, prompt, response FROM logs),
+answered AS (SELECT experiment_id, sample_id, model_name, 'candidate' AS role,
+  CASE WHEN NOT gone AND NOT odd THEN replace(prompt, ' ', '_') END AS response,
+  CASE WHEN NOT gone AND NOT odd THEN length(prompt)::DOUBLE END AS latency_ms,
+  CASE WHEN NOT gone AND NOT odd THEN length(model_name)::INTEGER END AS input_tokens,
+  CASE WHEN NOT gone AND NOT odd THEN (length(prompt) - length(replace(prompt, ' ', '')))::INTEGER END AS output_tokens,
+  CASE WHEN gone THEN 'ConnectionError: out of reach' WHEN odd THEN 'ValueError: odd prompt' END AS error FROM asked)"""
+ORACLES["batch_responses"] = f"WITH {_BATCHED} SELECT * FROM answered"
+ORACLES["failed_experiments"] = f"""
+WITH {_BATCHED} SELECT experiment_id, count(*) AS failed, min(error) AS error FROM answered
+WHERE error IS NOT NULL GROUP BY 1"""
+ORACLES["batch_verdicts"] = f"""
+WITH {_BATCHED}, j AS (SELECT *, length('Prompt: ' || prompt || 'xx' || 'Reference response: '
+|| response || 'xx' || 'Candidate response: ' || prompt || 'xx' || 'Score the Candidate response.') AS size FROM asked)
+SELECT experiment_id, sample_id, (1 + size % 5)::INTEGER AS score FROM j"""
+
 # --- evaluation ----------------------------------------------------------------------------------
 
 
@@ -622,6 +664,23 @@ ORACLES["list_experiments"] = f"""
 WITH {_EVENTS} SELECT experiment_id, created_at FROM exps ORDER BY created_at DESC, experiment_id LIMIT 50"""
 ORACLES["evaluable_chosen"] = f"""
 WITH {_EVENTS} SELECT experiment_id, run_id FROM exps WHERE experiment_type = 'lora_sft'"""
+ORACLES["run_fold_incremental"] = ORACLES["run_fold"]
+ORACLES["guarded_runs"] = f"""
+WITH {_EVENTS}, r AS (SELECT run_id, coalesce({_case('event_type', EVENT_STAGES, 1)}, 'failed') AS status,
+  (event_id % 3)::INTEGER AS attempt, ts, event_id FROM e),
+p AS (SELECT *, CASE status WHEN 'curating' THEN 1 WHEN 'training' THEN 2 WHEN 'evaluating' THEN 3 ELSE 5 END AS far FROM r),
+w AS (SELECT run_id, arg_max({{'status': status, 'attempt': attempt, 'ts': ts, 'event_id': event_id}},
+  (attempt, far, ts, event_id)) AS w FROM p GROUP BY run_id),
+n AS (SELECT run_id, w['status'] AS status, w['attempt'] AS attempt, w['ts'] AS ts, w['event_id'] AS event_id FROM w)
+SELECT n.run_id, n.status, n.attempt, n.ts AS updated_at,
+  count(*) FILTER ((p.ts, p.event_id) > (n.ts, n.event_id)) AS ignored
+FROM n JOIN p USING (run_id) GROUP BY n.run_id, n.status, n.attempt, n.ts"""
+ORACLES["iso_stamps"] = """
+SELECT event_id, CASE event_id % 5
+  WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00'
+  WHEN 1 THEN strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') || '.250000+00:00'
+  WHEN 2 THEN strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%dT%H:%M:%S') || '+00:00'
+  WHEN 3 THEN strftime(ts, '%Y-%m-%d') || 'T00:00:00+00:00' END AS stamp FROM events"""
 ORACLES["registered_runs"] = """
 SELECT 'run-' || user_id AS run_id, 'pending' AS status, min(ts) AS started_at, 'manual' AS triggered_by,
 true AS run_icl, false AS run_lora_sft, false AS dry_run, 'curation' AS resume_from
@@ -635,6 +694,7 @@ arg_max(event_type, (ts, event_id)) AS status,
 arg_max(props, (ts, event_id)) FILTER (event_type = 'error') AS error,
 arg_max(value, (ts, event_id)) FILTER (event_type = 'purchase') AS accuracy
 FROM events GROUP BY 1"""
+ORACLES["experiment_fold_incremental"] = ORACLES["experiment_fold"]
 ORACLES["value_counts"] = "SELECT event_type, count(*) AS n FROM events GROUP BY 1"
 ORACLES["distinct_values"] = "SELECT DISTINCT source FROM documents"
 

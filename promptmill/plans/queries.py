@@ -12,19 +12,22 @@ from promptmill import schemas
 from promptmill.config import Criteria, CurationConfig, RunConfig
 from promptmill.functions import text as tx
 from promptmill.functions.minhash import band_keys, balanced_shape, minhash
+from promptmill.functions.stamps import iso_stamp, parse_iso
 from promptmill.functions.redact import recognise, redact_pii, replace_spans
 from promptmill.functions.verdicts import judge_prompt, parse_verdict
 from promptmill.operators import evaluate as ev
 from promptmill.operators import experiments as ex
-from promptmill.operators import filters, gate, registry, reports, runs
+from promptmill.operators import filters, gate, lifecycle, registry, reports, runs
 from promptmill.operators.dedup import exact_duplicates, near_dedup, near_dup_pairs
 from promptmill.plans import standins as st
 from promptmill.plans.curation import curate, curation_summary, dedup_logs
-from promptmill.responders import judge, respond
+from promptmill.responders import failures, judge, judge_many, respond, respond_many
 from promptmill.session import materialise, shared_dir
+from promptmill.sources import folded
 from promptmill.sources import logs as log_source
 from promptmill.sources import metric_log, state
 from promptmill.sources.datasets import export_chat_jsonl, read_dataset, write_dataset
+from promptmill.sources.pulls import LogPulls
 from promptmill.streaming.incremental import start_curation
 
 QUERIES = {}
@@ -195,21 +198,21 @@ def exact_dups(spark, sf_dir):
 def near_dups(spark, sf_dir):
     """The documents that survive; the rule of the band index."""
     docs = st.table(spark, sf_dir, "documents")
-    return near_dedup(docs, text=_text(), order_by=["doc_id"]).select("doc_id", "source")
+    return near_dedup(docs, text=_text(), order_by=["doc_id"], verify=False).select("doc_id", "source")
 
 
 @query
 def near_dups_verified(spark, sf_dir):
     """The same with an exact similarity test on every match."""
     docs = st.table(spark, sf_dir, "documents")
-    kept = near_dedup(docs, text=_text(), order_by=["doc_id"], verify=True)
+    kept = near_dedup(docs, text=_text(), order_by=["doc_id"])
     return kept.select("doc_id", "source")
 
 
 @query
 def near_dup_matches(spark, sf_dir):
     docs = st.table(spark, sf_dir, "documents")
-    return near_dup_pairs(docs, text=_text(), order_by=["doc_id"]).select(
+    return near_dup_pairs(docs, text=_text(), order_by=["doc_id"], verify=False).select(
         F.col("ord").alias("dropped_id"), F.col("lead").alias("kept_id"), "jaccard"
     )
 
@@ -282,6 +285,24 @@ def ledger_round_trip(spark, sf_dir):
     )
 
 
+@query
+def unconsumed_after_pulls(spark, sf_dir):
+    """Logs land in four parts; a run takes the first two, one the short answers of the third. What waits is read from open files only."""
+    work = _scratch(spark)
+    pulls = LogPulls(spark, f"{work}/logs", f"{work}/ledger")
+    full = materialise(st.full_logs(spark, sf_dir))
+    part = F.pmod(F.col("session_id").cast("bigint"), F.lit(4))
+    for number in range(4):
+        full.filter(part == number).write.mode("append").parquet(pulls.logs)
+        if number in (1, 2):
+            taken = pulls.unconsumed()
+            if number == 2:
+                taken = taken.filter(F.length("response") < 200)
+            log_source.append_ledger(taken, f"run-{number}", pulls.ledger)
+            pulls.settle()
+    return pulls.unconsumed().select("log_id", "response")
+
+
 @query
 def dataset_round_trip(spark, sf_dir):
     path = _scratch(spark)
@@ -401,6 +422,53 @@ def model_responses(spark, sf_dir):
     return respond(requests, _echo)
 
 
+def _echo_or_fail(model: str, prompts):
+    if model == "model-2":
+        raise ConnectionError("out of reach")
+    return [ValueError("odd prompt") if len(p) % 10 == 7 else _echo(model, p) for p in prompts]
+
+
+def _asked_in_batches(spark, sf_dir):
+    """Conversations dealt to three experiments with a model each."""
+    third = F.pmod(F.col("conv_id"), F.lit(3)).cast("string")
+    return st.conversation_logs(spark, sf_dir).select(
+        F.concat(F.lit("exp-"), third).alias("experiment_id"),
+        F.col("log_id").alias("sample_id"),
+        F.concat(F.lit("model-"), third).alias("model_name"),
+        F.lit("candidate").alias("role"),
+        "prompt",
+        "response",
+    )
+
+
+@query
+def batch_responses(spark, sf_dir):
+    """The batch hook: one model is out of reach, the others refuse some prompts."""
+    return respond_many(_asked_in_batches(spark, sf_dir), _echo_or_fail)
+
+
+@query
+def failed_experiments(spark, sf_dir):
+    return failures(batch_responses(spark, sf_dir))
+
+
+def _stub_judge_many(system: str, prompts, attempt: int):
+    if attempt == 1 and any(len(p) % 13 == 0 for p in prompts):
+        raise TimeoutError("busy")
+    return [_stub_judge(system, p, 2) for p in prompts]
+
+
+@query
+def batch_verdicts(spark, sf_dir):
+    """The batch judge: a call that fails costs an attempt and no verdict."""
+    pairs = _asked_in_batches(spark, sf_dir).select(
+        "experiment_id", "sample_id", "prompt", F.col("response").alias("reference"), F.col("prompt").alias("candidate")
+    )
+    replies = judge_many(pairs, _stub_judge_many, lambda reply: reply.startswith("{"))
+    read = ev.first_verdicts(replies.filter("error IS NULL"))
+    return read.select("experiment_id", "sample_id", "score")
+
+
 def _stub_judge(system: str, prompt: str, attempt: int) -> str:
     if len(prompt) % 2 and attempt == 1:
         return "I would say 4"
@@ -629,10 +697,8 @@ def _runs(spark, sf_dir):
     return runs.fold_runs(st.run_events(spark, sf_dir))
 
 
-@query
-def run_fold(spark, sf_dir):
-    folded = _runs(spark, sf_dir)
-    return folded.select(
+def _run_rows(found: DataFrame) -> DataFrame:
+    return found.select(
         "run_id", "status", "started_at", "updated_at", "error",
         *(
             F.col("stages")[stage]["status"].alias(f"{stage}_status")
@@ -642,6 +708,52 @@ def run_fold(spark, sf_dir):
     )
 
 
+@query
+def run_fold(spark, sf_dir):
+    return _run_rows(_runs(spark, sf_dir))
+
+
+@query
+def run_fold_incremental(spark, sf_dir):
+    """Events in four segments, in no order of time, one of them repeated, folded after the second: the same as the whole history."""
+    unguarded = folded.Folding(runs.lift_runs, runs.merge_runs, runs.finish_runs)
+    kept = folded.run_events(spark, f"{_scratch(spark)}/runs", unguarded)
+    events = materialise(st.run_events(spark, sf_dir))
+    for number in (2, 0, 3, 1):
+        piece = events.filter(F.pmod("seq", F.lit(4)) == number)
+        kept.append(piece if number != 1 else piece.unionByName(events.filter(F.pmod("seq", F.lit(4)) == 2)))
+        if number == 0:
+            kept.fold()
+    return _run_rows(kept.read())
+
+
+@query
+def guarded_runs(spark, sf_dir):
+    """Statuses by attempt and how far along they are, with how many events came too late to count."""
+    attempt = F.pmod("seq", F.lit(3)).cast("int")
+    events = materialise(st.run_events(spark, sf_dir).withColumn("attempt", attempt))
+    ignored = lifecycle.ignored_events(events).groupBy("run_id").agg(F.sum("n").alias("ignored"))
+    return runs.fold_runs(events, guarded=True).join(ignored, "run_id", "left").select(
+        "run_id", "status", "attempt", "updated_at", F.coalesce("ignored", F.lit(0)).alias("ignored")
+    )
+
+
+@query
+def iso_stamps(spark, sf_dir):
+    """Stamps with and without offset and fraction, read and written back."""
+    shape, at = F.pmod("event_id", F.lit(5)), F.col("ts")
+    plain = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+    text = (
+        F.when(shape == 0, F.concat(plain, F.lit("Z")))
+        .when(shape == 1, F.concat(plain, F.lit(".250000+02:00")))
+        .when(shape == 2, F.concat(plain, F.lit("-05:30")))
+        .when(shape == 3, F.date_format(at, "yyyy-MM-dd"))
+        .otherwise(F.concat(F.lit("at "), plain))
+    )
+    events = st.table(spark, sf_dir, "events")
+    return events.select("event_id", text.alias("text")).select("event_id", iso_stamp(parse_iso(F.col("text"))).alias("stamp"))
+
+
 @query
 def registered_runs(spark, sf_dir):
     """A run registered for every user, folded to its first state."""
@@ -723,10 +835,8 @@ def list_experiments(spark, sf_dir):
     )
 
 
-@query
-def experiment_fold(spark, sf_dir):
-    """Partial updates folded to the latest known value per column."""
-    updates = st.table(spark, sf_dir, "events").select(
+def _experiment_updates(spark, sf_dir):
+    return st.table(spark, sf_dir, "events").select(
         F.col("user_id").alias("experiment_id"),
         F.col("ts").alias("created_at"),
         F.col("ts").alias("updated_at"),
@@ -735,7 +845,25 @@ def experiment_fold(spark, sf_dir):
         F.when(F.col("event_type") == "error", F.col("props")).alias("error"),
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("accuracy"),
     )
-    return ex.current_experiments(updates)
+
+
+@query
+def experiment_fold(spark, sf_dir):
+    """Partial updates folded to the latest known value per column."""
+    return ex.current_experiments(_experiment_updates(spark, sf_dir))
+
+
+@query
+def experiment_fold_incremental(spark, sf_dir):
+    """The same from segments, folded twice while updates still come."""
+    updates = materialise(_experiment_updates(spark, sf_dir))
+    folding = folded.Folding(ex.lift_experiments, ex.merge_experiments, ex.finish_experiments)
+    kept = folded.FoldedEvents(spark, f"{_scratch(spark)}/experiments", updates.schema, folding)
+    for number in (1, 2, 0):
+        kept.append(updates.filter(F.pmod("seq", F.lit(3)) == number), f"part-{number}")
+        if number:
+            kept.fold()
+    return kept.read()
 
 
 @query
@@ -814,21 +942,47 @@ def last_runs(spark, sf_dir):
 # --- streaming -----------------------------------------------------------------------------------
 
 
+_STREAMED = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
+
+
+def _as_logs(documents: DataFrame) -> DataFrame:
+    return documents.select(
+        F.col("doc_id").alias("log_id"), F.lit("").alias("prompt"),
+        F.col("text").alias("response"), F.col("source").alias("model"),
+    )
+
+
 @query
 def incremental_curation(spark, sf_dir):
     """Documents streamed through curation once; equals the batch result."""
     work = _scratch(spark)
-    schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf_dir)
-        .select(
-            F.col("doc_id").alias("log_id"), F.lit("").alias("prompt"),
-            F.col("text").alias("response"), F.col("source").alias("model"),
-        )
-    )
+    stream = _as_logs(spark.readStream.schema(_STREAMED).option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
     start_curation(
         stream, output=f"{work}/out", checkpoint=f"{work}/checkpoint", order_by=["log_id"]
     ).awaitTermination()
     return spark.read.parquet(f"{work}/out/samples").select("log_id", "response")
+
+
+def _in_four_batches(spark, sf_dir, **options):
+    """A source that grows by a quarter of the documents at a time; the stream is started again for each."""
+    work = _scratch(spark)
+    documents = st.table(spark, sf_dir, "documents")
+    for number in range(4):
+        documents.filter(F.pmod("doc_id", F.lit(4)) == number).write.mode("append").parquet(f"{work}/in")
+        start_curation(
+            _as_logs(spark.readStream.schema(_STREAMED).parquet(f"{work}/in")),
+            output=f"{work}/out", checkpoint=f"{work}/checkpoint", order_by=["log_id"], **options,
+        ).awaitTermination()
+    return spark.read.parquet(f"{work}/out/samples").select("log_id", "response", "batch_id")
+
+
+@query
+def curation_in_batches(spark, sf_dir):
+    """Every batch keeps the first of its own near-duplicates; nothing is read twice."""
+    return _in_four_batches(spark, sf_dir)
+
+
+@query
+def curation_across_batches(spark, sf_dir):
+    """A sample also falls to one that an earlier batch kept, found in the band index, which is folded on the way."""
+    return _in_four_batches(spark, sf_dir, across_batches=True, fold_every=2, prefix_bits=4)

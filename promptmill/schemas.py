@@ -45,7 +45,7 @@ STAGE_PAYLOAD = (
 RUN_CONFIG = "STRUCT<run_icl: BOOLEAN, run_lora_sft: BOOLEAN, dry_run: BOOLEAN>"
 RUN_EVENTS = (
     "run_id STRING, at TIMESTAMP, seq BIGINT, status STRING, stage STRING, "
-    f"payload {STAGE_PAYLOAD}, config {RUN_CONFIG}, triggered_by STRING, error STRING"
+    f"payload {STAGE_PAYLOAD}, config {RUN_CONFIG}, triggered_by STRING, error STRING, attempt INT"
 )
 METRIC_LOG = "run_name STRING, tags MAP<STRING, STRING>, key STRING, value DOUBLE"
 

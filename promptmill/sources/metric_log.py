@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promptmill.functions.stamps import iso_stamp
 from promptmill.functions.text import id_prefix
 
 # The metric names of an evaluation and of a promotion.
@@ -31,6 +32,8 @@ def _long(df: DataFrame, run_name, tags: dict, values: list) -> DataFrame:
 def to_metric_log(evaluations: DataFrame) -> DataFrame:
     name = F.concat_ws("_", "model_name", id_prefix(F.col("experiment_id")))
     tags = {c: F.col(c) for c in ("experiment_id", "model_id", "model_name", "run_id")}
+    if "evaluated_at" in evaluations.columns:
+        tags["evaluated_at"] = iso_stamp(F.col("evaluated_at"))
     values = [(key, F.col(key)) for key in EVALUATION_KEYS]
     values += [
         (key, F.col("score_distribution")[i]) for i, key in enumerate(SCORE_KEYS, start=1)

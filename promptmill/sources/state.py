@@ -39,13 +39,23 @@ def write_snapshot(df: DataFrame, path: str, parent: int | None = None) -> int:
     version = (current_version(spark, path) if parent is None else parent) + 1
     folder = str(uuid.uuid4())
     df.write.parquet(f"{path}/rows/{folder}")
+    if not claim(spark, f"{path}/commits", version, folder):
+        raise SnapshotConflict(f"version {version} of {path} exists")
+    return version
+
+
+def claim(spark: SparkSession, path: str, number: int, folder: str) -> bool:
+    """Commit ``folder`` under ``number`` in the folder ``path``; False if that number is taken.
+
+    A complete file is renamed into a place that only one writer can take.
+    """
     hadoop = spark._jvm.org.apache.hadoop.fs
-    commit = hadoop.Path(f"{path}/commits/{version:012d}")
+    commit = hadoop.Path(f"{path}/{number:012d}")
     conf = spark._jsc.hadoopConfiguration()
     files = commit.getFileSystem(conf)
-    commit, draft = files.makeQualified(commit), files.makeQualified(hadoop.Path(f"{path}/commits/.{folder}"))
+    commit, draft = files.makeQualified(commit), files.makeQualified(hadoop.Path(f"{path}/.{uuid.uuid4()}"))
     out = files.create(draft)
-    out.write(f"{version} {folder}\n".encode())
+    out.write(f"{number} {folder}\n".encode())
     out.close()
     # Without options a rename never replaces a file.
     no_options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
@@ -54,8 +64,9 @@ def write_snapshot(df: DataFrame, path: str, parent: int | None = None) -> int:
     except Py4JJavaError as error:
         if "AlreadyExists" not in error.java_exception.getClass().getName():
             raise
-        raise SnapshotConflict(f"version {version} of {path} exists") from None
-    return version
+        files.delete(draft, False)
+        return False
+    return True
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:

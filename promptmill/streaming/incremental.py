@@ -20,9 +20,7 @@ from promptmill.operators.filters import filter_logs
 from promptmill.operators.skew import attach
 from promptmill.plans.curation import LOG_ORDER, curate
 from promptmill.session import materialise, spread
-from promptmill.sources.state import read_or_empty
-
-_BANDS = "batch_id BIGINT, log_id STRING, h1 BIGINT, h2 BIGINT"
+from promptmill.streaming.band_index import PREFIX_BITS, BandIndex
 
 
 def log_stream(spark: SparkSession, path: str, schema: str = schemas.INFERENCE_LOGS, **options: str) -> DataFrame:
@@ -43,39 +41,38 @@ def start_curation(
     cfg: CurationConfig = CurationConfig(),
     order_by: list[str] | None = None,
     across_batches: bool = False,
+    fold_every: int = 8,
+    prefix_bits: int = PREFIX_BITS,
 ) -> StreamingQuery:
     """Curate all available logs into ``output/samples`` and stop.
 
-    ``across_batches`` also drops rows that share a band with a sample kept by an earlier batch.
-    Off, each batch is deduplicated on its own. Only band keys of kept samples are stored for it.
+    ``across_batches`` also drops rows that share a band with a sample kept by an earlier batch, so that all batches
+    together keep what one keep-first pass over them in turn would. Off, each batch is deduplicated on its own. Only
+    band keys of kept samples are stored for it, in a :class:`BandIndex` that is folded after ``fold_every`` batches.
+
+    A batch that is repeated, after it died anywhere, writes the same rows to the same place: its samples replace those
+    of the first attempt, and keys that the first attempt committed are neither seen by it nor written again.
     """
     order_by = order_by or LOG_ORDER
     text = sample_text(F.col("prompt"), F.col("response"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        folder = f"batch_id={batch_id}"
+        folder = f"{output}/samples/batch_id={batch_id}"
         pulled = spread(batch)
         if not across_batches:
-            samples = curate(pulled, cfg, order_by)
-            samples.write.mode("overwrite").parquet(f"{output}/samples/{folder}")
+            curate(pulled, cfg, order_by).write.mode("overwrite").parquet(folder)
             return
+        index = BandIndex(batch.sparkSession, f"{output}/bands", prefix_bits, fold_every)
+        index.fold_before(batch_id)
         samples = materialise(filter_logs(pulled, cfg))
         bands = materialise(_bands(samples, text, cfg.dedup_threshold))
-        stored = (
-            read_or_empty(batch.sparkSession, f"{output}/bands", _BANDS)
-            .filter(F.col("batch_id") < batch_id)
-            .select("h1", "h2")
-            .distinct()
-        )
-        seen = attach(bands, stored, ["h1", "h2"], spread=F.col("log_id"))
+        seen = attach(bands, index.before(batch_id, bands), ["h1", "h2"], spread=F.col("log_id"))
         fresh = samples.join(seen.select("log_id").distinct(), "log_id", "left_anti")
         near_dedup(
-            fresh, text=text, order_by=order_by, threshold=cfg.dedup_threshold
-        ).write.mode("overwrite").parquet(f"{output}/samples/{folder}")
-        kept = batch.sparkSession.read.parquet(f"{output}/samples/{folder}").select("log_id")
-        bands.join(kept, "log_id", "left_semi").write.mode("overwrite").parquet(
-            f"{output}/bands/{folder}"
-        )
+            fresh, text=text, order_by=order_by, threshold=cfg.dedup_threshold, verify=False
+        ).write.mode("overwrite").parquet(folder)
+        kept = batch.sparkSession.read.parquet(folder).select("log_id")
+        index.add(batch_id, bands.join(kept, "log_id", "left_semi"))
 
     return (
         stream.writeStream.foreachBatch(write_batch)

@@ -37,9 +37,9 @@ def model_keep(texts, shape):
     return kept
 
 
-def kept_ids(spark, texts, threshold=0.85, **options):
+def kept_ids(spark, texts, threshold=0.85, verify=False, **options):
     df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").repartition(3)
-    rows = dedup.near_dedup(df, text=F.col("t"), order_by=["id"], threshold=threshold, **options)
+    rows = dedup.near_dedup(df, text=F.col("t"), order_by=["id"], threshold=threshold, verify=verify, **options)
     return sorted(r.id for r in rows.collect())
 
 
@@ -113,6 +113,55 @@ def test_verified_drops_only_above_threshold(spark):
     assert kept_ids(spark, texts, threshold=0.6, verify=True) == kept
 
 
+def sequential(n, links):
+    kept = []
+    for i in range(n):
+        if not any(j in links.get(i, ()) for j in kept):
+            kept.append(i)
+    return kept
+
+
+def test_verification_is_the_default(spark):
+    import inspect
+
+    assert inspect.signature(dedup.near_dedup).parameters["verify"].default is True
+
+
+@pytest.mark.parametrize("size", [1, 3, 512])
+def test_leaders_settle_as_the_sequential_rule(spark, size):
+    """Rows in several buckets, linked at random; whatever the number of leaders, the kept rows are the same."""
+    from promptmill.operators.leaders import verified_drops
+
+    rng = random.Random(8)
+    texts = variants(9, families=5, copies=12)
+    grams = [{t[i : i + 5] for i in range(len(t) - 4)} for t in texts]
+    buckets = {(i, rng.randrange(7)) for i in range(len(texts)) for _ in range(3)}
+    together = {(i, j) for i, a in buckets for j, b in buckets if a == b and j < i}
+    links = {}
+    for i, j in together:
+        if len(grams[i] & grams[j]) / len(grams[i] | grams[j]) > 0.6:
+            links.setdefault(i, set()).add(j)
+    frame = spark.createDataFrame([(i, b, -b) for i, b in buckets], "n bigint, h1 bigint, h2 bigint")
+    norm = spark.createDataFrame(list(enumerate(texts)), "n bigint, norm string")
+    dropped, rounds = verified_drops(frame, norm, 0.6, leaders=size)
+    assert sorted(set(range(len(texts))) - {r.n for r in dropped.collect()}) == sequential(len(texts), links)
+    assert size == 1 or rounds < 20
+
+
+def test_a_bucket_of_unlike_rows_ends_in_few_rounds(spark):
+    from promptmill.operators.leaders import verified_drops
+
+    n = 5000
+    frame = spark.createDataFrame([(i, 7, 7) for i in range(n)], "n bigint, h1 bigint, h2 bigint")
+    words = "river stone cloud ember field quiet lantern harbor".split()
+    texts = [(i, f"{words[i % 8]} {i * 7919 % 100_003} {words[i // 8 % 8]} {i * 104_729 % 1_000_003} {i}") for i in range(n - 50)]
+    texts += [(i, texts[i - n + 50][1]) for i in range(n - 50, n)]  # the last ones repeat the first
+    norm = spark.createDataFrame(texts, "n bigint, norm string")
+    dropped, rounds = verified_drops(frame, norm, 0.85)
+    assert sorted(r.n for r in dropped.collect()) == list(range(n - 50, n))
+    assert rounds < 20
+
+
 def test_one_text_fills_a_third_of_the_rows(spark):
     texts = ["same old text over and over"] * 300 + [f"text number {i} {i * 7919}" * 3 for i in range(600)]
     random.Random(5).shuffle(texts)
@@ -145,7 +194,7 @@ def test_order_by_several_columns_keeps_the_first(spark):
 def test_matches_name_the_kept_row(spark):
     texts = [NET, "unrelated words entirely", NET + "!", NET]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
-    pairs = dedup.near_dup_pairs(df, text=F.col("t"), order_by=["id"]).collect()
+    pairs = dedup.near_dup_pairs(df, text=F.col("t"), order_by=["id"], verify=False).collect()
     assert {(p.ord, p["lead"]) for p in pairs} == {(2, 0), (3, 0)}
     assert {p.jaccard for p in pairs if p.ord == 3} == {1.0}
 

@@ -13,7 +13,7 @@ from promptmill.operators import experiments as ex
 from promptmill.operators import ranks, registry, reports, runs
 from promptmill.operators.skew import attach
 from promptmill.plans import cycle
-from promptmill.sources import datasets, logs, metric_log, state
+from promptmill.sources import datasets, folded, logs, metric_log, state
 from promptmill.streaming.incremental import log_stream, start_curation
 
 SCORED = (
@@ -381,3 +381,308 @@ def test_stream_processes_each_log_once(spark, tmp_path, across):
     make_logs(spark, 5, start=100).unionByName(repeat).write.mode("append").parquet(source)
     added = [f"log-{i:04d}" for i in range(100, 105)]
     assert drain() == sorted(first + added + ([] if across else ["log-again"]))
+
+
+# --- folded state, pulls, batch hooks, failure states --------------------------------------------
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def as_rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def run_history(spark, n=300, seed=2):
+    import random
+
+    draw = random.Random(seed)
+    stages = ["curation", "finetuning", "evaluation", "promotion"]
+    rows = []
+    for i in range(n):
+        stage = draw.choice([*stages, None])
+        payload = (draw.choice(["running", "completed", "failed"]), None, None, i, None, None, None, None, None, None) if stage else None
+        status = draw.choice(list(schemas.RUN_STATUSES))
+        rows.append((f"run-{draw.randrange(12)}", draw.randrange(40), i, status, stage, payload, None, None, None, draw.randrange(2)))
+    df = spark.createDataFrame(
+        rows,
+        f"run_id string, t long, seq long, status string, stage string, payload {schemas.STAGE_PAYLOAD}, "
+        f"config {schemas.RUN_CONFIG}, triggered_by string, error string, attempt int",
+    )
+    return df.withColumn("at", F.timestamp_seconds("t")).drop("t")
+
+
+def test_folded_runs_equal_the_whole_history(spark, tmp_path):
+    """Late and repeated events, two folds, a segment key that comes twice; old files are left unread."""
+    events = run_history(spark)
+    kept = folded.run_events(spark, str(tmp_path / "runs"))
+    order = [c.name for c in spark.createDataFrame([], schemas.RUN_EVENTS).schema]
+    wanted = as_rows(runs.fold_runs(events, guarded=True))
+    for part in range(5):
+        piece = events.filter(F.col("seq") % 5 == 4 - part).select(order)  # in no order of time
+        if part == 3:
+            piece = piece.unionByName(events.filter("seq % 10 = 1").select(order))  # seen before
+        kept.append(piece, f"part-{part}")
+        kept.append(piece, f"part-{part}")
+        if part in (1, 3):
+            assert kept.fold() == part + 1
+    assert as_rows(kept.read()) == wanted
+    files = kept.read().inputFiles()
+    old = [s.folder for s in kept.table.segments() if s.number <= 4]
+    assert files and len(old) == 4 and not any(folder in f for f in files for folder in old)
+    kept.table.vacuum()
+    assert as_rows(kept.read()) == wanted and len(kept.table.segments()) == 3
+    assert kept.fold() == 5 and as_rows(kept.read()) == wanted
+
+
+def test_folded_experiments_never_fall_back(spark, tmp_path):
+    def piece(*rows):
+        df = spark.createDataFrame(rows, "experiment_id string, status string, error string, seq long, t long")
+        at = F.timestamp_seconds("t")
+        full = spark.createDataFrame([], folded.EXPERIMENT_EVENTS)
+        return full.unionByName(df.withColumn("created_at", at).withColumn("updated_at", at).drop("t"), allowMissingColumns=True)
+
+    kept = folded.experiment_events(spark, str(tmp_path / "experiments"))
+    kept.append(piece(("a", "training", None, 1, 1), ("b", "pending_eval", None, 1, 1)))
+    kept.append(piece(("a", "completed", None, 3, 9), ("b", "eval_failed", "boom", 3, 9)))
+    kept.fold()
+    kept.append(piece(("a", "pending_eval", None, 2, 20), ("b", "pending_eval", None, 2, 20)))
+    got = {r.experiment_id: (r.status, r.error) for r in kept.read().collect()}
+    assert got == {"a": ("completed", None), "b": ("eval_failed", "boom")}
+
+
+def test_writers_that_overlap_take_numbers_in_turn(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from promptmill.sources.segments import SegmentTable
+
+    table = SegmentTable(spark, str(tmp_path / "t"), "x long")
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(lambda i: table.append(spark.range(i, i + 1).withColumnRenamed("id", "x")), range(8)))
+    assert sorted(numbers) == list(range(1, 9))
+    assert sorted(r.x for r in table.tail().collect()) == list(range(8))
+
+
+def test_transitions():
+    from promptmill.operators import lifecycle
+
+    ranks = lifecycle.ranks(lifecycle.RUN_TRANSITIONS)
+    for table in (lifecycle.RUN_TRANSITIONS, lifecycle.EXPERIMENT_TRANSITIONS):
+        ranks = lifecycle.ranks(table)
+        assert all(ranks[a] < ranks[b] for a, following in table.items() for b in following)
+    lifecycle.check_transition("failed", "resuming")
+    lifecycle.check_transition("evaluating", "completed")
+    for now, then in (("completed", "resuming"), ("training", "curating"), ("pending", "promoting")):
+        with pytest.raises(lifecycle.IllegalTransition):
+            lifecycle.check_transition(now, then)
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 299, 300, 1000])
+def test_first_rows_of_any_number(spark, n):
+    rows = [(f"k{i * 7919 % 300:04d}" if i % 3 else None, i * 31 % 50, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "s string, i int, id long").repartition(5)
+    for order in (["s", "id"], ["i", "id"], ["id"]):
+        wanted = sorted((tuple((r[c] is not None, r[c]) for c in order) for r in df.collect()))[:n]
+        got = sorted(tuple((r[c] is not None, r[c]) for c in order) for r in ranks.first_rows(df, order, n).collect())
+        assert got == wanted
+    if n == 7:
+        assert ranks._within_cut(df, "id", n).count() < 50
+
+
+def test_pulls_read_open_files_only(spark, tmp_path):
+    from promptmill.sources.pulls import LogPulls
+
+    path, ledger = str(tmp_path / "logs"), str(tmp_path / "ledger")
+    pulls = LogPulls(spark, path, ledger)
+    assert pulls.open_logs().count() == 0 and pulls.unconsumed().count() == 0
+    make_logs(spark, 30).repartition(3).write.parquet(path)
+    whole = lambda: sorted(r.log_id for r in logs.read_unconsumed(spark.read.parquet(path), logs.read_ledger(spark, ledger)).collect())
+    seen = lambda: sorted(r.log_id for r in pulls.unconsumed().collect())
+    assert seen() == whole() and len(pulls.open_files()) == 3
+    logs.append_ledger(pulls.unconsumed(), "run-1", ledger)
+    pulls.settle()
+    assert pulls.open_files() == [] and seen() == whole() == []
+    # Late logs with old stamps come in a file of their own; the run takes a part of them.
+    make_logs(spark, 10, start=500).withColumn("timestamp", F.timestamp_seconds(F.lit(5))).coalesce(1).write.mode("append").parquet(path)
+    assert len(pulls.open_files()) == 1 and seen() == whole() and len(seen()) == 12
+    logs.append_ledger(pulls.unconsumed(limit=5), "run-2", ledger)
+    pulls.settle()
+    assert len(pulls.open_files()) == 1 and seen() == whole() and len(seen()) == 7
+    assert len([f for f in pulls.open_logs().inputFiles()]) == 1
+    assert "PartitionFilters: [isnotnull(run_id" in plan_of(pulls.open_ledger()) and "run-1" in plan_of(pulls.open_ledger())
+    logs.append_ledger(pulls.unconsumed(), "run-3", ledger)
+    pulls.settle()
+    assert pulls.open_files() == [] and pulls.open_ledger().count() == 0 and pulls.open_ledger(all_runs=True).count() == 44
+
+
+def failing_hooks():
+    """A model that cannot be reached and one that answers; local, so that their code travels to the workers."""
+
+    def answers(model, prompts):
+        if model == "unreachable":
+            raise ConnectionError("model is gone")
+        return [(f"{model} says {p}", 100.0, 10, 20) for p in prompts]
+
+    def verdicts(system, prompts, attempt):
+        return ['{"score": 5, "reason": "same"}'] * len(prompts)
+
+    return answers, verdicts
+
+
+def test_batch_hooks_isolate_errors(spark):
+    from promptmill.responders import failures, judge_many, respond_many, unanswered
+
+    def answers(model, prompts):
+        assert len(prompts) <= 4
+        if model == "bad":
+            raise ConnectionError("gone")
+        return [ValueError("odd") if p == "p-3" else (p.upper(), 1.0, 1, 2) for p in prompts]
+
+    rows = [(f"e-{m}", f"s-{i}", m, "candidate", f"p-{i}") for m in ("good", "bad", "more") for i in range(10)]
+    asked = spark.createDataFrame(rows, "experiment_id string, sample_id string, model_name string, role string, prompt string")
+    got = respond_many(asked.repartition(3), answers, call_size=4, open_calls=2).collect()
+    assert len(got) == 30
+    by = {(r.experiment_id, r.sample_id): r for r in got}
+    assert all(by["e-bad", f"s-{i}"].error == "ConnectionError: gone" for i in range(10))
+    assert by["e-good", "s-3"].error == "ValueError: odd" and by["e-good", "s-3"].response is None
+    assert by["e-more", "s-9"].response == "P-9" and by["e-more", "s-9"].error is None
+    stored = spark.createDataFrame(got, respond_many(asked, answers).schema)
+    assert unanswered(asked, stored).count() == 12
+    assert {(r.experiment_id, r.failed) for r in failures(stored).collect()} == {("e-bad", 10), ("e-good", 1), ("e-more", 1)}
+    healed = stored.unionByName(stored.filter("sample_id = 's-9'").withColumn("error", F.lit(None).cast("string")).filter("experiment_id = 'e-bad'"))
+    assert {r.experiment_id: r.failed for r in failures(healed).collect()}["e-bad"] == 9
+
+    def ask(system, prompts, attempt):
+        if attempt == 1:
+            raise TimeoutError("slow")
+        return ["no" if "P-1" in p and attempt == 2 else '{"score": 3}' for p in prompts]
+
+    pairs = asked.select("experiment_id", "sample_id", "prompt", F.upper("prompt").alias("reference"), F.col("prompt").alias("candidate"))
+    replies = judge_many(pairs, ask, lambda r: r.startswith("{"), call_size=3).collect()
+    assert sum(r.error is not None for r in replies) == 30
+    assert {r.attempt for r in replies if r.sample_id == "s-1"} == {1, 2, 3}
+    assert {r.attempt for r in replies if r.sample_id == "s-2"} == {1, 2}
+
+    def short(model, prompts):
+        return []
+
+    assert respond_many(asked, short).filter("error LIKE 'ValueError%'").count() == 30
+
+
+def test_one_failing_experiment_leaves_the_others(spark, tmp_path, monkeypatch):
+    from promptmill.config import Candidate
+
+    answers, verdicts = failing_hooks()
+    offered = (Candidate("a", "model-a", None, ("icl",), "x"), Candidate("b", "unreachable", None, ("icl",), "x"), Candidate("c", "model-c", None, ("icl",), "x"))
+    table = cycle.ex.candidates_table
+    monkeypatch.setattr(cycle.ex, "candidates_table", lambda session: table(session, offered))
+    ws = cycle.Workspace(str(tmp_path))
+    make_logs(spark, 60).write.parquet(ws.path("logs"))
+    run_id = cycle.register_run(spark, ws)
+    options = {"curation": CurationConfig(min_quality_score=0.3), "batched": True}
+    is_json = lambda raw: raw.startswith("{")
+    decision = cycle.run_cycle(spark, ws, run_id, answers, verdicts, is_json, **options)
+    states = {r.model_id + "/" + r.experiment_type: (r.status, r.error) for r in cycle.ex_of_run(spark, ws, run_id).collect()}
+    failed = [k for k, (status, _) in states.items() if status == "eval_failed"]
+    done = [k for k, (status, _) in states.items() if status == "completed"]
+    assert decision["promoted"] and failed == ["b/icl"] and sorted(done) == ["a/icl", "c/icl"]
+    assert states["b/icl"][1] == "ConnectionError: model is gone"
+    run = runs.get_run(cycle.read_runs(spark, ws), run_id).first()
+    assert run.stages["evaluation"].best_candidate == decision["promoted_model_id"]
+    assert len(run.stages["finetuning"].experiments) == len(states)
+
+
+def test_late_training_is_evaluated_in_the_same_run(spark, tmp_path):
+    def reply(model, prompt):
+        return f"{model} says {prompt}", 100.0, 10, 20
+
+    def verdict(system, prompt, attempt):
+        return '{"score": 5, "reason": "same"}'
+
+    ws = cycle.Workspace(str(tmp_path))
+    make_logs(spark, 60).write.parquet(ws.path("logs"))
+    run_id = cycle.register_run(spark, ws)
+    is_json = lambda raw: raw.startswith("{")
+    options = {"curation": CurationConfig(min_quality_score=0.3), "wait_for_training": True}
+    waiting = cycle.run_cycle(spark, ws, run_id, reply, verdict, is_json, **options)
+    assert waiting["reason"] == "waiting_for_training" and waiting["training"] == 3
+    assert runs.get_run(cycle.read_runs(spark, ws), run_id).first().status == "evaluating"
+    trained = cycle.ex_of_run(spark, ws, run_id).filter("status = 'training'").select("experiment_id").collect()
+    said = [(trained[0][0], "pending_eval", "repo/1", None), (trained[1][0], "pending_eval", "repo/2", None), (trained[2][0], "failed", None, "no GPU")]
+    reports_ = spark.createDataFrame(said, "experiment_id string, status string, adapter_repo_id string, error string")
+    cycle.report_training(spark, ws, reports_)
+    cycle.fold_state(spark, ws)
+    decision = cycle.run_cycle(spark, ws, run_id, reply, verdict, is_json, **options)
+    assert decision["promoted"]
+    cycle.report_training(spark, ws, reports_)  # once more, late
+    states = sorted(((r.experiment_type, r.status, r.adapter_repo_id) for r in cycle.ex_of_run(spark, ws, run_id).collect()), key=str)
+    assert states[:3] == [("icl", "completed", None)] * 3
+    assert states[3:] == [("lora_sft", "completed", "repo/1"), ("lora_sft", "completed", "repo/2"), ("lora_sft", "failed", None)]
+    run = runs.get_run(cycle.read_runs(spark, ws), run_id).first()
+    assert (run.status, run.attempt) == ("completed", 1)
+
+
+def test_a_stage_that_raises_leaves_a_failed_run(spark, tmp_path, monkeypatch):
+    def reply(model, prompt):
+        return f"{model} says {prompt}", 100.0, 10, 20
+
+    def verdict(system, prompt, attempt):
+        return '{"score": 5, "reason": "same"}'
+
+    ws = cycle.Workspace(str(tmp_path))
+    make_logs(spark, 60).write.parquet(ws.path("logs"))
+    run_id = cycle.register_run(spark, ws)
+    is_json = lambda raw: raw.startswith("{")
+    options = {"curation": CurationConfig(min_quality_score=0.3)}
+    with monkeypatch.context() as patched:
+        patched.setattr(cycle.ex, "plan_experiments", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            cycle.run_cycle(spark, ws, run_id, reply, verdict, is_json, **options)
+    point = runs.resume_points(runs.get_run(cycle.read_runs(spark, ws), run_id)).first()
+    assert (point.status, point.resume_from) == ("failed", "finetuning") and "ZeroDivisionError" in point.error
+    assert point.carried.dataset_id == f"dataset-{run_id}"
+    assert cycle.run_cycle(spark, ws, run_id, reply, verdict, is_json, **options)["promoted"]
+    run = runs.get_run(cycle.read_runs(spark, ws), run_id).first()
+    assert (run.status, run.attempt) == ("completed", 1)
+
+
+def test_a_dead_batch_is_repeated_without_loss(spark, tmp_path, monkeypatch):
+    """A batch that dies between its samples and its bands, a restart, and a source that grows meanwhile."""
+    from promptmill.streaming.band_index import BandIndex
+
+    source, out = str(tmp_path / "logs"), str(tmp_path / "out")
+    cfg = CurationConfig(min_quality_score=0.3, remove_pii=False)
+
+    def drain(**more):
+        query = start_curation(
+            log_stream(spark, source, maxFilesPerTrigger="1"), output=out, checkpoint=str(tmp_path / "cp"), cfg=cfg,
+            across_batches=True, fold_every=2, prefix_bits=3, **more,
+        )
+        query.awaitTermination()
+
+    for start in (0, 100, 200):
+        make_logs(spark, 8, start=start).coalesce(1).write.mode("append").parquet(source)
+    add = BandIndex.add
+    with monkeypatch.context() as patched:
+        def dies(self, batch_id, keys):
+            if batch_id == 1:
+                raise RuntimeError("lost")
+            add(self, batch_id, keys)
+
+        patched.setattr(BandIndex, "add", dies)
+        with pytest.raises(Exception, match="lost"):
+            drain()
+    again = make_logs(spark, 1).filter("log_id = 'log-0000'").withColumn("log_id", F.lit("log-again"))
+    make_logs(spark, 8, start=300).unionByName(again).coalesce(1).write.mode("append").parquet(source)
+    drain()
+    got = sorted(r.log_id for r in spark.read.parquet(f"{out}/samples").collect())
+    assert got == [f"log-{start + i:04d}" for start in (0, 100, 200, 300) for i in range(8)]
+    index = BandIndex(spark, f"{out}/bands", 3, 2)
+    assert index.table.base() is not None
+    one = index.table.read_base().limit(1).cache()
+    before = index.before(99, one)
+    assert before.join(one, ["h1", "h2"]).count() == 1
+    plan = plan_of(before)
+    assert "PartitionFilters: [isnotnull(prefix#" in plan and f" = {one.first().prefix})]" in plan
+    assert index.prefixes(one) == [one.first().prefix]
