@@ -1,10 +1,11 @@
 """Cross-entropy difference: how much better a target language model predicts a text than a background one.
 
 Both models are bigram models interpolated with unigrams, over one vocabulary: every word and every bigram of the corpus
-counts, at every size. Counts are never gathered in one place. Documents are dealt into blocks of some half a million words as
-they are read; a block is stored with its words as numbers, and sends one narrow row for each distinct word and bigram
-it holds. Those rows meet by key, where they are summed, and the sums that differ from a block's own go back to it. The
-stored blocks are bucketed by number, so that only the sums are shuffled to them.
+counts, at every size. Counts are never gathered in one place. Documents are dealt into blocks of some million words as
+they are read; a block is stored with its words as numbers, and sends its counts of each distinct word and bigram, some
+neighbours in the order of keys to a row. The rows meet by the first bits of the keys, where they are taken apart and summed by
+key, and the sums that differ from a block's own go back to it. The stored blocks are bucketed by number, so that only the
+sums are shuffled to them, and texts never are.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from promptmill.session import discard, materialise, shared_dir
 #: Weight of the bigram estimate where the history occurs.
 PAIR_WEIGHT = 0.5
 #: Words in a block, about; a longer text is a block of its own.
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 1_000_000
 
 #: What a block's words are mixed with for each kind of key: that of a word, of a word that ends a text, or of two words.
 _WORD, _LAST, _PAIR = (np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -32,6 +33,8 @@ _WORD, _LAST, _PAIR = (np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4
 _START = np.uint64(0x27D4EB2F165667C5)
 #: Two counts of a block in one number.
 _HALF = 32
+#: First bits of a key that name its row; the others are a number of 16 and one of 32 bits.
+_ROW_BITS = 16
 
 
 class _Block:
@@ -73,7 +76,7 @@ class _Block:
 
 
 def _stored_blocks(rows: DataFrame, kind: str) -> DataFrame:
-    """One row per block: its words' hashes, and per text its id, flags and words by number."""
+    """One row per block: its words' hashes, and per text its id, whether it counts, and its words by number."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -89,28 +92,31 @@ def _stored_blocks(rows: DataFrame, kind: str) -> DataFrame:
 
     def block(number: int, held: list) -> pa.RecordBatch:
         words, ids = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        lists = [pa.concat_arrays([h[2].column(c) for h in held]) for c in ("doc_id", "counted", "target")]
+        lists = [pa.concat_arrays([h[2].column(c) for h in held]) for c in ("doc_id", "counted")]
         lengths = pa.array(np.concatenate([h[1] for h in held]), pa.int32())
         columns = [pa.array([number], pa.int64())]
         for values in (*lists, lengths, pa.array(ids.astype(np.int32)), signed(words)):
             columns.append(ragged(values, np.array([0, len(values)])))
-        return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "counted", "target", "lengths", "ids", "words"])
+        return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "counted", "lengths", "ids", "words"])
 
     return rows.mapInArrow(
         deal,
-        f"block bigint, doc_ids array<{kind}>, counted array<boolean>, target array<boolean>, lengths array<int>, "
+        f"block bigint, doc_ids array<{kind}>, counted array<boolean>, lengths array<int>, "
         "ids array<int>, words array<bigint>",
     )
 
 
 def _columns(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, ...]:
-    """Hashes of the words, words of the texts by number, lengths of the texts, and their flags."""
+    """Hashes of the words, words of the texts by number, lengths of the texts, whether they count and whether as target."""
 
     def values(name: str) -> np.ndarray:
         return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
 
-    flags = (values(name).astype(bool) for name in ("counted", "target"))
-    return values("words").view(np.uint64), values("ids").astype(np.int64), values("lengths").astype(np.int64), *flags
+    counted, marked = values("counted").astype(bool), batch.column("marked")[row].values
+    target = np.zeros(len(counted), bool)
+    if marked is not None:
+        target[marked.to_numpy(zero_copy_only=False)] = True
+    return values("words").view(np.uint64), values("ids").astype(np.int64), values("lengths").astype(np.int64), counted, target
 
 
 def _read_block(batch: pa.RecordBatch, row: int) -> _Block:
@@ -119,49 +125,61 @@ def _read_block(batch: pa.RecordBatch, row: int) -> _Block:
 
 
 def score(
-    corpus: DataFrame, *, doc_id: str = "doc_id", text: str = "text", target: str = "target", counted: str | None = None
+    docs: DataFrame, target: DataFrame, *, doc_id: str = "doc_id", text: str = "text", counted: str | None = None
 ) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, difference`` per row: mean losses per word, in nats.
 
-    The background model counts every row, or those where the column ``counted`` is true; the target model those of them where
-    ``target`` is true (null is false). A low difference marks a text like the target. A word or bigram has the counts that it has
+    The background model counts every row, or those where the column ``counted`` is true; the target model those of them whose
+    id is in ``target``. A low difference marks a text like the target. A word or bigram has the counts that it has
     in the whole corpus, however rare; a history that a model has not seen leaves its word to the unigrams, whose
     counts are one up. A null or empty text has no words and zeros throughout; repeated rows count each time and score
-    alike; without target rows the target model is uniform; an empty table gives no rows; other columns are ignored.
+    alike; without target rows the target model is uniform; null ids are in no target; an empty table gives no rows; other
+    columns are ignored.
     """
-    spark = corpus.sparkSession
-    kind = corpus.select(doc_id).schema[0].dataType.simpleString()
-    true_of = lambda c: F.coalesce(F.col(c), F.lit(False))
-    rows = corpus.select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(text).alias("text"),
-        (true_of(counted) if counted else F.lit(True)).alias("counted"),
-        true_of(target).alias("target"),
-    )
+    spark = docs.sparkSession
+    kind = docs.select(doc_id).schema[0].dataType.simpleString()
+    counts_too = F.coalesce(F.col(counted), F.lit(False)) if counted else F.lit(True)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), counts_too.alias("counted"))
     name, buckets = f"lm_blocks_{uuid.uuid4().hex}", min(int(spark.conf.get("spark.sql.shuffle.partitions")), 10_000)
     path = f"{shared_dir(spark)}/{name}"
     blocks = _stored_blocks(rows, kind)
     blocks.write.option("path", path).bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
-    stored = spark.table(name)
+    placed = spark.table(name).select("block", F.posexplode("doc_ids").alias("at", "doc_id"))
+    wanted = target.select(F.col(doc_id).alias("doc_id")).distinct()
+    # Ids grow with the documents, so they are merged at every size.
+    marked = placed.join(wanted.hint("merge"), "doc_id", "left_semi").groupBy("block").agg(F.collect_list("at").alias("marked"))
+    stored = spark.table(name).join(materialise(marked).hint("merge"), "block", "left")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
                 block = _read_block(batch, row)
                 n, t = (c[block.order] for c in block.counts)
-                known = n > 0
-                number = pa.array(np.full(int(known.sum()), batch.column("block")[row].as_py(), np.int64))
-                both = pa.array((n[known] << _HALF) | t[known])
-                yield pa.RecordBatch.from_arrays([signed(block.keys[known]), number, both], ["key", "block", "both"])
+                known = np.flatnonzero(n > 0)
+                keys = block.keys[known]
+                bucket = (keys >> np.uint64(64 - _ROW_BITS)).astype(np.int32)
+                begins = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else known
+                ends = np.append(begins, len(keys))
+                parts = (
+                    pa.array(known.astype(np.int32)),
+                    pa.array((keys >> np.uint64(32)).astype(np.uint16).view(np.int16)),
+                    pa.array(keys.astype(np.uint32).view(np.int32)),
+                    pa.array((n[known] << _HALF) | t[known]),
+                )
+                number = pa.array(np.full(len(begins), batch.column("block")[row].as_py(), np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[begins]), number, *(ragged(p, ends) for p in parts)], ["bucket", "block", "at", "high", "low", "both"]
+                )
 
-    # Each key has one row per block, so a word of every text has no more rows than there are blocks.
-    sent = stored.mapInArrow(count, "key bigint, block bigint, both bigint")
+    # Each key occurs once per block, so a word of every text has no more rows than there are blocks.
+    sent = stored.mapInArrow(count, "bucket int, block bigint, at array<int>, high array<smallint>, low array<int>, both array<bigint>")
+    apart = sent.repartition("bucket").select("bucket", "block", F.inline(F.arrays_zip("at", "high", "low", "both")))
     n, t = F.shiftright("both", _HALF), F.col("both").bitwiseAND(F.lit((1 << _HALF) - 1))
-    whole = Window.partitionBy("key")
-    summed = sent.select("key", "block", n.alias("own"), F.sum(n).over(whole).alias("n"), F.sum(t).over(whole).alias("t"))
+    whole = Window.partitionBy("bucket", "high", "low")
+    summed = apart.select("block", "at", n.alias("own"), F.sum(n).over(whole).alias("n"), F.sum(t).over(whole).alias("t"))
     # A block knows the counts of a key that no other holds; of others the sums go back to it.
-    back = summed.filter("n <> own").select("block", F.struct("key", "n", "t").alias("total"))
-    known = back.groupBy("block").agg(F.collect_list("total").alias("totals"))
+    back = summed.filter("n <> own").groupBy("block")
+    known = back.agg(*(F.collect_list(c).alias(f"{c}s") for c in ("at", "n", "t")))
     texts, tokens, vocabulary = _sizes(stored)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,11 +187,11 @@ def score(
             for row in range(len(batch)):
                 block = _read_block(batch, row)
                 totals = [c.copy() for c in block.counts]
-                given = batch.column("totals")[row].values
-                if given is not None and len(given):
-                    at = block.order[np.searchsorted(block.keys, given.field("key").to_numpy().view(np.uint64))]
-                    for own, field in zip(totals, ("n", "t")):
-                        own[at] = given.field(field).to_numpy()
+                at, *sums = (batch.column(c)[row].values for c in ("ats", "ns", "ts"))
+                if at is not None:
+                    places = block.order[at.to_numpy(zero_copy_only=False)]
+                    for own, given in zip(totals, sums):
+                        own[places] = given.to_numpy(zero_copy_only=False)
                 words = np.diff(block.ends)
                 background, wanted = (loss / np.maximum(words, 1) for loss in block.losses(totals, texts, tokens, vocabulary))
                 yield pa.RecordBatch.from_arrays(

@@ -45,11 +45,8 @@ def word_tokenizer() -> str:
 @query
 def op1_lm_scoring(spark, sf_dir):
     """Documents against two models: of those labelled as good, and of all."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
-    # Labels grow with the documents, so they are merged at every size and never broadcast.
-    corpus = docs.join(good.withColumn("target", F.lit(True)).hint("merge"), "doc_id", "left")
-    scored = lm_scoring.score(corpus)
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    scored = lm_scoring.score(table(spark, sf_dir, "documents"), good)
     losses = [F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "difference")]
     return scored.select("doc_id", "n_tokens", *losses)
 

@@ -320,11 +320,12 @@ def test_a_large_group_of_copies_keeps_its_parts(spark, near):
     assert all(r.near < 0.5 for r in hashed.select("text", unlike.alias("near")).collect() if r.text in other)
 
 
-@pytest.mark.parametrize("block_words", [500_000, 500])
+@pytest.mark.parametrize("block_words", [1_000_000, 500])
 def test_lm_scores_equal_a_plain_model(spark, docs, rows, none, monkeypatch, block_words):
     """In one block and in many, which know only a part of what they need; rows that are scored and not counted too."""
     monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", block_words)
-    flags = docs.withColumn("target", F.col("doc_id") % 3 == 0).withColumn("known", F.coalesce(F.col("doc_id") % 7 != 1, F.lit(True)))
+    flags = docs.withColumn("known", F.coalesce(F.col("doc_id") % 7 != 1, F.lit(True)))
+    target = docs.filter("doc_id % 3 = 0").select("doc_id").unionByName(docs.sparkSession.createDataFrame([(None,)], "doc_id bigint"))
     pairs = ({}, {})
 
     def read(text):
@@ -353,7 +354,7 @@ def test_lm_scores_equal_a_plain_model(spark, docs, rows, none, monkeypatch, blo
         return summed / max(1, len(read(text)))
 
     for column, counted in ((None, lambda _: True), ("known", lambda d: d is None or d % 7 != 1)):
-        found = lm_scoring.score(flags, counted=column).collect()
+        found = lm_scoring.score(flags, target, counted=column).collect()
         vocabulary = models(counted)
         by_id = {r.doc_id: r for r in found}
         assert len(found) == len(rows)
@@ -362,7 +363,8 @@ def test_lm_scores_equal_a_plain_model(spark, docs, rows, none, monkeypatch, blo
             assert r.n_tokens == len(words_of(t))
             assert math.isclose(r.target_loss, loss(pairs[0], vocabulary, t), abs_tol=1e-9)
             assert math.isclose(r.background_loss, loss(pairs[1], vocabulary, t), abs_tol=1e-9)
-    assert lm_scoring.score(none.withColumn("target", F.lit(True))).collect() == []
+    assert lm_scoring.score(none, target).collect() == []
+    assert all(r.target_loss > 0 for r in lm_scoring.score(docs, none).collect() if r.n_tokens)
     assert spark.sql("SHOW TABLES").filter("tableName LIKE 'lm_blocks%'").count() == 0
 
 
