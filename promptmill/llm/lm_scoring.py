@@ -27,8 +27,8 @@ PAIR_WEIGHT = 0.5
 #: Words in a block, about; a longer text is a block of its own.
 BLOCK_WORDS = 1_000_000
 
-#: What a block's words are mixed with for each kind of key: that of a word, of a word that ends a text, or of two words.
-_WORD, _LAST, _PAIR = (np.uint64(s) for s in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+#: What a block's words are mixed with for each kind of key: that of a word or of two words.
+_WORD, _PAIR = (np.uint64(s) for s in (0x9E3779B97F4A7C15, 0x165667B19E3779F9))
 #: The history of a text's first word.
 _START = np.uint64(0x27D4EB2F165667C5)
 #: Two counts of a block in one number.
@@ -45,15 +45,14 @@ class _Block:
         full = np.flatnonzero(np.diff(ends) > 0)
         before = np.concatenate(([0], ids[:-1])) if len(ids) else ids.copy()
         before[ends[:-1][full]] = size - 1  # the last number stands for the start
-        last = ids[ends[1:][full] - 1]
         pairs, pair = np.unique(before * size + ids, return_inverse=True)
         self.ids, self.ends, self.before, self.pair, self.size = ids, ends, before, pair, size
         named = np.concatenate((words, [_START]))
-        keys = np.concatenate((mix(words ^ _WORD), mix(words ^ _LAST), mix(mix(named[pairs // size] ^ _PAIR) + named[pairs % size])))
+        keys = np.concatenate((mix(words ^ _WORD), mix(mix(named[pairs // size] ^ _PAIR) + named[pairs % size])))
         self.counts = []
         for flags in (counted, counted & target):
             each = np.repeat(flags, np.diff(ends)).astype(float)
-            parts = (np.bincount(ids, each, size - 1), np.bincount(last, flags[full].astype(float), size - 1), np.bincount(pair, each, len(pairs)))
+            parts = (np.bincount(ids, each, size - 1), np.bincount(pair, each, len(pairs)))
             self.counts.append(np.concatenate(parts).astype(np.int64))
         # In the order of keys, which neighbours in a shuffle file then share the beginnings of.
         self.order = np.argsort(keys, kind="stable")
@@ -62,9 +61,9 @@ class _Block:
     def losses(self, totals: list[np.ndarray], texts: list[int], tokens: list[int], vocabulary: int) -> Iterator[np.ndarray]:
         """Summed loss of each text under the counts ``totals`` of the block's keys, for the background and the target."""
         for counts, starts, whole in zip(totals, texts, tokens):
-            word, last, pair = np.split(counts.astype(float), [self.size - 1, 2 * self.size - 2])
+            word, pair = np.split(counts.astype(float), [self.size - 1])
             single = (word + 1) / (whole + vocabulary + 1)
-            history = np.concatenate((word - last, [starts]))  # every word is one but the last of a text
+            history = np.concatenate((word, [starts]))
             weight = np.where(history > 0, PAIR_WEIGHT, 0.0)
             seen = np.maximum(history, 1)
             chance = weight[self.before] * pair[self.pair] / seen[self.before] + (1 - weight[self.before]) * single[self.ids]
@@ -131,8 +130,8 @@ def score(
 
     The background model counts every row, or those where the column ``counted`` is true; the target model those of them whose
     id is in ``target``. A low difference marks a text like the target. A word or bigram has the counts that it has
-    in the whole corpus, however rare; a history that a model has not seen leaves its word to the unigrams, whose
-    counts are one up. A null or empty text has no words and zeros throughout; repeated rows count each time and score
+    in the whole corpus, however rare. The last word of a text is followed by its end, which is counted and not scored; a history
+    that a model has not seen leaves its word to the unigrams, whose counts are one up. A null or empty text has no words and zeros throughout; repeated rows count each time and score
     alike; without target rows the target model is uniform; null ids are in no target; an empty table gives no rows; other
     columns are ignored.
     """
@@ -155,16 +154,15 @@ def score(
             for row in range(len(batch)):
                 block = _read_block(batch, row)
                 n, t = (c[block.order] for c in block.counts)
-                known = np.flatnonzero(n > 0)
-                keys = block.keys[known]
+                keys = block.keys  # also of texts that do not count
                 bucket = (keys >> np.uint64(64 - _ROW_BITS)).astype(np.int32)
-                begins = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else known
+                begins = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else np.zeros(0, np.int64)
                 ends = np.append(begins, len(keys))
                 parts = (
-                    pa.array(known.astype(np.int32)),
+                    pa.array(np.arange(len(keys), dtype=np.int32)),
                     pa.array((keys >> np.uint64(32)).astype(np.uint16).view(np.int16)),
                     pa.array(keys.astype(np.uint32).view(np.int32)),
-                    pa.array((n[known] << _HALF) | t[known]),
+                    pa.array((n << _HALF) | t),
                 )
                 number = pa.array(np.full(len(begins), batch.column("block")[row].as_py(), np.int64))
                 yield pa.RecordBatch.from_arrays(

@@ -187,7 +187,9 @@ pairs AS (
   SELECT h, w, count(*)::DOUBLE AS n, coalesce(sum(target::INT), 0)::DOUBLE AS t FROM paired GROUP BY h, w),
 single AS (SELECT w, sum(n) AS n, sum(t) AS t FROM pairs GROUP BY w),
 total AS (SELECT sum(n) AS n, sum(t) AS t, count(*) + 1 AS size FROM single),
-history AS (SELECT h, sum(n) AS n, sum(t) AS t FROM pairs GROUP BY h),
+history AS (
+  SELECT w AS h, n, t FROM single
+  UNION ALL SELECT '^', count(*)::DOUBLE, coalesce(sum(target::INT), 0)::DOUBLE FROM texts WHERE len(words) > 0),
 chances AS (
   SELECT h, w, (single.n + 1) / (total.n + size) AS pn, (single.t + 1) / (total.t + size) AS pt,
          pairs.n / history.n AS bn, CASE WHEN history.t > 0 THEN pairs.t / history.t END AS bt

@@ -346,7 +346,8 @@ def test_lm_scores_equal_a_plain_model(spark, docs, rows, none, monkeypatch, blo
         singles, histories = Counter(), Counter()
         for (h, w), n in counts.items():
             singles[w] += n
-            histories[h] += n
+            histories[w] += n
+            histories["^"] += n if h == "^" else 0
         for h, w in read(text):
             single = (singles[w] + 1) / (tokens + vocabulary + 1)
             seen = histories[h]
