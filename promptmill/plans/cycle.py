@@ -39,9 +39,10 @@ from promptmill.responders import (
     respond_many,
     unanswered,
 )
-from promptmill.session import materialise
+from promptmill.session import materialise, spread
 from promptmill.sources import datasets, folded, logs, state
 from promptmill.sources.metric_log import promotions_to_metric_log, to_metric_log
+from promptmill.sources.pulls import LogPulls
 
 
 @dataclass(frozen=True)
@@ -86,15 +87,16 @@ def read_registry(spark: SparkSession, ws: Workspace) -> DataFrame:
     return state.read_snapshot(spark, ws.path("registry"), schemas.MODEL_REGISTRY)
 
 
+def pulls_of(spark: SparkSession, ws: Workspace) -> LogPulls:
+    return LogPulls(spark, ws.path("logs"), ws.path("ledger"))
+
+
 def start_if_ready(
     spark: SparkSession, ws: Workspace, min_new_logs: int = MIN_NEW_LOGS,
     cfg: RunConfig = RunConfig(), triggered_by: str = "schedule",
 ) -> dict:
     """Register a run when enough logs wait, for whatever scheduler the user has."""
-    waiting = logs.count_unconsumed(
-        logs.read_logs(spark, ws.path("logs")), logs.read_ledger(spark, ws.path("ledger"))
-    )
-    result = gate.readiness(waiting, min_new_logs).first().asDict()
+    result = gate.readiness(pulls_of(spark, ws).count_unconsumed(), min_new_logs).first().asDict()
     if result["status"] == "started":
         result["run_id"] = register_run(spark, ws, cfg, triggered_by)
     return result
@@ -182,10 +184,14 @@ def _stages(at: Progress, cfg, curation, criteria, responder, ask, is_verdict, w
     spark, ws, run_id = at.spark, at.ws, at.run_id
     if at.begins("curation"):
         at.event(1, "curating", "curation", status="running")
+        if at.attempt:  # an earlier attempt may have consumed logs, also from files that are closed by now
+            source = logs.read_logs(spark, ws.path("logs")), logs.read_ledger(spark, ws.path("ledger"))
+        else:
+            pulls = pulls_of(spark, ws)
+            source = spread(pulls.open_logs().drop("file")), pulls.open_ledger()
         result = run_curation(
             spark,
-            logs.read_logs(spark, ws.path("logs")),
-            logs.read_ledger(spark, ws.path("ledger")),
+            *source,
             run_id=run_id,
             dataset_id=f"dataset-{run_id}",
             datasets_path=ws.path("datasets"),
@@ -390,4 +396,5 @@ def _promotion_stage(at: Progress, criteria: Criteria) -> dict:
     at.event(8, "completed", "promotion", status=outcome,
              promoted=decision["promoted"], reason=decision["reason"],
              best_candidate=decision["promoted_model_id"])
+    pulls_of(spark, ws).settle()  # what this run consumed is final
     return decision

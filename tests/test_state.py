@@ -1,7 +1,7 @@
 """Registry, run state, sources, reports and the whole cycle."""
 
 import json
-
+import re
 import uuid
 
 import pytest
@@ -301,7 +301,9 @@ def test_whole_cycle(spark, tmp_path):
     waiting = logs.count_unconsumed(
         logs.read_logs(spark, ws.path("logs")), logs.read_ledger(spark, ws.path("ledger"))
     )
-    assert waiting.first()[0] == 0
+    assert waiting.first()[0] == 0 and cycle.pulls_of(spark, ws).open_files() == []
+    logged = spark.read.parquet(ws.path("metric_log")).filter("source = 'evaluation'").select(F.col("tags")["evaluated_at"].alias("at")).first()
+    assert re.fullmatch(r"[0-9-]{10}T[0-9:]{8}(\.[0-9]{6})?\+00:00", logged["at"])
     # Nothing new: the next run skips through to the end and the registry stays.
     second = cycle.register_run(spark, ws)
     assert cycle.run_cycle(spark, ws, second, reply, verdict, is_json, **options)["reason"] == "no_candidate"
