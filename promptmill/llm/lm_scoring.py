@@ -159,19 +159,23 @@ def score(
                 begins = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else np.zeros(0, np.int64)
                 ends = np.append(begins, len(keys))
                 parts = (
-                    pa.array(np.arange(len(keys), dtype=np.int32)),
                     pa.array((keys >> np.uint64(32)).astype(np.uint16).view(np.int16)),
                     pa.array(keys.astype(np.uint32).view(np.int32)),
                     pa.array((n << _HALF) | t),
                 )
                 number = pa.array(np.full(len(begins), batch.column("block")[row].as_py(), np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[begins]), number, *(ragged(p, ends) for p in parts)], ["bucket", "block", "at", "high", "low", "both"]
+                    [pa.array(bucket[begins]), number, pa.array(begins.astype(np.int32)), *(ragged(p, ends) for p in parts)],
+                    ["bucket", "block", "first", "high", "low", "both"],
                 )
 
     # Each key occurs once per block, so a word of every text has no more rows than there are blocks.
-    sent = stored.mapInArrow(count, "bucket int, block bigint, at array<int>, high array<smallint>, low array<int>, both array<bigint>")
-    apart = sent.repartition("bucket").select("bucket", "block", F.inline(F.arrays_zip("at", "high", "low", "both")))
+    sent = stored.mapInArrow(count, "bucket int, block bigint, first int, high array<smallint>, low array<int>, both array<bigint>")
+    apart = (
+        sent.repartition("bucket")
+        .select("bucket", "block", "first", F.posexplode(F.arrays_zip("high", "low", "both")).alias("after", "key"))
+        .select("bucket", "block", (F.col("first") + F.col("after")).alias("at"), "key.*")
+    )
     n, t = F.shiftright("both", _HALF), F.col("both").bitwiseAND(F.lit((1 << _HALF) - 1))
     whole = Window.partitionBy("bucket", "high", "low")
     summed = apart.select("block", "at", n.alias("own"), F.sum(n).over(whole).alias("n"), F.sum(t).over(whole).alias("t"))
