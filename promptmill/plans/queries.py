@@ -956,7 +956,8 @@ def _as_logs(documents: DataFrame) -> DataFrame:
 def incremental_curation(spark, sf_dir):
     """Documents streamed through curation once; equals the batch result."""
     work = _scratch(spark)
-    stream = _as_logs(spark.readStream.schema(_STREAMED).option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
+    # The table may be a file or a folder of part files; a stream takes a single file by a pattern only.
+    stream = _as_logs(spark.readStream.schema(_STREAMED).parquet(f"{sf_dir}/documents.parque[t]"))
     start_curation(
         stream, output=f"{work}/out", checkpoint=f"{work}/checkpoint", order_by=["log_id"]
     ).awaitTermination()

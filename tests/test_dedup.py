@@ -8,6 +8,7 @@ from promptmill.functions.minhash import balanced_shape, minhash, permutations,
 from promptmill.functions.text import sample_text
 from promptmill.operators import dedup
 from promptmill.plans.curation import dedup_logs
+from promptmill.plans.queries import QUERIES
 
 NET = (
     "A neural network stacks layers of simple units. Every unit weighs its inputs, adds them up "
@@ -202,3 +203,11 @@ def test_matches_name_the_kept_row(spark):
 def test_sample_text_joins_with_one_blank(spark):
     row = spark.range(1).select(sample_text(F.lit(None).cast("string"), F.lit("x"))).first()
     assert row[0] == " x"
+
+
+def test_a_table_in_part_files_is_streamed_whole(spark, tmp_path):
+    rows = [(i, f"{NET} Number {i} has {' '.join(f'part{i * k}' for k in range(9))}.", "en", "web", 9) for i in range(30)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    documents.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    streamed = QUERIES["incremental_curation"](spark, str(tmp_path)).collect()
+    assert sorted(streamed) == sorted(QUERIES["curated_samples"](spark, str(tmp_path)).collect()) != []
