@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,10 +26,11 @@ _MAX_HASH = np.uint64((1 << 32) - 1)
 _BITS = np.uint64(61)
 _ONE = np.uint64(1)
 
-# A task forgets its shingle cache beyond so many hash values and reads texts in chunks of so many
-# windows. Together they bound its memory to a few hundred MB whatever the length of a text.
-_CACHE_VALUES = 25_000_000
+# A task forgets its shingle cache beyond so many shingles or low hash values and reads texts in chunks of so many
+# windows. Together they bound its memory to some 200 MB whatever the length of a text.
+_KNOWN, _CACHE_VALUES = 1_000_000, 6_000_000
 _CHUNK = 200_000
+_LOW = np.uint64(1 << 26)
 
 
 @dataclass(frozen=True)
@@ -85,16 +87,13 @@ def permutations(num_perm: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(draws[0::2], dtype=np.uint64), np.array(draws[1::2], dtype=np.uint64)
 
 
-class _Slots(dict):
-    """Row number per shingle key; asking for an unknown key gives it the next row."""
-
-    def __missing__(self, key: int) -> int:
-        self[key] = row = len(self)
-        return row
-
-
 class _Signer:
-    """Signs texts in chunks; each distinct shingle is hashed once while the cache lasts."""
+    """Signs texts in chunks by the low hash values of their shingles.
+
+    Nearly all minima of a text with some hundred shingles lie below ``_LOW``, which one hash value in 64 does. A shingle's low values
+    are found once while the cache lasts; texts gather those alone. Where a minimum is not among them, it is taken over
+    all hash values, so the signature is exact for every text.
+    """
 
     def __init__(self, multipliers: np.ndarray, offsets: np.ndarray):
         self.a, self.b = multipliers, offsets
@@ -102,8 +101,11 @@ class _Signer:
         self._forget()
 
     def _forget(self) -> None:
-        self.slots = _Slots()
-        self.permuted = np.empty((4096, self.num_perm), dtype=np.uint32)
+        self.keys = np.zeros(0, np.uint64)  # of known shingles, sorted
+        self.hashes = np.zeros(0, np.uint64)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.used = 0
+        self.perm, self.value = np.zeros(4096, np.int16), np.zeros(4096, np.uint32)  # low values, by shingle
 
     def sign(self, texts: list[str]) -> np.ndarray:
         """One row of ``num_perm`` values per text."""
@@ -124,44 +126,98 @@ class _Signer:
         return signatures
 
     def _sign_pieces(self, pieces: list[tuple[int, str]], signatures: np.ndarray) -> None:
-        if len(self.slots) * self.num_perm > _CACHE_VALUES:
+        if len(self.keys) > _KNOWN or self.used > _CACHE_VALUES:
             self._forget()
         joined = "".join(piece for _, piece in pieces)
         overlap = SHINGLE_SIZE - 1
-        ends = np.cumsum([len(piece) for _, piece in pieces])
+        lengths = np.array([len(piece) for _, piece in pieces])
+        ends = np.cumsum(lengths)
         inside = np.ones(len(joined) - overlap, dtype=bool)
         for back in range(1, overlap + 1):
             inside[ends[:-1] - back] = False
         starts = np.flatnonzero(inside)
-        keys, first, inverse = np.unique(
-            _window_keys(joined)[starts], return_index=True, return_inverse=True
-        )
-        known = len(self.slots)
-        rows = np.fromiter(map(self.slots.__getitem__, keys.tolist()), np.int64, len(keys))
-        unseen = starts[first[rows >= known]]
-        self._hash(known, [joined[i : i + SHINGLE_SIZE] for i in unseen.tolist()])
-        rows = rows[inverse]
-        done = 0
-        for number, piece in pieces:
-            end = done + len(piece) - overlap
-            low = self.permuted[rows[done:end]].min(axis=0)
-            np.minimum(signatures[number], low, out=signatures[number])
-            done = end
-
-    def _hash(self, start: int, grams: list[str]) -> None:
-        end = start + len(grams)
-        if end > len(self.permuted):
-            grown = np.empty((max(end, 2 * len(self.permuted)), self.num_perm), np.uint32)
-            grown[:start] = self.permuted[:start]
-            self.permuted = grown
-        digests = b"".join(hashlib.sha1(g.encode("utf-8")).digest()[:4] for g in grams)
-        values = np.frombuffer(digests, dtype="<u4").astype(np.uint64)
-        for first in range(0, len(values), 512):
-            x = values[first : first + 512, None] * self.a + self.b
-            # Reduce modulo 2**61-1 by folding the high bits, the second time with a carry.
-            x = (x & _PRIME) + (x >> _BITS)
-            x = x + ((x + _ONE) >> _BITS)
-            self.permuted[start + first : start + first + len(x)] = x & _MAX_HASH
+        window_keys = _window_keys(joined)[starts]
+        codes, keys = pd.factorize(window_keys)
+        places = self._places(keys, codes, starts, joined)
+        # A row of a text is the number of its piece; a shingle that comes again in a piece counts once.
+        piece = np.repeat(np.arange(len(pieces)), lengths - overlap)
+        distinct = pd.unique(piece * len(keys) + codes)
+        piece, codes = distinct // len(keys), distinct % len(keys)
+        lows = np.full((len(pieces), self.num_perm), _MAX_HASH, dtype=np.uint32)
+        self._scatter(piece, places[codes], lows)
+        bounds = np.searchsorted(piece, np.arange(len(pieces) + 1))
+        absent = lows >= _LOW
+        for i in np.flatnonzero(absent.any(axis=1)).tolist():
+            perms = np.flatnonzero(absent[i])
+            grams = self.hashes[places[codes[bounds[i] : bounds[i + 1]]]]
+            for j in range(0, len(grams), 4096):
+                least = self._hashed(grams[j : j + 4096], perms).min(axis=0).astype(np.uint32)
+                lows[i, perms] = np.minimum(lows[i, perms], least)
+        for i, (number, _) in enumerate(pieces):
+            np.minimum(signatures[number], lows[i], out=signatures[number])
+
+    def _scatter(self, piece: np.ndarray, place: np.ndarray, lows: np.ndarray) -> None:
+        """Lower ``lows`` of each piece to the low values of the shingles at ``place``."""
+        step = max(1, _CHUNK * 128 // self.num_perm)
+        flat = lows.reshape(-1)
+        for low in range(0, len(piece), step):
+            count = self.count[place[low : low + step]]
+            row = np.repeat(piece[low : low + step] * self.num_perm, count)
+            at = np.arange(len(row)) + np.repeat(self.first[place[low : low + step]] - (np.cumsum(count) - count), count)
+            np.minimum.at(flat, row + self.perm[at], self.value[at])
+
+    def _places(self, keys: np.ndarray, codes: np.ndarray, starts: np.ndarray, joined: str) -> np.ndarray:
+        """Where the shingles ``keys`` are known; new ones are hashed."""
+        order = np.argsort(keys)
+        ranked = keys[order]
+        at = np.searchsorted(self.keys, ranked)
+        known = np.zeros(len(keys), dtype=bool)
+        if len(self.keys):
+            known = self.keys[np.minimum(at, len(self.keys) - 1)] == ranked
+        new = order[~known]
+        if len(new):
+            example = np.empty(len(keys), np.int64)
+            example[codes] = starts
+            hashes, first, count = self._learn([joined[i : i + SHINGLE_SIZE] for i in example[new].tolist()])
+            self.keys = np.insert(self.keys, at[~known], ranked[~known])
+            self.hashes = np.insert(self.hashes, at[~known], hashes)
+            self.first = np.insert(self.first, at[~known], first)
+            self.count = np.insert(self.count, at[~known], count)
+        places = np.empty(len(keys), np.int64)
+        # New shingles before one move it up.
+        places[order] = at + np.cumsum(~known) - ~known
+        return places
+
+    def _learn(self, grams: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The hashes of new shingles, and where their low values are."""
+        digests = b"".join([hashlib.sha1(g.encode("utf-8")).digest()[:4] for g in grams])
+        hashes = np.frombuffer(digests, dtype="<u4").astype(np.uint64)
+        every, count = np.arange(self.num_perm), np.zeros(len(hashes), np.int64)
+        begin = self.used
+        for low in range(0, len(hashes), 512):
+            values = self._hashed(hashes[low : low + 512], every)
+            row, perm = np.nonzero(values < _LOW)
+            count[low : low + 512] = np.bincount(row, minlength=len(values))
+            end = self.used + len(row)
+            if end > len(self.perm):
+                self.perm, self.value = (np.resize(kept, end + end // 2) for kept in (self.perm, self.value))
+            self.perm[self.used : end], self.value[self.used : end] = perm, values[row, perm]
+            self.used = end
+        return hashes, begin + np.cumsum(count) - count, count
+
+    def _hashed(self, hashes: np.ndarray, perms: np.ndarray) -> np.ndarray:
+        """The hash values of shingles, a column per permutation."""
+        x = hashes[:, None] * self.a[perms]
+        x += self.b[perms]
+        # Reduce modulo 2**61-1 by folding the high bits, the second time with a carry.
+        high = x >> _BITS
+        x &= _PRIME
+        x += high
+        np.add(x, _ONE, out=high)
+        high >>= _BITS
+        x += high
+        x &= _MAX_HASH
+        return x
 
 
 def _window_keys(text: str) -> np.ndarray:

@@ -211,3 +211,17 @@ def test_a_table_in_part_files_is_streamed_whole(spark, tmp_path):
     documents.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     streamed = QUERIES["incremental_curation"](spark, str(tmp_path)).collect()
     assert sorted(streamed) == sorted(QUERIES["curated_samples"](spark, str(tmp_path)).collect()) != []
+
+
+def test_signing_keeps_few_values_of_a_shingle(spark):
+    from promptmill.functions.minhash import _Signer
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdefghijkl ") for _ in range(n)) for n in (5, 40, 300, 2000, 30_000)] + ["xy" * 400]
+    signer = _Signer(*permutations(128, 1))
+    signed = signer.sign(texts)
+    assert [list(s) for s in signed[:3]] == [model_signature(t) for t in texts[:3]]
+    for text, signature in zip(texts[3:], signed[3:]):
+        assert list(signature) == list(model_signature_fast({text[i : i + 5] for i in range(len(text) - 4)}))
+    # One value in 64 below the limit, not all 128 of each shingle.
+    assert signer.used < 4 * len(signer.keys)
