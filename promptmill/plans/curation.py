@@ -50,13 +50,26 @@ def curate(
     return samples
 
 
+def curation_counts(
+    pulled: DataFrame, cfg: CurationConfig = CurationConfig(), order_by: list[str] | None = None
+) -> DataFrame:
+    """The summary of a curation, from the keys alone: texts are filtered and signed once and not read again."""
+    order_by = order_by or LOG_ORDER
+    kept = filter_logs(pulled, cfg)
+    text = sample_text(F.col("prompt"), F.col("response"))
+    rule = {"threshold": cfg.dedup_threshold, "verify": cfg.verify_duplicates}
+    distinct = distinct_prints(kept, text=text, order_by=order_by, **rule)
+    return curation_summary(pulled, distinct, kept_rows(distinct, kept, text, order_by, **rule))
+
+
 def curation_summary(pulled: DataFrame, kept: DataFrame, deduped: DataFrame) -> DataFrame:
-    """Counts after each step. A pull without rows is skipped with a reason."""
+    """Counts after each step. A pull without rows is skipped with a reason.
+
+    ``kept`` may be the prints of distinct texts, which know how many ``copies`` they stand for.
+    """
     steps = [("logs_pulled", pulled), ("samples_after_filter", kept), ("samples_after_dedup", deduped)]
-    counted = [
-        df.agg(F.count("*").alias("n")).select(F.lit(name).alias("step"), "n")
-        for name, df in steps
-    ]
+    rows = {name: F.coalesce(F.sum("copies"), F.lit(0)) if "copies" in df.columns else F.count("*") for name, df in steps}
+    counted = [df.agg(rows[name].alias("n")).select(F.lit(name).alias("step"), "n") for name, df in steps]
     stacked = counted[0].unionByName(counted[1]).unionByName(counted[2])
 
     def of(step: str) -> Column:
