@@ -5,7 +5,8 @@ open rows of every bucket, its leaders. A row that leads all its buckets has eve
 leaders, so the leaders are settled among themselves: their pairs are compared once, and narrow link rows are walked until
 each such row is kept or dropped. Then every other open row is compared with the kept leaders of its buckets. Work is linear
 in the rows of a bucket for a set of near copies, which fall to its first row, and a bucket of many unlike rows takes
-one round for every ``LEADERS`` of them.
+one round for every ``LEADERS`` of them. Near copies share most of their buckets; buckets with the same leaders are merged before
+texts are sent, so that a pair is compared once for every set of leaders and not once for every band.
 """
 
 from __future__ import annotations
@@ -98,6 +99,25 @@ def _compared(rows: DataFrame, texts: DataFrame, threshold: float, among: bool)
     return materialise(sent.mapInArrow(_links(threshold, among), "n bigint, lead bigint").distinct())
 
 
+def _same_leaders(held: DataFrame) -> DataFrame:
+    """``h1, h2, s1, s2`` for each bucket of ``held``: buckets with the same leaders have the same ``s1, s2``.
+
+    ``n`` is unique within a bucket, so two exclusive ors and the number of leaders name their set.
+    """
+    size = F.count("*")
+    return held.groupBy(*_BUCKET).agg(
+        F.xxhash64(F.bit_xor(F.xxhash64("n")), size).alias("s1"),
+        F.xxhash64(size, F.bit_xor(F.xxhash64(F.lit("s"), "n"))).alias("s2"),
+        size.alias("lead_count"),
+    )
+
+
+def _merged(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of the buckets in ``sets``, each once for a set of leaders, which takes the place of the bucket."""
+    met = attach(rows.select(*_BUCKET, "n"), sets, _BUCKET, F.col("n"))
+    return met.select(F.col("s1").alias("h1"), F.col("s2").alias("h2"), "n").distinct()
+
+
 def _settled(ready: DataFrame, links: DataFrame) -> DataFrame:
     """``n, kept`` of leaders: one is dropped that links to a kept one, and kept once all it links to are dropped.
 
@@ -135,17 +155,18 @@ def verified_drops(buckets: DataFrame, texts: DataFrame, threshold: float, leade
             first.groupBy("n").agg(F.count("*").alias("led")), "n"
         )
         ready = materialise(in_all.filter(F.col("all") == F.col("led")).select("n"))
-        asked = first.select(*_BUCKET, F.lit(0).alias("part"), "n", F.lit(True).alias("leads"))
+        several = _same_leaders(first).filter("lead_count > 1")
+        asked = _merged(first, several).select(*_BUCKET, F.lit(0).alias("part"), "n", F.lit(True).alias("leads"))
         links = _compared(asked, texts, threshold, among=True)
         settled = materialise(_settled(ready, links))
         kept = materialise(settled.filter("kept").select("n"))
         fallen = settled.filter("not kept").select("n")
         dropped.append(fallen)
         others = open_rows.join(settled.select("n"), "n", "left_anti")
-        # The rows of a bucket are dealt into parts; each part that occurs gets a copy of the kept leaders.
+        # The rows of merged buckets are dealt into parts; each part that occurs gets a copy of the kept leaders.
         held = first.join(kept, "n", "left_semi")
-        size = held.groupBy(*_BUCKET).agg(F.count("*").alias("lead_count"))
-        dealt = attach(others, size, _BUCKET, F.col("n")).select(*_BUCKET, "n")
+        sets = materialise(_same_leaders(held))
+        held, dealt = materialise(_merged(held, sets)), materialise(_merged(others, sets))
         counted = dealt.groupBy(*_BUCKET).agg(F.ceil(F.count("*") / (4 * BLOCK)).alias("parts"))
         parts = attach(dealt, counted, _BUCKET, F.col("n")).select(
             *_BUCKET, F.pmod(F.xxhash64("n"), F.col("parts")).cast("int").alias("part"), "n", F.lit(False).alias("leads")
