@@ -25,6 +25,8 @@ from promptmill.session import materialise
 
 #: Leaders of a bucket in a round, and rows that a task compares with them at a time.
 LEADERS, BLOCK = 512, 512
+#: Sets of up to so many leaders are compared pair by pair, each pair once.
+FEW = 16
 _BUCKET = ["h1", "h2"]
 
 
@@ -118,6 +120,19 @@ def _merged(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select(F.col("s1").alias("h1"), F.col("s2").alias("h2"), "n").distinct()
 
 
+def _paired(few: DataFrame) -> DataFrame:
+    """Each pair of rows that share a set once: a task for a row that leads, holding the later ones.
+
+    A task has one leader, so it finds every link. Rows of a task are dealt into parts, each with a copy of its leader.
+    """
+    earlier = few.select(*_BUCKET, F.col("n").alias("lead"))
+    pairs = few.join(earlier, _BUCKET).filter("lead < n").select("n", "lead").distinct()
+    part = F.pmod(F.xxhash64("n"), F.lit(8)).cast("int").alias("part")
+    held = materialise(pairs.select(F.col("lead").alias("h1"), F.lit(0).cast("long").alias("h2"), part, "n", F.lit(False).alias("leads")))
+    task = [*_BUCKET, "part"]
+    return held.unionByName(held.select(*task).distinct().select(*task, F.col("h1").alias("n"), F.lit(True).alias("leads")))
+
+
 def _settled(ready: DataFrame, links: DataFrame) -> DataFrame:
     """``n, kept`` of leaders: one is dropped that links to a kept one, and kept once all it links to are dropped.
 
@@ -156,8 +171,11 @@ def verified_drops(buckets: DataFrame, texts: DataFrame, threshold: float, leade
         )
         ready = materialise(in_all.filter(F.col("all") == F.col("led")).select("n"))
         several = _same_leaders(first).filter("lead_count > 1")
-        asked = _merged(first, several).select(*_BUCKET, F.lit(0).alias("part"), "n", F.lit(True).alias("leads"))
+        many = _merged(first, several.filter(F.col("lead_count") > FEW))
+        asked = many.select(*_BUCKET, F.lit(0).alias("part"), "n", F.lit(True).alias("leads"))
         links = _compared(asked, texts, threshold, among=True)
+        few = materialise(_merged(first, several.filter(F.col("lead_count") <= FEW)))
+        links = links.unionByName(_compared(_paired(few), texts, threshold, among=False)).distinct()
         settled = materialise(_settled(ready, links))
         kept = materialise(settled.filter("kept").select("n"))
         fallen = settled.filter("not kept").select("n")

@@ -225,3 +225,14 @@ def test_signing_keeps_few_values_of_a_shingle(spark):
         assert list(signature) == list(model_signature_fast({text[i : i + 5] for i in range(len(text) - 4)}))
     # One value in 64 below the limit, not all 128 of each shingle.
     assert signer.used < 4 * len(signer.keys)
+
+
+def test_rows_that_share_many_buckets_are_compared_once(spark):
+    from promptmill.operators.leaders import _merged, _paired, _same_leaders
+
+    rows = [(n, h, h) for h in range(50) for n in (1, 2)] + [(n, 99, 99) for n in (1, 2, 3)]
+    buckets = spark.createDataFrame(rows, "n bigint, h1 bigint, h2 bigint")
+    few = _merged(buckets, _same_leaders(buckets))
+    assert sorted(r.n for r in few.collect()) == [1, 1, 2, 2, 3]
+    pairs = [(r.h1, r.n) for r in _paired(few).collect() if not r.leads]
+    assert sorted(pairs) == [(1, 2), (1, 3), (2, 3)]
