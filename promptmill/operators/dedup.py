@@ -81,7 +81,7 @@ def exact_duplicates(df: DataFrame, text: Column, order_by: Sequence[str]) -> Da
     )
 
 
-def _first_of_each(prints: DataFrame) -> DataFrame:
+def first_of_each(prints: DataFrame) -> DataFrame:
     """Collapse exact copies to their first row; the partial minimum absorbs hot texts."""
     return (
         prints.groupBy("digest")
@@ -90,7 +90,7 @@ def _first_of_each(prints: DataFrame) -> DataFrame:
     )
 
 
-def _rows_per_bucket(prints: DataFrame) -> DataFrame:
+def rows_per_bucket(prints: DataFrame) -> DataFrame:
     return prints.select("ord", F.explode("bands").alias("key")).select("ord", "key.*")
 
 
@@ -121,7 +121,7 @@ def _matches(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _shared_buckets(firsts: DataFrame) -> DataFrame:
     """``ord, h1, h2`` of rows in buckets that others share."""
-    rows = _rows_per_bucket(firsts)
+    rows = rows_per_bucket(firsts)
     shared = rows.groupBy(*_BUCKET).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     return attach(rows, shared, _BUCKET, spread=F.col("ord"))
 
@@ -206,7 +206,7 @@ def distinct_prints(
     """
     shape = shape_for(threshold, verify, num_perm)
     return materialise(
-        _first_of_each(fingerprints(df, text, order_by, shape, permutation_count(verify, num_perm)))
+        first_of_each(fingerprints(df, text, order_by, shape, permutation_count(verify, num_perm)))
     )
 
 
@@ -251,13 +251,13 @@ def near_dup_pairs(
     prints = materialise(
         fingerprints(df, text, order_by, shape, permutation_count(verify, num_perm))
     )
-    firsts = _first_of_each(prints)
+    firsts = first_of_each(prints)
     kept = kept_rows(firsts, df, text, order_by, threshold, verify)
-    leads = _rows_per_bucket(firsts.join(kept, "ord", "left_semi")).withColumnRenamed(
+    leads = rows_per_bucket(firsts.join(kept, "ord", "left_semi")).withColumnRenamed(
         "ord", "lead"
     )
     pairs = (
-        attach(_rows_per_bucket(prints), leads, _BUCKET, spread=F.col("ord"))
+        attach(rows_per_bucket(prints), leads, _BUCKET, spread=F.col("ord"))
         .filter(F.col("lead") < F.col("ord"))
         .select("ord", "lead")
         .distinct()

@@ -7,15 +7,14 @@ batch id, so a repeated batch leaves no second copy.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from promptmill import schemas
 from promptmill.config import CurationConfig
-from promptmill.functions.minhash import band_keys, minhash
-from promptmill.functions.text import normalize_text, sample_text
-from promptmill.operators.dedup import near_dedup, shape_for
+from promptmill.functions.text import sample_text
+from promptmill.operators.dedup import dropped_rows, fingerprints, first_of_each, rows_per_bucket, rows_with_keys, shape_for
 from promptmill.operators.filters import filter_logs
 from promptmill.operators.skew import attach
 from promptmill.plans.curation import LOG_ORDER, curate
@@ -27,12 +26,6 @@ def log_stream(spark: SparkSession, path: str, schema: str = schemas.INFERENCE_L
     return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
-def _bands(df: DataFrame, text: Column, threshold: float) -> DataFrame:
-    signed = df.select("log_id", minhash(normalize_text(text)).alias("signature"))
-    keys = band_keys(F.col("signature"), shape_for(threshold, verify=False))
-    return signed.select("log_id", F.explode(keys).alias("key")).select("log_id", "key.*")
-
-
 def start_curation(
     stream: DataFrame,
     *,
@@ -65,14 +58,15 @@ def start_curation(
         index = BandIndex(batch.sparkSession, f"{output}/bands", prefix_bits, fold_every)
         index.fold_before(batch_id)
         samples = materialise(filter_logs(pulled, cfg))
-        bands = materialise(_bands(samples, text, cfg.dedup_threshold))
-        seen = attach(bands, index.before(batch_id, bands), ["h1", "h2"], spread=F.col("log_id"))
-        fresh = samples.join(seen.select("log_id").distinct(), "log_id", "left_anti")
-        near_dedup(
-            fresh, text=text, order_by=order_by, threshold=cfg.dedup_threshold, verify=False
-        ).write.mode("overwrite").parquet(folder)
-        kept = batch.sparkSession.read.parquet(folder).select("log_id")
-        index.add(batch_id, bands.join(kept, "log_id", "left_semi"))
+        # Texts are signed once, for the index and for the batch itself.
+        shape = shape_for(cfg.dedup_threshold, verify=False)
+        prints = materialise(fingerprints(samples, text, order_by, shape))
+        bands = rows_per_bucket(prints)
+        seen = attach(bands, index.before(batch_id, bands), ["h1", "h2"], spread=F.col("ord"))
+        firsts = materialise(first_of_each(prints.join(seen.select("ord").distinct(), "ord", "left_anti")))
+        kept = materialise(firsts.select("ord").join(dropped_rows(firsts), "ord", "left_anti"))
+        rows_with_keys(samples, kept, order_by).write.mode("overwrite").parquet(folder)
+        index.add(batch_id, bands.join(kept, "ord", "left_semi"))
 
     return (
         stream.writeStream.foreachBatch(write_batch)

@@ -236,3 +236,22 @@ def test_rows_that_share_many_buckets_are_compared_once(spark):
     assert sorted(r.n for r in few.collect()) == [1, 1, 2, 2, 3]
     pairs = [(r.h1, r.n) for r in _paired(few).collect() if not r.leads]
     assert sorted(pairs) == [(1, 2), (1, 3), (2, 3)]
+
+
+def test_a_batch_is_signed_once(spark, tmp_path, monkeypatch):
+    from promptmill.operators import dedup as operator
+    from promptmill.streaming import incremental
+
+    signed = []
+    real = operator.minhash
+    monkeypatch.setattr(operator, "minhash", lambda *a: signed.append(1) or real(*a))
+    if hasattr(incremental, "minhash"):
+        monkeypatch.setattr(incremental, "minhash", operator.minhash)
+    rows = [(f"{i}", f"{NET} {i * 7919} {'again ' if i % 2 else ''}{i}", "", "web") for i in range(8)]
+    schema = "log_id string, response string, prompt string, model string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    incremental.start_curation(
+        spark.readStream.schema(schema).parquet(str(tmp_path / "in")), output=str(tmp_path / "out"),
+        checkpoint=str(tmp_path / "checkpoint"), order_by=["log_id"], across_batches=True,
+    ).awaitTermination()
+    assert len(signed) == 1
