@@ -2,10 +2,10 @@
 
 Both models are bigram models interpolated with unigrams, over one vocabulary: every word and every bigram of the corpus
 counts, at every size. Counts are never gathered in one place. Documents are dealt into blocks of some million words as
-they are read; a block is stored with its words as numbers, and sends its counts of each distinct word and bigram, some
-neighbours in the order of keys to a row. The rows meet by the first bits of the keys, where they are taken apart and summed by
-key, and the sums that differ from a block's own go back to it. The stored blocks are bucketed by number, so that only the
-sums are shuffled to them, and texts never are.
+they are read; a block is stored with its words as numbers, and sends its counts of each distinct word and bigram, neighbours in
+the order of keys in one row, as the gaps between them. The rows meet by the first bits of the keys and are summed by key; what
+other blocks have counted goes back in the order in which a block has sent its keys, so that it needs neither keys nor places. The
+stored blocks are bucketed by number, so that only the sums are shuffled to them, and texts never are.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promptmill.llm.words import light, mix, ragged, signed, word_hashes
@@ -31,10 +31,28 @@ BLOCK_WORDS = 1_000_000
 _WORD, _PAIR = (np.uint64(s) for s in (0x9E3779B97F4A7C15, 0x165667B19E3779F9))
 #: The history of a text's first word.
 _START = np.uint64(0x27D4EB2F165667C5)
-#: Two counts of a block in one number.
-_HALF = 32
-#: First bits of a key that name its row; the others are a number of 16 and one of 32 bits.
-_ROW_BITS = 16
+#: First bits of a key that name its range, at least and at most: between them as many ranges as blocks, of some million keys each.
+_LEAST_BITS, _MOST_BITS = 9, 16
+#: Low bytes of the gaps between a block's keys, which are as good as random and are not compressed.
+_PLAIN = 5
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers as the lowest bytes of all, then the next, and so on."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _packed(*columns: np.ndarray, plain: int = 0) -> bytes:
+    """64-bit columns of one length in few bytes; the lowest ``plain`` bytes of the first are left as they are."""
+    raw, cut = b"".join(map(_planes, columns)), plain * len(columns[0])
+    return raw[:cut] + pa.compress(raw[cut:], codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, columns: int, size: int, plain: int = 0) -> np.ndarray:
+    cut = plain * size
+    raw = packed[:cut] + pa.decompress(packed[cut:], 8 * columns * size - cut, codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(columns, 8, size)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int64).reshape(columns, size)
 
 
 class _Block:
@@ -54,10 +72,15 @@ class _Block:
             each = np.repeat(flags, np.diff(ends)).astype(float)
             parts = (np.bincount(ids, each, size - 1), np.bincount(pair, each, len(pairs)))
             self.counts.append(np.concatenate(parts).astype(np.int64))
-        # In the order of keys, which neighbours in a shuffle file then share the beginnings of.
         self.order = np.argsort(keys, kind="stable")
         self.keys = keys[self.order]
 
+    def ranges(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first ``bits`` of the keys in order, each once, and where the keys with them begin, plus the end."""
+        first = (self.keys >> np.uint64(64 - bits)).astype(np.int32)
+        begins = np.flatnonzero(np.diff(first, prepend=-1))
+        return first[begins], np.append(begins, len(first))
+
     def losses(self, totals: list[np.ndarray], texts: list[int], tokens: list[int], vocabulary: int) -> Iterator[np.ndarray]:
         """Summed loss of each text under the counts ``totals`` of the block's keys, for the background and the target."""
         for counts, starts, whole in zip(totals, texts, tokens):
@@ -149,39 +172,37 @@ def score(
     marked = placed.join(wanted.hint("merge"), "doc_id", "left_semi").groupBy("block").agg(F.collect_list("at").alias("marked"))
     stored = spark.table(name).join(materialise(marked).hint("merge"), "block", "left")
 
+    bits = min(max((spark.table(name).count() - 1).bit_length(), _LEAST_BITS), _MOST_BITS)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
                 block = _read_block(batch, row)
-                n, t = (c[block.order] for c in block.counts)
-                keys = block.keys  # also of texts that do not count
-                bucket = (keys >> np.uint64(64 - _ROW_BITS)).astype(np.int32)
-                begins = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else np.zeros(0, np.int64)
-                ends = np.append(begins, len(keys))
-                parts = (
-                    pa.array((keys >> np.uint64(32)).astype(np.uint16).view(np.int16)),
-                    pa.array(keys.astype(np.uint32).view(np.int32)),
-                    pa.array((n << _HALF) | t),
-                )
-                number = pa.array(np.full(len(begins), batch.column("block")[row].as_py(), np.int64))
+                first, ends = block.ranges(bits)
+                gaps = np.diff(block.keys, prepend=np.uint64(0))  # also of texts that do not count
+                gaps[ends[:-1]] = block.keys[ends[:-1]] & np.uint64((1 << 64 - bits) - 1)
+                columns = [gaps, *(c[block.order] for c in block.counts)]
+                bodies = [_packed(*(c[lo:hi] for c in columns), plain=_PLAIN) for lo, hi in zip(ends, ends[1:])]
+                number = pa.array(np.full(len(first), batch.column("block")[row].as_py(), np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[begins]), number, pa.array(begins.astype(np.int32)), *(ragged(p, ends) for p in parts)],
-                    ["bucket", "block", "first", "high", "low", "both"],
+                    [pa.array(first), number, pa.array(np.diff(ends)), pa.array(bodies, pa.binary())], ["range", "block", "size", "body"]
                 )
 
-    # Each key occurs once per block, so a word of every text has no more rows than there are blocks.
-    sent = stored.mapInArrow(count, "bucket int, block bigint, first int, high array<smallint>, low array<int>, both array<bigint>")
-    apart = (
-        sent.repartition("bucket")
-        .select("bucket", "block", "first", F.posexplode(F.arrays_zip("high", "low", "both")).alias("after", "key"))
-        .select("bucket", "block", (F.col("first") + F.col("after")).alias("at"), "key.*")
-    )
-    n, t = F.shiftright("both", _HALF), F.col("both").bitwiseAND(F.lit((1 << _HALF) - 1))
-    whole = Window.partitionBy("bucket", "high", "low")
-    summed = apart.select("block", "at", n.alias("own"), F.sum(n).over(whole).alias("n"), F.sum(t).over(whole).alias("t"))
-    # A block knows the counts of a key that no other holds; of others the sums go back to it.
-    back = summed.filter("n <> own").groupBy("block")
-    known = back.agg(*(F.collect_list(c).alias(f"{c}s") for c in ("at", "n", "t")))
+    def total(rows: pa.Table) -> pa.Table:
+        sizes, bodies = rows.column("size").to_numpy(), rows.column("body").to_pylist()
+        gaps, *own = np.concatenate([_unpacked(b, 3, n, _PLAIN) for b, n in zip(bodies, sizes)], axis=1)
+        ends = np.cumsum(sizes)
+        keys = np.concatenate([np.cumsum(g) for g in np.split(gaps, ends[:-1])])
+        distinct, place = np.unique(keys, return_inverse=True)
+        more = [np.bincount(place, c, len(distinct)).astype(np.int64)[place] - c for c in own]
+        replies = [_packed(*(c[hi - n : hi] for c in more)) for hi, n in zip(ends, sizes)]
+        return rows.select(["block", "range"]).append_column("body", pa.array(replies, pa.binary()))
+
+    # Each key occurs once per block, so a word of every text is in no more rows than there are blocks.
+    sent = stored.mapInArrow(count, "range int, block bigint, size bigint, body binary")
+    # What the other blocks count: of keys that a block alone holds, nothing.
+    back = sent.groupBy("range").applyInArrow(total, "block bigint, range int, body binary")
+    known = back.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("range", "body")))["body"].alias("more"))
     texts, tokens, vocabulary = _sizes(stored)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,11 +210,10 @@ def score(
             for row in range(len(batch)):
                 block = _read_block(batch, row)
                 totals = [c.copy() for c in block.counts]
-                at, *sums = (batch.column(c)[row].values for c in ("ats", "ns", "ts"))
-                if at is not None:
-                    places = block.order[at.to_numpy(zero_copy_only=False)]
-                    for own, given in zip(totals, sums):
-                        own[places] = given.to_numpy(zero_copy_only=False)
+                ends, bodies = block.ranges(bits)[1], batch.column("more")[row].as_py() or []
+                for lo, hi, body in zip(ends[:-1], ends[1:], bodies, strict=True):
+                    for own, more in zip(totals, _unpacked(body, 2, hi - lo)):
+                        own[block.order[lo:hi]] += more
                 words = np.diff(block.ends)
                 background, wanted = (loss / np.maximum(words, 1) for loss in block.losses(totals, texts, tokens, vocabulary))
                 yield pa.RecordBatch.from_arrays(

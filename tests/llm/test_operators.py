@@ -7,6 +7,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import pytest
 import xxhash
@@ -369,6 +370,20 @@ def test_lm_scores_equal_a_plain_model(spark, docs, rows, none, monkeypatch, blo
     assert spark.sql("SHOW TABLES").filter("tableName LIKE 'lm_blocks%'").count() == 0
 
 
+def test_lm_counts_meet_in_few_bytes(spark, tmp_path):
+    """Keys of small blocks go to the sums and the sums come back in some 24 bytes a word (70 as plain rows)."""
+    draw = random.Random(5)
+    texts = spark.createDataFrame([(i, " ".join(f"w{draw.randrange(50_000)}" for _ in range(500))) for i in range(400)], "doc_id bigint, text string")
+    texts.write.parquet(str(tmp_path / "texts"))
+    places = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffled = lambda: {p: p.stat().st_size for d in places for p in Path(d).glob("*/shuffle_*.data")}
+    before = shuffled()
+    read = spark.read.parquet(str(tmp_path / "texts"))
+    assert lm_scoring.score(read, read.filter("doc_id % 2 = 0")).count() == 400
+    written = sum(n for p, n in shuffled().items() if p not in before)
+    assert 400 * 500 * 5 < written < 400 * 500 * 40
+
+
 def test_quality_rules(spark, docs, none):
     draw = random.Random(2)
     good = [(i, " ".join(draw.choices(VOCABULARY, k=60)).capitalize() + ".", 1) for i in range(150)]
