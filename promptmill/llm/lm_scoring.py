@@ -26,12 +26,14 @@ from promptmill.session import discard, materialise, shared_dir
 PAIR_WEIGHT = 0.5
 #: Words in a block, about; a longer text is a block of its own.
 BLOCK_WORDS = 1_000_000
+#: Bytes of text that are read at once, so that a block is not much larger.
+_READ_BYTES = 1 << 19
 
 #: What a block's words are mixed with for each kind of key: that of a word or of two words.
 _WORD, _PAIR = (np.uint64(s) for s in (0x9E3779B97F4A7C15, 0x165667B19E3779F9))
 #: The history of a text's first word.
 _START = np.uint64(0x27D4EB2F165667C5)
-#: First bits of a key that name its range, at least and at most: between them as many ranges as blocks, of some million keys each.
+#: First bits of a key that name its range, at least and at most; between them at least half as many ranges as blocks, of one or two million keys.
 _LEAST_BITS, _MOST_BITS = 9, 16
 #: Low bytes of the gaps between a block's keys, which are as good as random and are not compressed.
 _PLAIN = 5
@@ -55,23 +57,34 @@ def _unpacked(packed: bytes, columns: int, size: int, plain: int = 0) -> np.ndar
     return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int64).reshape(columns, size)
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order and the place of each value among them; ``np.unique`` holds twice as much meanwhile."""
+    order = np.argsort(values)
+    values = values[order]
+    new = np.diff(values, prepend=-1) > 0
+    place = np.empty(len(values), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return values[new], place
+
+
 class _Block:
     """The texts of a block by number of word, and its own counts of all keys that it needs."""
 
     def __init__(self, words: np.ndarray, ids: np.ndarray, ends: np.ndarray, counted: np.ndarray, target: np.ndarray):
         size = len(words) + 1
         full = np.flatnonzero(np.diff(ends) > 0)
-        before = np.concatenate(([0], ids[:-1])) if len(ids) else ids.copy()
+        before = np.concatenate((ids[:1], ids[:-1]))
         before[ends[:-1][full]] = size - 1  # the last number stands for the start
-        pairs, pair = np.unique(before * size + ids, return_inverse=True)
-        self.ids, self.ends, self.before, self.pair, self.size = ids, ends, before, pair, size
+        pairs, self.pair = _numbered(before * size + ids)
+        del before
+        self.ends, self.size = ends, size
+        self.before, self.after = (half.astype(np.int32) for half in np.divmod(pairs, size))
         named = np.concatenate((words, [_START]))
-        keys = np.concatenate((mix(words ^ _WORD), mix(mix(named[pairs // size] ^ _PAIR) + named[pairs % size])))
+        keys = np.concatenate((mix(words ^ _WORD), mix(mix(named[self.before] ^ _PAIR) + named[self.after])))
         self.counts = []
         for flags in (counted, counted & target):
-            each = np.repeat(flags, np.diff(ends)).astype(float)
-            parts = (np.bincount(ids, each, size - 1), np.bincount(pair, each, len(pairs)))
-            self.counts.append(np.concatenate(parts).astype(np.int64))
+            pair = np.bincount(self.pair, np.repeat(flags.astype(float), np.diff(ends)), len(pairs))
+            self.counts.append(np.concatenate((np.bincount(self.after, pair, size - 1), pair)).astype(np.int64))
         self.order = np.argsort(keys, kind="stable")
         self.keys = keys[self.order]
 
@@ -89,8 +102,8 @@ class _Block:
             history = np.concatenate((word, [starts]))
             weight = np.where(history > 0, PAIR_WEIGHT, 0.0)
             seen = np.maximum(history, 1)
-            chance = weight[self.before] * pair[self.pair] / seen[self.before] + (1 - weight[self.before]) * single[self.ids]
-            loss, out = -np.log(chance), np.zeros(len(self.ends) - 1)
+            chance = weight[self.before] * pair / seen[self.before] + (1 - weight[self.before]) * single[self.after]
+            loss, out = -np.log(chance)[self.pair], np.zeros(len(self.ends) - 1)
             full = np.flatnonzero(np.diff(self.ends))
             if len(full):
                 out[full] = np.add.reduceat(loss, self.ends[:-1][full])
@@ -102,7 +115,7 @@ def _stored_blocks(rows: DataFrame, kind: str) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
-        for batch in light(batches):
+        for batch in light(batches, most=_READ_BYTES):
             found, bounds = word_hashes(batch.column("text"))
             held.append((found, np.diff(bounds), batch))
             size += len(found)
@@ -172,7 +185,7 @@ def score(
     marked = placed.join(wanted.hint("merge"), "doc_id", "left_semi").groupBy("block").agg(F.collect_list("at").alias("marked"))
     stored = spark.table(name).join(materialise(marked).hint("merge"), "block", "left")
 
-    bits = min(max((spark.table(name).count() - 1).bit_length(), _LEAST_BITS), _MOST_BITS)
+    bits = min(max((spark.table(name).count() - 1).bit_length() - 1, _LEAST_BITS), _MOST_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
