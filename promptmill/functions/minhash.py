@@ -8,8 +8,10 @@ text gets the same signature as with the common Python MinHash packages.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -75,6 +77,26 @@ def recall_shape(threshold: float, num_perm: int = 128, miss: float = 1e-6) -> B
     return BandShape(num_perm, 1)
 
 
+@lru_cache(maxsize=64)
+def voting_shape(threshold: float, num_perm: int, votes: int = 3, miss: float = 1e-6) -> tuple[BandShape, int]:
+    """The most selective shape of which a pair at ``threshold`` shares ``votes`` bands, but with at most ``miss``.
+
+    Unlike texts that share a band or two by chance are left out. Fewer permutations may not afford votes: then one band is enough.
+    """
+    for rows in range(num_perm // votes, 0, -1):
+        hit = threshold**rows
+
+        def missed(bands: int) -> float:
+            return sum(comb(bands, k) * hit**k * (1.0 - hit) ** (bands - k) for k in range(votes))
+
+        bands = num_perm // rows
+        if missed(bands) <= miss:
+            while bands > votes and missed(bands - 1) <= miss:
+                bands -= 1
+            return BandShape(bands, rows), votes
+    return recall_shape(threshold, num_perm, miss), 1
+
+
 @lru_cache(maxsize=8)
 def permutations(num_perm: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Multipliers and offsets of the hash family, drawn pairwise from the seeded generator."""
@@ -238,6 +260,25 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     ]
 
 
+def band_hashes(signatures: np.ndarray, shape: BandShape, bits: int) -> np.ndarray:
+    """One key of ``bits`` bits per text and band of a matrix of signatures."""
+    keys = np.empty((len(signatures), shape.bands), np.uint64)
+    mixed, spread = np.uint64(0xD6E8FEB86659FD93), np.uint64(32)
+    for band in range(shape.bands):
+        key = np.full(len(signatures), band + 1, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for row in signatures[:, band * shape.rows : (band + 1) * shape.rows].T:
+            key = (key ^ row.astype(np.uint64)) * mixed
+            key ^= key >> spread
+        keys[:, band] = key * mixed >> np.uint64(64 - bits)
+    return keys
+
+
+def signing(num_perm: int, seed: int = 1) -> Callable[[], _Signer]:
+    """Makes a task's signer, whose ``sign`` gives a row of ``num_perm`` values for each text."""
+    family = permutations(num_perm, seed)
+    return lambda: _Signer(*family)
+
+
 def minhash(normalized: Column, num_perm: int = 128, seed: int = 1) -> Column:
     """``ARRAY<BIGINT>`` signature of the distinct 5-grams of a normalised text.
 

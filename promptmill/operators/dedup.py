@@ -5,7 +5,7 @@ band bucket at most one row is ever kept, so the rule needs no pairs: each round
 earliest open row of every bucket, keeps those rows that lead all their buckets, and closes
 the buckets they lead. Rounds repeat until no row is open. They work on rows whose buckets are shared, never on
 texts, and every aggregate is combined before its shuffle. ``verify=True``, the default, takes bands tuned for recall and
-compares the shingle sets of rows that share one (:mod:`promptmill.operators.leaders`).
+compares the shingle sets of rows that share three (:mod:`promptmill.operators.buckets`, :mod:`promptmill.operators.leaders`).
 """
 
 from __future__ import annotations
@@ -23,12 +23,15 @@ from promptmill.functions.minhash import (
     band_keys,
     minhash,
     recall_shape,
+    voting_shape,
 )
 from promptmill.functions.text import jaccard, normalize_text, shingles
+from promptmill.operators.buckets import likely, shared_bands, text_name
+from promptmill.operators.keyfilter import key_filter
 from promptmill.operators.leaders import verified_drops
 from promptmill.operators.ranks import numbered
 from promptmill.operators.skew import attach
-from promptmill.session import materialise
+from promptmill.session import materialise, release
 
 NUM_PERM = 128
 # More permutations afford longer bands at the same recall, so fewer unlike rows share a bucket.
@@ -62,12 +65,24 @@ def fingerprints(
     """``ord``, a digest of the normalised text, and its band keys. Narrow: no shuffle."""
     signed = _normalised(df, text, order_by).select(
         "ord",
-        F.unhex(F.sha2("norm", 256)).alias("digest"),
+        _digest().alias("digest"),
         minhash(F.col("norm"), num_perm).alias("signature"),
     )
     return signed.select("ord", "digest", band_keys(F.col("signature"), shape).alias("bands"))
 
 
+def _digest() -> Column:
+    return F.unhex(F.sha2("norm", 256))
+
+
+def _first_copies(df: DataFrame, text: Column, order_by: Sequence[str]) -> DataFrame:
+    """``digest``, the first ``ord`` and the number of ``copies`` of each distinct text: no bands."""
+    rows = _normalised(df, text, order_by).select("ord", _digest().alias("digest"))
+    # A text without a key in some row has none, as the least of its rows.
+    first = F.when(F.max(F.col("ord").isNull()), F.lit(None)).otherwise(F.min("ord"))
+    return rows.groupBy("digest").agg(first.alias("ord"), F.count("*").alias("copies"))
+
+
 def exact_duplicates(df: DataFrame, text: Column, order_by: Sequence[str]) -> DataFrame:
     """Per distinct normalised text: its first row ``ord`` and the number of ``copies``."""
     return (
@@ -155,23 +170,43 @@ def dropped_rows(firsts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, dropped)
 
 
-def dropped_alike(firsts: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def _texts_of(df: DataFrame, text: Column, order_by: Sequence[str], places: DataFrame) -> DataFrame:
+    """``ord, norm`` of the rows named in ``places`` and of a few others that share a bit of a filter of fixed size with one."""
+    known = key_filter(places.select(F.xxhash64("ord").alias("key")))
+    rows = df.select(order_key(order_by).alias("ord"), text.alias("text"))
+    return rows.filter(known(F.xxhash64("ord"))).select("ord", normalize_text(F.col("text")).alias("norm"))
+
+
+def dropped_alike(
+    firsts: DataFrame, df: DataFrame, text: Column, order_by: Sequence[str], threshold: float, num_perm: int | None = None
+) -> DataFrame:
     """The same where a kept row only drops rows whose Jaccard similarity exceeds ``threshold``.
 
-    ``texts`` has ``ord`` and ``norm``. Only rows in shared buckets are numbered and compared; their texts are read once.
+    ``firsts`` has ``ord`` and ``digest``. Texts are read to be signed, and those of rows that share bands enough once more to be compared.
     """
-    buckets = materialise(_shared_buckets(firsts))
-    places = materialise(numbered(buckets.select("ord").distinct(), ["ord"], "n"))
-    known = materialise(texts.join(places, "ord").select("n", "norm"))
-    dropped, _ = verified_drops(buckets.join(places, "ord").select("n", *_BUCKET), known, threshold)
+    perms = permutation_count(True, num_perm)
+    shape, votes = voting_shape(threshold, perms)
+    named = _normalised(df, text, order_by).select(text_name(_digest()).alias("name"), "norm")
+    shared = materialise(shared_bands(named, shape, perms))
+    rows = firsts.select(text_name(F.col("digest")).alias("name"), "ord").join(shared.select("name").distinct(), "name")
+    rows = materialise(rows)
+    places = materialise(numbered(rows.select("ord").distinct(), ["ord"], "n"))
+    numbers = rows.join(places, "ord").select("name", "n")
+    buckets = shared.join(numbers, "name").select("n", F.col("key").alias("h1"), F.lit(0).cast("bigint").alias("h2"))
+    buckets = materialise(buckets)
+    chosen = materialise(likely(buckets, votes))
+    release(df.sparkSession)
+    near = places.join(chosen, "n", "left_semi")
+    texts = _texts_of(df, text, order_by, near)
+    dropped, _ = verified_drops(buckets.join(chosen, "n", "left_semi"), texts, threshold, votes=votes, names=near)
     return places.join(dropped, "n", "left_semi").select("ord")
 
 
 def kept_rows(
     firsts: DataFrame, df: DataFrame, text: Column, order_by: Sequence[str],
-    threshold: float, verify: bool,
+    threshold: float, verify: bool, num_perm: int | None = None,
 ) -> DataFrame:
-    dropped = dropped_alike(firsts, _normalised(df, text, order_by), threshold) if verify else dropped_rows(firsts)
+    dropped = dropped_alike(firsts, df, text, order_by, threshold, num_perm) if verify else dropped_rows(firsts)
     return firsts.select("ord").join(dropped, "ord", "left_anti")
 
 
@@ -200,10 +235,12 @@ def distinct_prints(
     num_perm: int | None = None,
     verify: bool = True,
 ) -> DataFrame:
-    """``ord``, ``bands`` and the number of ``copies`` of each distinct text, stored.
+    """``ord`` and the number of ``copies`` of each distinct text, stored, with its ``bands`` or, to be verified, its ``digest``.
 
-    Signatures are computed once and only they are kept between rounds, some 200 bytes a row.
+    Unverified, signatures are computed once and only they are kept between rounds, some 200 bytes a row.
     """
+    if verify:
+        return materialise(_first_copies(df, text, order_by))
     shape = shape_for(threshold, verify, num_perm)
     return materialise(
         first_of_each(fingerprints(df, text, order_by, shape, permutation_count(verify, num_perm)))
@@ -223,7 +260,7 @@ def surviving_keys(
     firsts = distinct_prints(
         df, text=text, order_by=order_by, threshold=threshold, num_perm=num_perm, verify=verify
     )
-    return kept_rows(firsts, df, text, order_by, threshold, verify)
+    return kept_rows(firsts, df, text, order_by, threshold, verify, num_perm)
 
 
 def rows_with_keys(df: DataFrame, keys: DataFrame, order_by: Sequence[str]) -> DataFrame:
@@ -252,7 +289,8 @@ def near_dup_pairs(
         fingerprints(df, text, order_by, shape, permutation_count(verify, num_perm))
     )
     firsts = first_of_each(prints)
-    kept = kept_rows(firsts, df, text, order_by, threshold, verify)
+    distinct = materialise(_first_copies(df, text, order_by)) if verify else firsts
+    kept = kept_rows(distinct, df, text, order_by, threshold, verify, num_perm)
     leads = rows_per_bucket(firsts.join(kept, "ord", "left_semi")).withColumnRenamed(
         "ord", "lead"
     )

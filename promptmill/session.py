@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffles and checkpoints that nothing refers to any more, as it does once the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder that nothing reads any more, in whatever store it lies."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

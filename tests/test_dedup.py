@@ -255,3 +255,87 @@ def test_a_batch_is_signed_once(spark, tmp_path, monkeypatch):
         checkpoint=str(tmp_path / "checkpoint"), order_by=["log_id"], across_batches=True,
     ).awaitTermination()
     assert len(signed) == 1
+
+
+def test_voting_shape_misses_as_little_and_meets_fewer_unlike_texts():
+    from math import comb
+
+    from promptmill.functions.minhash import voting_shape
+
+    def met(shape, votes, similarity):
+        hit = similarity**shape.rows
+        return 1 - sum(comb(shape.bands, k) * hit**k * (1 - hit) ** (shape.bands - k) for k in range(votes))
+
+    for threshold in (0.85, 0.6):
+        shape, votes = voting_shape(threshold, 512)
+        assert votes == 3 and shape.bands * shape.rows <= 512
+        assert 1 - met(shape, votes, threshold) <= 1e-6
+        unlike = recall_shape(threshold, 512).hit_probability(threshold / 2)
+        assert met(shape, votes, threshold / 2) < (0.01 if threshold > 0.8 else 1) * unlike
+    assert voting_shape(0.85, 8) == (recall_shape(0.85, 8), 1)
+
+
+def test_shared_bands_leave_out_what_one_text_alone_has(spark):
+    from promptmill.functions.minhash import BandShape
+    from promptmill.operators.buckets import shared_bands
+
+    alone = "a text with words that no other one has at all"
+    rows = [(1, NET), (2, NET + "!"), (3, alone), (3, alone), (4, None), (5, "ab")]
+    texts = spark.createDataFrame(rows, "name bigint, norm string").repartition(3)
+    found = shared_bands(texts, BandShape(64, 2), 128).collect()
+    assert len(found) == len(set(found))
+    bands = {}
+    for row in found:
+        bands.setdefault(row.key, set()).add(row.name)
+    assert set(map(frozenset, bands.values())) == {frozenset({1, 2}), frozenset({4, 5})}
+    assert sum(names == {4, 5} for names in bands.values()) == 64
+
+
+def test_verified_rows_store_no_bands(spark):
+    """What a verified run keeps of a text without near copies is a few numbers, not a key for each band."""
+    from pathlib import Path
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(80)) for _ in range(3000)]
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+
+    def stored():
+        return {f: f.stat().st_size for f in folder.rglob("part-*")}
+
+    before = stored()
+    assert kept_ids(spark, texts, verify=True) == list(range(len(texts)))
+    assert sum(size for f, size in stored().items() if f not in before) < 400 * len(texts)
+
+
+def test_texts_are_sent_once_a_block(spark, monkeypatch):
+    """Near copies that share many buckets, each with leaders of its own."""
+    from promptmill.operators import leaders
+
+    sent, beside = [], leaders._Texts.beside
+    monkeypatch.setattr(leaders._Texts, "beside", lambda self, rows: sent.append(rows.count()) or beside(self, rows))
+    rng = random.Random(4)
+    base = [f"word{rng.randrange(999)}" for _ in range(200)]
+    texts = [" ".join(base[:i] + [f"edit{i}"] + base[i + 1 :]) for i in range(200)]
+    rows = [(i, b, 0) for i in range(len(texts)) for b in rng.sample(range(60), 20)]
+    buckets = spark.createDataFrame(rows, "n bigint, h1 bigint, h2 bigint")
+    norm = spark.createDataFrame(list(enumerate(texts)), "n bigint, norm string")
+    dropped, _ = leaders.verified_drops(buckets, norm, 0.85, votes=3)
+    together = {i: {b for j, b, _ in rows if j == i} for i in range(len(texts))}
+    links = {i: {j for j in range(i) if len(together[i] & together[j]) >= 3} for i in range(len(texts))}
+    assert sorted(set(range(len(texts))) - {r.n for r in dropped.collect()}) == sequential(len(texts), links)
+    assert sum(sent) < 4 * len(texts)
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from promptmill.functions.minhash import BandShape
+    from promptmill.operators import buckets, leaders
+
+    sent = cloudpickle.dumps((buckets._bands(BandShape(4, 2), 8), buckets._shared, leaders._links(0.85)))
+    (tmp_path / "sent").write_bytes(sent)
+    read = "import pickle, sys; pickle.load(open('sent', 'rb')); assert 'promptmill' not in sys.modules"
+    subprocess.run([sys.executable, "-c", read], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin"})
